@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, poisson_mixing, quality_rules, url_filter
+from . import pii, poisson_mixing, quality_rules, simhash, url_filter
 from .common import table
 
 RULES = (
@@ -22,6 +22,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.grouped(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.select(F.col("_id").alias("doc_id"), simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), RULES)
     return out.select("page_id", "host", "path", "rule", "verdict")
@@ -40,5 +45,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, clauses).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op5_url_filter": op5_url_filter, "op8_pii": op8_pii, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_mixing": op1_mixing, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op8_pii": op8_pii, "op10_quality_rules": op10_quality_rules}
 ORACLES: dict[str, str] = {}
