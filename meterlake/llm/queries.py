@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, poisson_mixing, quality_rules, simhash, url_filter
+from . import bpe, pii, poisson_mixing, quality_rules, simhash, url_filter
 from .common import table
 
 RULES = (
@@ -39,11 +39,22 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS], F.sha2(line(F.col("base_spans")), 256).alias("base_sha256"), line(F.concat("base_spans", "found_spans")).alias("spans"))
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer that the BPE queries use; installed with the tokenizer files, not kept here."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.summaries(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     clauses = quality_rules.learn_from(docs, table(spark, sf_dir, "labels"))
     return quality_rules.judge(docs, clauses).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op8_pii": op8_pii, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_mixing": op1_mixing, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op8_pii": op8_pii, "op9_bpe": op9_bpe, "op10_quality_rules": op10_quality_rules}
 ORACLES: dict[str, str] = {}
