@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii, poisson_mixing, quality_rules, simhash, url_filter
+from . import audio, bpe, pii, poisson_mixing, quality_rules, simhash, url_filter
 from .common import table
 
 RULES = (
@@ -22,6 +22,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = audio.store(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    out = audio.analyse(stored, keep_media=False)
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.sha2("features", 256).alias("feature"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.grouped(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return groups.select(F.col("_id").alias("doc_id"), simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
@@ -56,5 +62,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, clauses).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op8_pii": op8_pii, "op9_bpe": op9_bpe, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_mixing": op1_mixing, "op2_audio": op2_audio, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op8_pii": op8_pii, "op9_bpe": op9_bpe, "op10_quality_rules": op10_quality_rules}
 ORACLES: dict[str, str] = {}
