@@ -21,6 +21,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -183,13 +184,12 @@ def summaries(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return _mapped(docs, text, path, [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")], lambda codec, t: codec.summary(t), keep_text=False)
 
 
-def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """docs with text encoded and decoded again, and n_tokens: what a model trained on the tokens would see."""
+def tokenised(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """docs with token_ids and n_tokens, and with text encoded and decoded: what a model sees of it."""
 
-    def make(codec: Codec, t: str) -> tuple[str, int]:
-        ids = codec.encode(t)
-        return codec.decode(ids), len(ids)
+    def make(codec: Codec, t: str) -> tuple[str, list[int], int]:
+        parts = [p for p in codec.parts(t) if p[0]]
+        ids = np.fromstring(" ".join([p[1] for p in parts]), np.int32, sep=" ")
+        return " ".join([p[2] for p in parts]), ids, len(ids)
 
-    names = docs.columns
-    out = _mapped(docs, text, path, [(text, "string"), ("n_tokens", "long")], make)
-    return out.select(*names, *([] if "n_tokens" in names else ["n_tokens"]))
+    return _mapped(docs, text, path, [(text, "string"), ("token_ids", "array<int>"), ("n_tokens", "long")], make)
