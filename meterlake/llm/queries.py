@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, bpe, html_extract, pii, poisson_mixing, quality_rules, simhash, url_filter
+from . import audio, bpe, html_extract, lm_scoring, pii, poisson_mixing, quality_rules, simhash, url_filter
 from .common import table
 
 RULES = (
@@ -38,6 +38,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_scoring.score(docs, *lm_scoring.fit(docs), keep_text=False)
+
+
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html_extract.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
@@ -67,5 +72,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, clauses).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_audio": op2_audio, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op7_html": op7_html, "op8_pii": op8_pii, "op9_bpe": op9_bpe, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_mixing": op1_mixing, "op2_audio": op2_audio, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op6_lm_scoring": op6_lm_scoring, "op7_html": op7_html, "op8_pii": op8_pii, "op9_bpe": op9_bpe, "op10_quality_rules": op10_quality_rules}
 ORACLES: dict[str, str] = {}
