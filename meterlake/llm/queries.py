@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, bpe, html_extract, lm_scoring, pii, poisson_mixing, quality_rules, simhash, url_filter
+from . import audio, bpe, html_extract, lm_scoring, pii, poisson_mixing, quality_rules, simhash, suffix_dedup, url_filter
 from .common import table
 
 RULES = (
@@ -28,6 +28,10 @@ def op2_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.sha2("features", 256).alias("feature"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.grouped(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return groups.select(F.col("_id").alias("doc_id"), simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
@@ -72,5 +76,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, clauses).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_audio": op2_audio, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op6_lm_scoring": op6_lm_scoring, "op7_html": op7_html, "op8_pii": op8_pii, "op9_bpe": op9_bpe, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_mixing": op1_mixing, "op2_audio": op2_audio, "op3_suffix_dedup": op3_suffix_dedup, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op6_lm_scoring": op6_lm_scoring, "op7_html": op7_html, "op8_pii": op8_pii, "op9_bpe": op9_bpe, "op10_quality_rules": op10_quality_rules}
 ORACLES: dict[str, str] = {}
