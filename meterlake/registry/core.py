@@ -181,9 +181,9 @@ def state_commit_per_task(m: Model) -> DataFrame:
     return inc.reset(_state(m), "usage", "task_4")
 
 
-@query(f"SELECT source, task, last_ts, date_diff('second', last_ts, TIMESTAMP '2024-02-03') // 3600 AS lag_hours FROM ({_STATE}) WHERE date_diff('second', last_ts, TIMESTAMP '2024-02-03') // 3600 > 72")
+@query(f"SELECT source, task, last_ts, date_diff('second', last_ts, TIMESTAMP '2024-02-05') // 3600 AS lag_hours FROM ({_STATE}) WHERE date_diff('second', last_ts, TIMESTAMP '2024-02-05') // 3600 > 72")
 def state_lagging_tasks(m: Model) -> DataFrame:
-    return inc.lagging(_state(m), "2024-02-03 00:00:00", 72).drop("last_version")
+    return inc.lagging(_state(m), "2024-02-05 00:00:00", 72).drop("last_version")
 
 
 @query("SELECT max(usage_end_time) AS watermark, count(*) AS n_rows FROM m_usage")
