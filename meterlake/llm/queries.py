@@ -77,4 +77,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mixing": op1_mixing, "op2_audio": op2_audio, "op3_suffix_dedup": op3_suffix_dedup, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op6_lm_scoring": op6_lm_scoring, "op7_html": op7_html, "op8_pii": op8_pii, "op9_bpe": op9_bpe, "op10_quality_rules": op10_quality_rules}
-ORACLES: dict[str, str] = {}
+#: Mixing is the one operator here that SQL expresses; tests hold the others against brute force.
+ORACLES: dict[str, str] = {
+    "op1_mixing": """WITH s AS (SELECT source, count(*)::DOUBLE AS n FROM documents GROUP BY 1), t AS (SELECT sum(pow(n, 0.5)) AS w, sum(n) AS n FROM s),
+r AS (SELECT source, pow(s.n, 0.5) / t.w * t.n / s.n AS rate FROM s, t),
+c AS (SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf FROM (SELECT source, rate, unnest(range(ceil(rate + 12 * sqrt(rate) + 30)::BIGINT + 1)) AS k FROM r)),
+u AS (SELECT d.*, ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM documents d),
+n AS (SELECT u.*, (SELECT count(*) FROM c WHERE c.source IS NOT DISTINCT FROM u.source AND c.cdf <= u.u) AS times FROM u)
+SELECT doc_id, text, lang, source, n_chars, unnest(range(1, times + 1))::INTEGER AS copy FROM n""",
+}
