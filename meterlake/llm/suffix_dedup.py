@@ -5,13 +5,13 @@ A byte goes if a SPAN-byte string that covers it also starts in a document with
 1. Texts are packed by a hash of their bytes into groups of a few MB (equal texts meet, one copy stays, under their
    smallest id). Every SPAN-byte string is named by the smallest hash of its K-grams, so equal strings have equal names
    wherever they are. Names that occur in one text only need no further look.
-2. Runs of neighbouring strings with one shared name become fragments, at most 2 * SPAN bytes; equal fragments are
-   summed up to one with the smallest id. All fragments of a name go to one block.
+2. Runs of neighbouring strings with one shared name become fragments, at most 2 * SPAN bytes, once a group. All
+   fragments of a name go to one block. A name in very many texts (the border of a common passage may have a different
+   fragment in each) is sent string by string instead, to the block of the string's hash; equal strings still meet.
 3. A block's suffix array is built in two stages: suffixes that are smaller than their successors are sorted directly, the
    others are induced by scanning the buckets in order. Adjacent common prefixes of SPAN bytes or more tie equal
-   strings, and each takes the smallest id of its tie. A name with very many different fragments is treated exactly
-   by another route: its strings are grouped as they are, by a combining aggregate.
-4. The ids go back to the groups, which cut the bytes out.
+   strings, and each takes the smallest id of its tie.
+4. Those fragments go back to the groups in which some text loses a string; the groups cut the bytes out.
 
 Groups and blocks grow in number with the input, never in size, and a passage or text that a third of all documents
 share moves once a task, not once a document.
@@ -25,9 +25,9 @@ an empty table.
 from __future__ import annotations
 
 import hashlib
+import marshal
 import math
 import struct
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,14 +37,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, text_of
+from .common import text_of
 
 SPAN, K = 50, 16
 WINDOW = SPAN - K + 1
-#: Bytes of text in a group, of fragments in a block; windows in a fragment.
-GROUP_BYTES, BLOCK_BYTES, RUN = 4 << 20, 2 << 20, WINDOW
-#: Names with more different fragments are grouped string by string.
-MAX_FRAGMENTS = 512
+#: Bytes of text in a group; strings in a fragment. Fragments repeat a text's bytes 3.5 times at most, so as many blocks
+#: a group keep blocks as small as groups.
+GROUP_BYTES, RUN, BLOCKS_A_GROUP = 4 << 20, WINDOW, 3
+#: Names in more texts are sent to blocks string by string.
+MANY = 512
 NO_ID = (1 << 63) - 1
 U = np.uint64
 
@@ -270,97 +271,144 @@ def to_bytes(found: np.ndarray) -> bytes:
     return found[:1].tobytes() if (found == found[0]).all() else found.tobytes()
 
 
+# What groups and blocks send each other
+
+
+def pack_columns(*columns: list | np.ndarray) -> bytes:
+    """Numbers (as arrays) and byte strings (as lists) of one length."""
+    out = [c.tobytes() if isinstance(c, np.ndarray) else (np.array(list(map(len, c)), np.int32).tobytes(), b"".join(c)) for c in columns]
+    return zstandard.compress(marshal.dumps(out), 3)
+
+
+def unpack_columns(blob: bytes, *kinds: type) -> list[list]:
+    """kinds: a numpy type, or bytes, for each column."""
+    out = []
+    for value, kind in zip(marshal.loads(zstandard.decompress(blob)), kinds):
+        if kind is bytes:
+            ends = np.cumsum(np.frombuffer(value[0], np.int32), dtype=np.int64).tolist()
+            out.append([value[1][a:b] for a, b in zip([0, *ends], ends)])
+        else:
+            out.append(np.frombuffer(value, kind).tolist())
+    return out
+
+
 # The steps on Spark
 
 
 def shared_names(packs: DataFrame, buckets: int) -> DataFrame:
-    """(grp, names): for each group, its names that occur in two texts or more."""
+    """(grp, names, many): for each group, its names that occur in two texts or more; many: in more than MANY texts."""
     width = min((1 << 64) // buckets + 1, (1 << 64) - 1)
 
     def gather(table: pa.Table) -> pa.Table:
         own = [np.unique(names(text)) for text in unpack(b.as_py() for b in table.column("blob"))]
         every = np.sort(np.concatenate(own))
-        new = np.r_[True, every[1:] != every[:-1]]
-        values, n = every[new], np.diff(np.r_[np.flatnonzero(new), every.size])
+        new = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+        values, n = every[new], np.diff(np.r_[new, every.size]).astype(np.uint32)
         bucket = (values // U(width)).astype(np.int64)
         cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        parts = [(int(bucket[a]), values[a:b], n[a:b] > 1) for a, b in zip(cut.tolist(), [*cut[1:].tolist(), bucket.size])]
+        parts = [(int(bucket[a]), values[a:b], n[a:b]) for a, b in zip(cut.tolist(), [*cut[1:].tolist(), bucket.size])]
         grp = table.column("grp")[0].as_py()
-        return pa.table({"bucket": pa.array([p[0] for p in parts], pa.int64()), "grp": pa.array([grp] * len(parts), pa.int32()), "one": pa.array([pack_sorted(v[~m]) for _, v, m in parts], pa.binary()), "more": pa.array([pack_sorted(v[m]) for _, v, m in parts], pa.binary())})
+        blobs = [[pack_sorted(v[m == 1]) for _, v, m in parts], [pack_sorted(v[m > 1]) for _, v, m in parts], [zstandard.compress(m[m > 1].tobytes(), 1) for _, _, m in parts]]
+        return pa.table([pa.array([p[0] for p in parts], pa.int64()), pa.array([grp] * len(parts), pa.int32()), *[pa.array(b, pa.binary()) for b in blobs]], names=["bucket", "grp", "one", "more", "texts"])
 
     def answer(table: pa.Table) -> pa.Table:
         grps = table.column("grp").to_pylist()
         ones = [unpack_sorted(b.as_py()) for b in table.column("one")]
         mores = [unpack_sorted(b.as_py()) for b in table.column("more")]
-        own = [np.concatenate(x) for x in zip(ones, mores)]
-        every = np.sort(np.concatenate(own))
-        twice = every[1:][every[1:] == every[:-1]]
-        common = np.unique(np.concatenate([twice, *mores]))
-        replies = [np.sort(x[common[np.minimum(np.searchsorted(common, x), common.size - 1)] == x]) if common.size else x[:0] for x in own]
+        texts = [np.frombuffer(zstandard.decompress(b.as_py()), np.uint32) for b in table.column("texts")]
+        every = np.concatenate([*ones, *mores])
+        weight = np.concatenate([np.ones(sum(x.size for x in ones), np.int64), *[x.astype(np.int64) for x in texts]])
+        order = np.argsort(every, kind="stable")
+        every, weight = every[order], weight[order]
+        start = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+        values, n = every[start], np.add.reduceat(weight, start)
+        some, many = values[n > 1], values[n > MANY]
+        has = lambda x, of: x[of[np.minimum(np.searchsorted(of, x), of.size - 1)] == x] if of.size else x[:0]
+        own = [np.sort(np.concatenate(x)) for x in zip(ones, mores)]
+        replies = [has(x, some) for x in own]
         kept = [k for k, r in enumerate(replies) if r.size]
-        return pa.table({"grp": pa.array([grps[k] for k in kept], pa.int32()), "names": pa.array([pack_sorted(replies[k]) for k in kept], pa.binary())})
+        return pa.table([pa.array([grps[k] for k in kept], pa.int32()), pa.array([pack_sorted(replies[k]) for k in kept], pa.binary()), pa.array([pack_sorted(has(own[k], many)) for k in kept], pa.binary())], names=["grp", "names", "many"])
 
-    gathered = packs.groupBy("grp").applyInArrow(gather, "bucket bigint, grp int, one binary, more binary")
-    return gathered.groupBy("bucket").applyInArrow(answer, "grp int, names binary")
+    gathered = packs.groupBy("grp").applyInArrow(gather, "bucket bigint, grp int, one binary, more binary, texts binary")
+    return gathered.groupBy("bucket").applyInArrow(answer, "grp int, names binary, many binary")
 
 
-def fragments(packs: DataFrame, shared: DataFrame) -> DataFrame:
-    """(fragment, name, content, grp, id): the fragments of shared names, once a group."""
+def pieces(text: bytes, shared: np.ndarray, many: set[int]) -> Iterator[tuple[int, int, bytes, int]]:
+    """(place, strings, content, name) of the text's fragments; those of a name with many texts string by string."""
+    for a, b, h in runs(names(text), shared):
+        if h in many:
+            for k in range(a, b):
+                yield k, 1, text[k : k + SPAN], h
+        else:
+            yield a, b - a, text[a : b + SPAN - 1], h
+
+
+def fragments(packs: DataFrame, shared: DataFrame, blocks: int) -> DataFrame:
+    """(block, grp, blob): the fragments of shared names, once a group, by the block of their name; those of a name
+    with many texts by the block of their content, so that neither holds more than a bounded share."""
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         found: dict[bytes, list] = {}
         if right.num_rows and left.num_rows:
             shared = np.sort(np.concatenate([unpack_sorted(b.as_py()) for b in right.column("names")]))
+            many = {h for b in right.column("many") for h in unpack_sorted(b.as_py()).tolist()}
             for text, i in unpack(b.as_py() for b in left.column("blob")).items():
-                for a, b, h in runs(names(text), shared):
-                    content = text[a : b + SPAN - 1]
+                for _, _, content, h in pieces(text, shared, many):
                     known = found.get(content)
                     if known is None:
-                        found[content] = [h, i]
-                    elif i < known[1]:
-                        known[1] = i
+                        found[content] = [i, h, h in many, i, i]
+                    else:
+                        known[3], known[4] = min(known[3], i), max(known[4], i)
+        by: dict[int, list[bytes]] = {}
+        for content, x in found.items():
+            by.setdefault((xxhash.xxh64_intdigest(content) if x[2] else x[1]) % blocks, []).append(content)
         grp = left.column("grp")[0].as_py() if left.num_rows else 0
-        n = len(found)
-        name = np.array([x[0] for x in found.values()], U).view(np.int64)
-        return pa.table({"fragment": pa.array([xxhash.xxh3_128_digest(c) for c in found], pa.binary()), "name": pa.array(name, pa.int64()), "content": pa.array(list(found), pa.binary()), "grp": pa.array([grp] * n, pa.int32()), "id": pa.array([x[1] for x in found.values()], pa.int64())})
+        column = lambda part, k, kind: np.array([found[c][k] for c in part], kind)
+        blobs = [pack_columns(part, column(part, 1, U), column(part, 2, np.uint8), column(part, 3, np.int64), column(part, 4, np.int64)) for part in by.values()]
+        return pa.table([pa.array(list(by), pa.int64()), pa.array([grp] * len(by), pa.int32()), pa.array(blobs, pa.binary())], names=["block", "grp", "blob"])
 
-    return packs.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(cut, "fragment binary, name bigint, content binary, grp int, id bigint")
+    return packs.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(cut, "block bigint, grp int, blob binary")
 
 
-def in_blocks(distinct: DataFrame, blocks: int) -> DataFrame:
-    """(fragment, name, grps, ids): the smallest ids of each fragment's strings, by suffix arrays."""
+def in_blocks(parts: DataFrame) -> DataFrame:
+    """(grp, blob): for each group, the fragments in which some text of it loses a string, with the smallest ids of
+    their strings, found by a suffix array over the block's different fragments."""
 
     def array(table: pa.Table) -> pa.Table:
-        found = smallest_ids([c.as_py() for c in table.column("content")], table.column("id").to_pylist())
-        return pa.table({"fragment": table.column("fragment"), "name": table.column("name"), "grps": table.column("grps"), "ids": pa.array([to_bytes(x) for x in found], pa.binary())})
-
-    block = F.pmod(F.xxhash64("name"), F.lit(blocks))
-    return distinct.withColumn("block", block).groupBy("block").applyInArrow(array, "fragment binary, name bigint, grps array<int>, ids binary")
-
-
-def string_by_string(distinct: DataFrame) -> DataFrame:
-    """The same for names with very many fragments: every string is a row, equal ones meet in a combining aggregate."""
-    at = F.explode(F.sequence(F.lit(1), F.length("content") - SPAN + 1)).alias("at")
-    strings = distinct.select("fragment", "id", "content", at).select("fragment", "at", "id", F.substring("content", F.col("at"), F.lit(SPAN)).alias("string"))
-    best = checkpointed(strings.groupBy("string").agg(F.min("id").alias("best")))
-    ids = strings.join(best, "string").groupBy("fragment").agg(F.sort_array(F.collect_list(F.struct("at", "best"))).alias("x"))
-    # Eight bytes each, the lowest first, as the blocks write them.
-    number = lambda v: F.unhex(F.lpad(F.hex(v), 16, "0"))
-    swapped = lambda b: F.concat(*[F.substring(b, k, 1) for k in range(8, 0, -1)])
-    whole = F.aggregate("x", F.lit(b""), lambda acc, v: F.concat(acc, swapped(number(v["best"]))))
-    return distinct.select("fragment", "name", "grps").join(ids.select("fragment", whole.alias("ids")), "fragment")
-
-
-def results(packs: DataFrame, found: DataFrame) -> DataFrame:
-    """(text_key, id, n_removed, n_spans, kept_sha256) of every packed text."""
+        smallest: dict[bytes, int] = {}
+        wanted = []
+        for grp, blob in zip(table.column("grp").to_pylist(), table.column("blob")):
+            for content, name, many, low, high in zip(*unpack_columns(blob.as_py(), bytes, U, np.uint8, np.int64, np.int64)):
+                smallest[content] = min(low, smallest.get(content, low))
+                wanted.append((grp, content, name, many, high))
+        found = dict(zip(smallest, smallest_ids(list(smallest), list(smallest.values()))))
+        by: dict[int, list] = {}
+        for grp, content, name, many, high in wanted:
+            ids = found[content]
+            if ids.min() < high:
+                by.setdefault(grp, []).append((xxhash.xxh3_128_digest(content), name, many, to_bytes(ids)))
+        blobs = [pack_columns([x[0] for x in rows], np.array([x[1] for x in rows], U), np.array([x[2] for x in rows], np.uint8), [x[3] for x in rows]) for rows in by.values()]
+        return pa.table([pa.array(list(by), pa.int32()), pa.array(blobs, pa.binary())], names=["grp", "answer"])
+
+    return parts.groupBy("block").applyInArrow(array, "grp int, answer binary")
+
+
+def results(packs: DataFrame, answers: DataFrame) -> DataFrame:
+    """(text_key, first, n_removed, n_spans, kept_sha256) of every packed text."""
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
         if left.num_rows:
-            known = dict(zip(right.column("fragment").to_pylist(), right.column("ids").to_pylist())) if right.num_rows else {}
-            shared = np.unique(right.column("name").to_numpy().view(U)) if right.num_rows else np.empty(0, U)
+            known, shared, many = {}, set(), set()
+            for blob in right.column("answer") if right.num_rows else ():
+                for key, name, is_many, ids in zip(*unpack_columns(blob.as_py(), bytes, U, np.uint8, bytes)):
+                    known[key] = ids
+                    shared.add(name)
+                    if is_many:
+                        many.add(name)
+            sorted_names = np.sort(np.array(list(shared), U))
             for text, i in unpack(b.as_py() for b in left.column("blob")).items():
-                spans = removed(text, i, shared, known) if shared.size else []
+                spans = removed(text, i, sorted_names, many, known) if shared else []
                 kept, at = [], 0
                 for a, b in spans:
                     kept.append(text[at:a])
@@ -371,10 +419,10 @@ def results(packs: DataFrame, found: DataFrame) -> DataFrame:
         kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["text_key", "first", "n_removed", "n_spans", "kept_sha256"])
 
-    return packs.groupBy("grp").cogroup(found.groupBy("grp")).applyInArrow(apply, "text_key binary, first bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return packs.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(apply, "text_key binary, first bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
-def removed(text: bytes, own: int, shared: np.ndarray, known: dict[bytes, bytes]) -> list[tuple[int, int]]:
+def removed(text: bytes, own: int, shared: np.ndarray, many: set[int], known: dict[bytes, bytes]) -> list[tuple[int, int]]:
     """The text's removed byte ranges, maximal and in order."""
     out: list[list[int]] = []
 
@@ -384,48 +432,27 @@ def removed(text: bytes, own: int, shared: np.ndarray, known: dict[bytes, bytes]
         else:
             out.append([a, b])
 
-    for a, b, _ in runs(names(text), shared):
-        ids = known.get(xxhash.xxh3_128_digest(text[a : b + SPAN - 1]))
+    for a, n, content, _ in pieces(text, shared, many):
+        ids = known.get(xxhash.xxh3_128_digest(content))
         if ids is None:
             continue
         if len(ids) == 8:
             if int.from_bytes(ids, "little", signed=True) < own:
-                add(a, b + SPAN - 1)
+                add(a, a + n + SPAN - 1)
             continue
         for k in np.flatnonzero(np.frombuffer(ids, np.int64) < own).tolist():
             add(a + k, a + k + SPAN)
     return [(a, b) for a, b in out]
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df through a compressed table in the shared folder; smaller there than a checkpoint's rows."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        return checkpointed(df)
-    path = f"{folder}/suffix-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a row of docs: its id, n_bytes, n_removed, n_spans and kept_sha256."""
     rows = docs.select(docs[doc_id].cast("bigint").alias("_doc"), F.coalesce(docs[doc_id].cast("bigint"), F.lit(NO_ID)).alias("_id"), text_of(docs, text).cast("string").alias("_text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
     groups = max(1, math.ceil(size / GROUP_BYTES))
     packs = packed(rows, groups)
-    shared = shared_names(packs, groups)
-    pieces = fragments(packs, shared)
-    distinct = written(pieces.groupBy("fragment").agg(F.max("name").alias("name"), F.max("content").alias("content"), F.min("id").alias("id"), F.collect_set("grp").alias("grps")))
-    many = distinct.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") > MAX_FRAGMENTS).select("name")
-    many = checkpointed(many)
-    volume = distinct.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(volume / BLOCK_BYTES))
-    found = in_blocks(distinct.join(many, "name", "left_anti"), blocks)
-    if not many.isEmpty():
-        found = found.unionByName(string_by_string(distinct.join(many, "name", "left_semi")))
-    answers = found.select(F.explode("grps").alias("grp"), "fragment", "name", "ids")
-    done = results(packs, answers)
+    parts = fragments(packs, shared_names(packs, groups), BLOCKS_A_GROUP * groups)
+    done = results(packs, in_blocks(parts))
     return labelled(rows).join(done, "text_key", "left").select(
         F.col("_doc").alias(doc_id),
         "n_bytes",

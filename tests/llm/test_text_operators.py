@@ -132,7 +132,7 @@ def test_suffix_dedup_equals_brute_force(docs):
 
 
 def test_suffix_dedup_of_names_with_very_many_fragments(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "MAX_FRAGMENTS", 3)
+    monkeypatch.setattr(suffix_dedup, "MANY", 3)
     monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 2_000)
     line = "this line of text is found in very many of the documents here"
     rows = [(k, f"{rng.random()} {line} {rng.random()} {line[: 40 + k % 20]}{'é' * (k % 3)}") for k in range(60)]
