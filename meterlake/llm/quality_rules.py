@@ -198,7 +198,8 @@ def learn_from(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     ids = labels.where(labels[quality].isNotNull()).groupBy(labels[doc_id].alias("_id")).agg(F.min(quality).alias("_quality"))
     sample = ids.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     known = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).drop("_id")
-    return learn(statistics(known, "text"), "_quality", "doc_id")
+    # Cut here, or filters on the statistics move below the join, which then computes them for all documents.
+    return learn(statistics(checkpointed(known), "text"), "_quality", "doc_id")
 
 
 def judge(docs: DataFrame, clauses: list[Clause], text: str = "text") -> DataFrame:
