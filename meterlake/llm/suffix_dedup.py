@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-SPAN, K = 50, 16
+#: K-grams short enough to recur by chance make names shared that no string shares, the more the larger the corpus.
+SPAN, K = 50, 32
 WINDOW = SPAN - K + 1
 #: Bytes of text in a group; strings in a fragment. Fragments repeat a text's bytes 3.5 times at most, so as many blocks
 #: a group keep blocks as small as groups.
