@@ -57,6 +57,13 @@ SCOPES = frozenset("table td th ul ol dl div section article main body html asid
 #: Words of class and id that name what is left out, and what is the article.
 LEFT_OUT = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation breadcrumb breadcrumbs sidebar side aside widget widgets header masthead topbar footer foot copyright cookie cookies consent gdpr notice notices alert popup modal overlay comment comments reply replies respond disqus discussion share sharing social related recommended newsletter subscribe subscription signup login search form toolbar pagination pager skip".split())
 ARTICLE = frozenset("article post entry story content main body text".split())
+#: Of LEFT_OUT, what may be marked up as an article and is none.
+TALK = frozenset("comment comments reply replies respond related recommended".split())
+#: First words of names that tell a state of an element (no-sidebar, with-header), and last words that only say part.
+STATES = frozenset("no not non has have with without is hide show".split())
+PARTS = frozenset("area bar box item items link links list panel slot unit".split())
+#: Elements that hold the page or its article, whatever their classes say.
+KEPT = frozenset("html body main".split())
 NOT_WORD = re.compile(r"[^a-z0-9]+")
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|\Z)", re.S)
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)")
@@ -76,7 +83,20 @@ class Node:
         return self.tag + ("." + ".".join(sorted(self.words)) if self.words else "")
 
 
+def names_left_out(value: str) -> frozenset:
+    """The words of LEFT_OUT that these names say: whole names, or the last word of a compound that tells no state."""
+    found = set()
+    for name in value.split():
+        words = [w for w in NOT_WORD.split(name.split("--")[0]) if w and not w.isdigit()]
+        while len(words) > 1 and words[-1] in PARTS:
+            words.pop()
+        if words and words[-1] in LEFT_OUT and (len(words) == 1 or words[0] not in STATES):
+            found.add(words[-1])
+    return frozenset(found)
+
+
 def words_of(attributes: str) -> frozenset:
+    """The words of class, id and role; ``!out`` if they name what is left out, ``!talk`` if that is no article either."""
     found = set()
     for name, *values in NAMES.findall(attributes):
         value = "".join(values).lower()
@@ -84,6 +104,9 @@ def words_of(attributes: str) -> frozenset:
             found.add("hidden")
         elif name.lower() != "aria-hidden":
             found.update(w for w in NOT_WORD.split(value) if w and not w.isdigit())
+            if out := names_left_out(value):
+                found.add("!out")
+                found.update({"!talk"} if out & TALK else ())
     return frozenset(found)
 
 
@@ -136,7 +159,7 @@ def parse(page: str) -> Node:
             pieces.append(" ")
             continue
         words = frozenset() if closing or not m.group(3).strip() else words_of(m.group(3))
-        if tag in INLINE and not closing and not words & LEFT_OUT and "hidden" not in words:
+        if tag in INLINE and not closing and "!out" not in words and "hidden" not in words:
             in_link += tag == "a"
             continue
         if tag in INLINE and closing and not any(x.tag == tag for x in stack[1:]):
@@ -244,8 +267,8 @@ def trimmed(wrapper: list) -> list:
 
 
 def left_out(label: str) -> bool:
-    tag, _, words = label.partition(".")
-    return tag in DROPPED or "hidden" in words.split(".") or not LEFT_OUT.isdisjoint(words.split("."))
+    tag, *words = label.split(".")
+    return tag in DROPPED or (tag not in KEPT and ("hidden" in words or ("!talk" if tag == "article" else "!out") in words))
 
 
 class Slot:
@@ -266,14 +289,19 @@ class Slot:
 
 
 def ready(wrapper: list) -> Slot:
-    """The wrapper with its article marked: the outermost elements that say so, by name first, by role or class else."""
+    """The wrapper with its article marked: the outermost elements that say so, by name first, by role or class else.
+
+    An article or main element counts within an element that is left out by its class, if there is none elsewhere.
+    """
     root = Slot(wrapper)
-    for is_main in (lambda tag, words: tag == "article", lambda tag, words: tag == "main" or "main" in words, lambda tag, words: tag in {"div", "section", "td"} and not ARTICLE.isdisjoint(words)):
+    by_name = lambda tag, words: tag in {"article", "main"}
+    for is_main in (lambda tag, words: tag == "article", lambda tag, words: tag == "main" or "main" in words, by_name, lambda tag, words: tag in {"div", "section", "td"} and not ARTICLE.isdisjoint(words)):
         found, todo = [], [root]
         while todo:
             x = todo.pop()
             tag, *words = x.label.split(".")
-            if x is not root and (left_out(x.label) or tag == "header"):
+            within = is_main is by_name and tag not in DROPPED and not {"hidden", "!talk"} & {*words}
+            if x is not root and (left_out(x.label) or tag == "header") and not within:
                 continue
             if is_main(tag, words):
                 found.append(x)

@@ -324,6 +324,14 @@ def test_main_text_follows_the_host_wrapper(spark):
     assert html_extract.main_text(df.limit(0)).count() == 0
 
 
+def test_state_classes_and_marked_articles_are_not_left_out(spark):
+    article, rest = "<article class='post has-ads'><p>Text of {}</p></article>", "<div class='cookie-bar'>c</div><div id='comments'><article class='comment'>said</article></div>"
+    around = ["<body class='no-sidebar'>{}", "<body class='single-post comments-open'>{}", "<div class='content with-header'>{}</div>", "<main class='has-sidebar'>{}</main>", "<div class='right sidebar'>{}</div>", "<main class='menu'><p>Text of {{}}</p></main>"]
+    rows = [(k, f"http://h{k}.com/", a.format(article).format(k) + rest) for k, a in enumerate(around)]
+    out = html_extract.main_text(spark.createDataFrame(rows, "page_id int, url string, html string"))
+    assert dict(collected(out, "page_id", "text")) == {k: f"Text of {k}" for k in range(len(around))}
+
+
 def test_wrappers_fold_repeats_and_mark_options():
     wrapper = html_extract.infer(["<ul><li>a<li>b</ul><p>x", "<ul><li>c</ul><h2>t</h2><p>x"])
     kinds = {}
