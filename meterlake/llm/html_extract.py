@@ -5,7 +5,8 @@ tokens: nested elements, repeated groups, optional groups and text slots. It is
 the first wrapper; each next one is aligned with it, a mismatch in text becomes a slot, neighbouring repeats fold into a
 repeated group, and elements found on one side only become optional. Alignment of wrappers is the same operation, so each
 task infers one wrapper a host from its own pages, and the small wrappers are aligned again in a tree of joins by host:
-no task ever holds a host's pages, however hot it is.
+no task ever holds a host's pages, however hot it is. Wrappers hold structure; on hosts that have pages without article
+mark, Spark counts every text in its slot over all pages.
 
 Text is taken from the slots that a page shares with its host's wrapper: within the marked article if the page has one,
 else outside the template (text that at least ``MIN_PAGES`` pages repeat word for word) and outside link lists. Elements
@@ -33,7 +34,6 @@ from .common import checkpointed, lower_ascii
 
 #: Text that so many pages of a host repeat word for word, at one place of its wrapper, belongs to the template.
 MIN_PAGES = 3
-KEPT_TEXTS = 64
 #: Share of a block's characters in links from which it counts as a link list, outside a marked article.
 LINK_SHARE = 0.6
 #: Wrappers aligned by one task at a time.
@@ -103,7 +103,8 @@ def words_of(attributes: str) -> frozenset:
         if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value == "true"):
             found.add("hidden")
         elif name.lower() != "aria-hidden":
-            found.update(w for w in NOT_WORD.split(value) if w and not w.isdigit())
+            words = (w for w in NOT_WORD.split(value) if w and not w.isdigit())
+            found.update(w for w in words if name.lower() != "id" or w in ARTICLE)  # other ids name one element, not a slot
             if out := names_left_out(value):
                 found.add("!out")
                 found.update({"!talk"} if out & TALK else ())
@@ -188,28 +189,33 @@ def parse(page: str) -> Node:
     return root
 
 
-# A wrapper is [label, optional, repeated, pages, texts, children]. texts is null for elements; a text slot has the hashes
-# of its texts with the pages that each is on. Of more than KEPT_TEXTS, those are kept that make up more than one in
-# KEPT_TEXTS of all the slot's texts (all counts fall together until few enough are left), so templates stay.
+# A wrapper is [label, optional, repeated, pages, text, children]: structure only; text says whether it is a text slot.
 
 
-def text_key(text: str) -> str:
-    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+def hashed(path: bytes, value: str) -> bytes:
+    """Names a label or a text below a path of labels."""
+    return blake2b(path + value.encode("utf-8", "surrogatepass"), digest_size=8).digest()
 
 
-def counted_together(a: dict, b: dict, same_page: bool) -> dict:
-    out = dict(a)
-    for k, n in b.items():
-        out[k] = max(out.get(k, 0), n) if same_page else out.get(k, 0) + n
-    while len(out) > KEPT_TEXTS:
-        least = min(out.values())
-        out = {k: n - least for k, n in out.items() if n > least}
-    return out
+def key_of(path: bytes, text: str) -> int:
+    return int.from_bytes(hashed(path, text), "little", signed=True)
+
+
+def texts_outside(root: Node) -> Iterator[tuple[Node, bytes]]:
+    """The text blocks of a page without article mark, in page order, each with the path of labels above it."""
+    todo = [(root, b"")]
+    while todo:
+        x, path = todo.pop()
+        if not x.tag:
+            yield x, path
+        elif x is root or not (left_out(x.label) or x.tag == "header"):
+            below = hashed(path, x.label)
+            todo.extend((c, below) for c in reversed(x.children))
 
 
 def wrapper_of(node: Node) -> list:
     """A page's own wrapper: each element once, neighbouring repeats folded into groups."""
-    own = [node.label, False, False, 1, {text_key(node.text): 1} if not node.tag else None, []]
+    own = [node.label, False, False, 1, not node.tag, []]
     for child in node.children:
         own[5].append(wrapper_of(child))
     own[5] = folded(own[5])
@@ -233,13 +239,12 @@ def folded(children: list) -> list:
 
 def aligned(a: list, b: list, same_page: bool = False) -> list:
     """The wrapper of what either fits."""
-    texts = None if a[4] is None else counted_together(a[4], b[4], same_page)
     pages = max(a[3], b[3]) if same_page else a[3] + b[3]
     if [c[0] for c in a[5]] == [c[0] for c in b[5]]:
         children = [aligned(x, y, same_page) for x, y in zip(a[5], b[5])]
     else:
         children = folded(_aligned_lists(a[5], b[5], same_page))
-    return [a[0], a[1] or b[1], a[2] or b[2] or same_page, pages, texts, children]
+    return [a[0], a[1] or b[1], a[2] or b[2] or same_page, pages, a[4], children]
 
 
 def _aligned_lists(a: list, b: list, same_page: bool) -> list:
@@ -253,17 +258,12 @@ def _aligned_lists(a: list, b: list, same_page: bool) -> list:
             out += [aligned(p, q, same_page) for p, q in zip(a[x : x + size], b[y : y + size])]
             i, j = x + size, y + size
         return out
-    merged: dict[str, list] = {}
-    for c in (*a, *b):
-        merged[c[0]] = aligned(merged[c[0]], c, True) if c[0] in merged else optional(c)
-    return list(merged.values())
-
-
-def trimmed(wrapper: list) -> list:
-    """A finished wrapper, of whose texts only those of the template are left."""
-    label, optional, repeated, pages, texts, children = wrapper
-    texts = None if texts is None else {k: n for k, n in texts.items() if n >= MIN_PAGES}
-    return [label, optional, repeated, pages, texts, [trimmed(c) for c in children]]
+    sides: list[dict[str, list]] = [{}, {}]
+    for side, children in zip(sides, (a, b)):  # of one side, so the same pages; the pages of both add up
+        for c in children:
+            side[c[0]] = aligned(side[c[0]], c, True) if c[0] in side else c
+    one, two = sides
+    return [aligned(one[k], two[k], same_page) if k in one and k in two else optional(one.get(k) or two[k]) for k in dict.fromkeys((*one, *two))]
 
 
 def left_out(label: str) -> bool:
@@ -274,10 +274,10 @@ def left_out(label: str) -> bool:
 class Slot:
     """A wrapper element made ready for reading pages: slots by label, and whether it holds the article."""
 
-    __slots__ = ("texts", "slots", "label", "main")
+    __slots__ = ("is_text", "slots", "label", "main")
 
     def __init__(self, wrapper: list) -> None:
-        self.label, _, _, _, self.texts, children = wrapper
+        self.label, _, _, _, self.is_text, children = wrapper
         self.slots: dict[str, Slot] = {}
         self.main = False
         for c in children:
@@ -285,7 +285,7 @@ class Slot:
                 self.slots[c[0]] = Slot(c)
 
     def has_text(self) -> bool:
-        return self.texts is not None or any(s.has_text() for s in self.slots.values() if not left_out(s.label))
+        return self.is_text or any(s.has_text() for s in self.slots.values() if not left_out(s.label))
 
 
 def ready(wrapper: list) -> Slot:
@@ -315,17 +315,23 @@ def ready(wrapper: list) -> Slot:
     return root
 
 
-def extract(page: str, wrapper: Slot | None) -> str:
-    """The page's main text, read along its host's wrapper, or along its own where the host's article is not in it."""
+def marked(root: Node, slots: Slot) -> list[str]:
+    """The text blocks of the page's articles by these slots."""
+    blocks: list[str] = []
+    for node, _ in _articles(root, slots):
+        _collect(node, blocks)
+    return blocks
+
+
+def extract(page: str, wrapper: Slot | None, templates: frozenset = frozenset()) -> str:
+    """The page's main text, read along its host's wrapper, or along its own where the host's article is not in it.
+
+    Without any article: what is no template (templates: keys of such texts in their slots) and no link list.
+    """
     root = parse(page)
-    for slots in (wrapper, None):
-        slots = ready(wrapper_of(root)) if slots is None else slots
-        blocks: list[str] = []
-        for node, slot in _articles(root, slots):
-            _collect(node, slot, True, blocks)
-        if blocks:
-            return "\n\n".join(blocks)
-    _collect(root, wrapper, False, blocks)
+    blocks = (marked(root, wrapper) if wrapper else []) or marked(root, ready(wrapper_of(root)))
+    if not blocks:
+        blocks = [x.text for x, path in texts_outside(root) if x.links <= LINK_SHARE * len(x.text) and key_of(path, x.text) not in templates]
     return "\n\n".join(blocks)
 
 
@@ -341,16 +347,14 @@ def _articles(root: Node, slots: Slot) -> list[tuple[Node, Slot]]:
     return found
 
 
-def _collect(node: Node, slot: Slot | None, in_article: bool, blocks: list[str]) -> None:
-    todo = [(node, slot)]
+def _collect(node: Node, blocks: list[str]) -> None:
+    todo = [node]
     while todo:
-        x, s = todo.pop()
+        x = todo.pop()
         if not x.tag:
-            template = s is not None and s.texts.get(text_key(x.text), 0) >= MIN_PAGES
-            if in_article or not (template or x.links > LINK_SHARE * len(x.text)):
-                blocks.append(x.text)
-        elif x is node or not (left_out(x.label) or (x.tag == "header" and not in_article)):
-            todo.extend((c, s.slots.get(c.label) if s else None) for c in reversed(x.children))
+            blocks.append(x.text)
+        elif x is node or not left_out(x.label):
+            todo.extend(reversed(x.children))
 
 
 def infer(pages: Iterable[str | None]) -> list | None:
@@ -367,37 +371,61 @@ def host_of(url: Column) -> Column:
 
 
 def wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """One row a host: host, wrapper (JSON). Every page takes part."""
+    """One row a host: host, wrapper (JSON), templates (keys of its template texts). Every page takes part."""
 
-    names = ["host", "wrapper"]
+    names = ["host", "wrapper", "plain"]
+    schema = "host string, wrapper string, plain boolean"
 
     def by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list] = {}
+        plain: set[str] = set()
         for batch in batches:
             for host, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = wrapper_of(parse(text.as_py() or ""))
+                root = parse(text.as_py() or "")
+                own = wrapper_of(root)
                 found[host] = aligned(found[host], own) if host in found else own
+                if host not in plain and not marked(root, ready(own)):
+                    plain.add(host)
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([json.dumps(w) for w in found.values()], pa.string())], names=names)
-
-    def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([json.dumps(trimmed(json.loads(w.as_py()))) for w in batch.column(1)], pa.string())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([json.dumps(w) for w in found.values()], pa.string()), pa.array([h in plain for h in found], pa.bool_())], names=names)
 
     def join(rows: pa.Table) -> pa.Table:
         whole = None
         for w in map(json.loads, sorted(rows.column("wrapper").to_pylist())):
             whole = w if whole is None else aligned(whole, w)
-        return pa.table([pa.array([rows.column("host")[0].as_py()], pa.string()), pa.array([json.dumps(whole)], pa.string())], names=names)
+        return pa.table([pa.array([rows.column("host")[0].as_py()], pa.string()), pa.array([json.dumps(whole)], pa.string()), pa.array([any(rows.column("plain").to_pylist())], pa.bool_())], names=names)
 
     rows = pages.select(host_of(pages[url]).alias("host"), pages[page].cast("string").alias("page"))
-    found = checkpointed(rows.mapInArrow(by_task, "host string, wrapper string"))
-    while True:
-        most = found.groupBy("host").count().agg(F.max("count")).first()[0] or 0
-        if most <= 1:
-            return checkpointed(found.mapInArrow(trim, "host string, wrapper string"))
+    found = checkpointed(rows.mapInArrow(by_task, schema))
+    while (most := found.groupBy("host").count().agg(F.max("count")).first()[0] or 0) > 1:
         salt = F.pmod(F.xxhash64("wrapper"), F.lit(-(-most // FAN_IN))) if most > FAN_IN else F.lit(0).cast("bigint")
-        found = checkpointed(found.groupBy("host", salt.alias("salt")).applyInArrow(join, "host string, wrapper string"))
+        found = checkpointed(found.groupBy("host", salt.alias("salt")).applyInArrow(join, schema))
+    plain = found.where("plain").select("host")
+    n, size = plain.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("host")), F.lit(0))).first()
+    if not n:
+        return found.select("host", "wrapper", F.array().cast("array<bigint>").alias("templates"))
+    asked = rows.join(F.broadcast(plain) if size <= BROADCAST_BYTES else plain, "host", "left_semi")
+    return checkpointed(found.join(template_texts(asked), "host", "left").select("host", "wrapper", F.coalesce("templates", F.array().cast("array<bigint>")).alias("templates")))
+
+
+def template_texts(rows: DataFrame) -> DataFrame:
+    """rows (host, page) -> host, templates: keys of the texts that enough pages of the host have in one slot.
+
+    Only hosts that have pages without article mark need it. A text counts once a page; all texts of all pages count.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                hosts, keys = [], []
+                for host, text in zip(batch.column(0).slice(at, 256).to_pylist(), batch.column(1).slice(at, 256)):
+                    found = {key_of(path, x.text) for x, path in texts_outside(parse(text.as_py() or ""))}
+                    hosts += [host] * len(found)
+                    keys += found
+                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64())], names=["host", "key"])
+
+    counts = rows.mapInArrow(run, "host string, key bigint").groupBy("host", "key").agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") >= MIN_PAGES).groupBy("host").agg(F.sort_array(F.collect_list("key")).alias("templates"))
 
 
 def main_text(pages: DataFrame, url: str = "url", page: str = "html", text: str = "text", keep_page: bool = False, found: DataFrame | None = None) -> DataFrame:
@@ -407,20 +435,20 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html", text: str
     types = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, Slot] = {}
+        known: dict[tuple, tuple[Slot | None, frozenset]] = {}
         for batch in batches:
             texts = []
-            for value, wrapper in zip(batch.column(len(kept)), batch.column(len(kept) + 1)):
-                w = wrapper.as_py()
-                if w is not None and w not in known:
+            for value, wrapper, templates in zip(*batch.columns[len(kept) :]):
+                w = wrapper.as_py(), tuple(templates.as_py() or ())
+                if w not in known:
                     known.clear() if len(known) > 1000 else None
-                    known[w] = ready(json.loads(w))
-                texts.append(extract(value.as_py() or "", known.get(w)))
+                    known[w] = ready(json.loads(w[0])) if w[0] is not None else None, frozenset(w[1])
+                texts.append(extract(value.as_py() or "", *known[w]))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(texts, pa.string())], names=[*kept, text])
 
-    small = found.select(F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"))
+    small = found.select(F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"), F.col("templates").alias("_templates"))
     # Broadcast once measured small: pages then meet their wrappers where they are, and a hot host stays spread.
-    size = found.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host")), F.lit(0))).first()[0]
+    size = found.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host") + 8 * F.size("templates")), F.lit(0))).first()[0]
     rows = pages.withColumn("_host", host_of(pages[url])).join(F.broadcast(small) if size <= BROADCAST_BYTES else small, "_host", "left")
     schema = ", ".join([f"`{c}` {types[c]}" for c in kept] + [f"`{text}` string"])
-    return rows.select(*kept, rows[page].cast("string").alias("_page"), "_wrapper").mapInArrow(run, schema)
+    return rows.select(*kept, rows[page].cast("string").alias("_page"), "_wrapper", "_templates").mapInArrow(run, schema)

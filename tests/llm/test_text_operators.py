@@ -332,6 +332,18 @@ def test_state_classes_and_marked_articles_are_not_left_out(spark):
     assert dict(collected(out, "page_id", "text")) == {k: f"Text of {k}" for k in range(len(around))}
 
 
+def test_template_texts_are_counted_exactly(spark):
+    """A notice on few of the slot's many texts, and lists too long for alignment whose items have ids of their own."""
+    notice = [f"<div id='n{k}'>Shop closed on Monday</div>" if k % 8 == 0 else "" for k in range(200)]
+    rows = [(k, f"http://many.com/{k}", "".join(f"<div id='x{k}_{j}'>Item {k} of {j}</div>" for j in range(5)) + notice[k]) for k in range(200)]
+    rows += [(200 + k, f"http://long.com/{k}", "".join(f"<div class='c{k}x{j}'>{k} of {j}</div>" for j in range(320)) + "<p>Site name</p>") for k in range(4)]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "page_id int, url string, html string").repartition(parts, "page_id")
+        out = dict(collected(html_extract.main_text(df), "page_id", "text"))
+        assert all(out[k] == "\n\n".join(f"Item {k} of {j}" for j in range(5)) for k in range(200))
+        assert all(out[200 + k] == "\n\n".join(f"{k} of {j}" for j in range(320)) for k in range(4))
+
+
 def test_wrappers_fold_repeats_and_mark_options():
     wrapper = html_extract.infer(["<ul><li>a<li>b</ul><p>x", "<ul><li>c</ul><h2>t</h2><p>x"])
     kinds = {}
