@@ -9,7 +9,7 @@ no task ever holds a host's pages, however hot it is. Wrappers hold structure; o
 mark, Spark counts every text in its slot over all pages.
 
 Text is taken from the slots that a page shares with its host's wrapper: within the marked article if the page has one,
-else outside the template (text that at least ``MIN_PAGES`` pages repeat word for word) and outside link lists. Elements
+else outside the template (text that a share of the host's different pages repeat word for word) and outside link lists. Elements
 whose names or classes say menu, header, footer, side bar, notice, advert, form or comment are left out.
 
 Defined cases: null html is empty and has empty text. Null or odd urls share the host ''. Elements left open are
@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, lower_ascii
 
-#: Text that so many pages of a host repeat word for word, at one place of its wrapper, belongs to the template.
-MIN_PAGES = 3
+#: Text that so many different pages of a host, and such a share of them, repeat word for word at one place of its wrapper
+#: belongs to the template.
+MIN_PAGES, PAGE_SHARE = 3, 0.1
 #: Share of a block's characters in links from which it counts as a link list, outside a marked article.
 LINK_SHARE = 0.6
 #: Wrappers aligned by one task at a time.
@@ -326,12 +327,14 @@ def marked(root: Node, slots: Slot) -> list[str]:
 def extract(page: str, wrapper: Slot | None, templates: frozenset = frozenset()) -> str:
     """The page's main text, read along its host's wrapper, or along its own where the host's article is not in it.
 
-    Without any article: what is no template (templates: keys of such texts in their slots) and no link list.
+    Without any article: what is no template (templates: keys of such texts in their slots) and no link list; if all
+    is template, the page's own text without link lists.
     """
     root = parse(page)
     blocks = (marked(root, wrapper) if wrapper else []) or marked(root, ready(wrapper_of(root)))
     if not blocks:
-        blocks = [x.text for x, path in texts_outside(root) if x.links <= LINK_SHARE * len(x.text) and key_of(path, x.text) not in templates]
+        own = [(x.text, path) for x, path in texts_outside(root) if x.links <= LINK_SHARE * len(x.text)]
+        blocks = [text for text, path in own if key_of(path, text) not in templates] or [text for text, _ in own]
     return "\n\n".join(blocks)
 
 
@@ -411,21 +414,27 @@ def wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFram
 def template_texts(rows: DataFrame) -> DataFrame:
     """rows (host, page) -> host, templates: keys of the texts that enough pages of the host have in one slot.
 
-    Only hosts that have pages without article mark need it. A text counts once a page; all texts of all pages count.
+    Only hosts that have pages without article mark need it. A text counts once a page, and equal pages count as one; all
+    texts of all pages count.
     """
+    names = ["host", "key", "page"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                hosts, keys = [], []
+                hosts, keys, prints = [], [], []
                 for host, text in zip(batch.column(0).slice(at, 256).to_pylist(), batch.column(1).slice(at, 256)):
-                    found = {key_of(path, x.text) for x, path in texts_outside(parse(text.as_py() or ""))}
+                    page = text.as_py() or ""
+                    found = [None, *{key_of(path, x.text) for x, path in texts_outside(parse(page))}]  # null: the page itself
                     hosts += [host] * len(found)
                     keys += found
-                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64())], names=["host", "key"])
+                    prints += [key_of(b"", page)] * len(found)
+                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(prints, pa.int64())], names=names)
 
-    counts = rows.mapInArrow(run, "host string, key bigint").groupBy("host", "key").agg(F.count("*").alias("n"))
-    return counts.where(F.col("n") >= MIN_PAGES).groupBy("host").agg(F.sort_array(F.collect_list("key")).alias("templates"))
+    counts = checkpointed(rows.mapInArrow(run, "host string, key bigint, page bigint").groupBy("host", "key").agg(F.count_distinct("page").alias("n")).where(F.col("key").isNull() | (F.col("n") >= MIN_PAGES)))
+    whole = counts.where("key is null").select("host", F.col("n").alias("pages"))
+    often = counts.where("key is not null").join(whole, "host").where(F.col("n") >= PAGE_SHARE * F.col("pages"))
+    return often.groupBy("host").agg(F.sort_array(F.collect_list("key")).alias("templates"))
 
 
 def main_text(pages: DataFrame, url: str = "url", page: str = "html", text: str = "text", keep_page: bool = False, found: DataFrame | None = None) -> DataFrame:

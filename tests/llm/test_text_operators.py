@@ -344,6 +344,17 @@ def test_template_texts_are_counted_exactly(spark):
         assert all(out[200 + k] == "\n\n".join(f"{k} of {j}" for j in range(320)) for k in range(4))
 
 
+def test_copies_and_rare_quotes_are_no_template(spark):
+    copied, quote = "<div>Whole story</div><div>in two parts</div>", "<div>A quoted paragraph</div>"
+    rows = [(k, None if k < 5 else f"http://copy.com/{k}", copied) for k in range(10)]
+    rows += [(10 + k, f"http://big.com/{k}", f"<div>Site name</div><div>Story {k}</div>{quote if k < 4 else ''}") for k in range(60)]
+    rows += [(100 + k, f"http://same.com/{k}", f"<div>Only this</div><p><a href='{k}'>link</a></p>") for k in range(4)]
+    out = dict(collected(html_extract.main_text(spark.createDataFrame(rows, "page_id int, url string, html string").repartition(3)), "page_id", "text"))
+    assert {out[k] for k in range(10)} == {"Whole story\n\nin two parts"}
+    assert [out[10 + k] for k in range(60)] == [f"Story {k}" + "\n\nA quoted paragraph" * (k < 4) for k in range(60)]
+    assert {out[100 + k] for k in range(4)} == {"Only this"}
+
+
 def test_wrappers_fold_repeats_and_mark_options():
     wrapper = html_extract.infer(["<ul><li>a<li>b</ul><p>x", "<ul><li>c</ul><h2>t</h2><p>x"])
     kinds = {}
