@@ -5,10 +5,12 @@ two softmax layers give first the word's class, then the word in its class, so a
 products instead of V. It is trained in numpy, data-parallel: in each round every task trains its own copy on masked
 positions of its own documents (a share of the positions of every document, chosen by their place), and the copies are averaged
 by Spark in a tree, weighted by the words each has seen. Vocabulary and class priors come from counts over all documents.
-A document's score is the sum of its tokens' conditional log-probabilities.
+Words outside the network's vocabulary share its hashed ids; an id's probability is split among its words by their counts in
+the corpus, which stay a table and are joined to the tokens, so every word has its own conditional probability however many
+there are. A document's score is the sum of its tokens' conditional log-probabilities.
 
-Defined cases: null or blank text has no tokens, log_prob 0 and a null mean. Words outside the vocabulary share
-hashed ids, so every token has a probability. Ties in the vocabulary go by word. Long texts are scored whole, in pieces
+Defined cases: null or blank text has no tokens, log_prob 0 and a null mean. A word that the counts lack has the share of one
+more occurrence of its id. Ties in the vocabulary go by word. Long texts are scored whole, in pieces
 of CHUNK tokens with their neighbours on both sides. Extra columns stay; result columns of the same names are replaced.
 An empty corpus gives an empty table.
 """
@@ -31,7 +33,7 @@ from .common import checkpointed
 RADIUS, HIDDEN = 2, 16
 CLASSES = 64
 VOCABULARY = CLASSES * CLASSES
-#: Ids from WORDS up are shared by all other words, by hash.
+#: Ids from WORDS up are shared by all other words, by hash; their own counts tell them apart.
 WORDS = VOCABULARY - 1024
 #: The id on either side of a document.
 EDGE = VOCABULARY
@@ -64,9 +66,9 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(docs[text].cast("string").alias("_text")).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> tuple[list[str], list[int], int]:
-    """(the WORDS most frequent words, their counts, all tokens); ties by word. Bounded by WORDS."""
-    counted = checkpointed(counts(docs, text))
+def vocabulary(docs: DataFrame, text: str = "text", counted: DataFrame | None = None) -> tuple[list[str], list[int], int]:
+    """(the WORDS most frequent words, their counts, all tokens); ties by word. Bounded by WORDS. counted: counts() of docs."""
+    counted = checkpointed(counts(docs, text)) if counted is None else counted
     top = counted.orderBy(F.desc("n"), "word").limit(WORDS).collect()
     whole = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     return [r["word"] for r in top], [r["n"] for r in top], whole
@@ -241,21 +243,37 @@ def train(docs: DataFrame, model: Network, words: list[str], round_no: int, text
     return Network.from_bytes(bytes(last["model"])) if last else model
 
 
-def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[Network, list[str]]:
-    words, ns, whole = vocabulary(docs, text)
+def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, counted: DataFrame | None = None) -> tuple[Network, list[str]]:
+    words, ns, whole = vocabulary(docs, text, counted)
     model = Network.new(prior_of(ns, whole))
     for k in range(rounds):
         model = train(docs, model, words, k, text)
     return model, words
 
 
-def score(docs: DataFrame, model: Network, words: list[str], text: str = "text", keep_text: bool = True) -> DataFrame:
-    """docs with n_tokens, log_prob (summed over the tokens) and mean_log_prob."""
+def own_shares(tokens: DataFrame, counted: DataFrame, words: list[str]) -> DataFrame:
+    """tokens (_row, word, times) of words outside ``words`` -> _row, _own: the log-shares of the words in their ids, summed."""
+    bucket = F.crc32(F.col("word").cast("binary")) % (VOCABULARY - WORDS)
+    known = counted.sparkSession.createDataFrame([(w,) for w in words], "word string")
+    beyond = counted.join(F.broadcast(known), "word", "left_anti")
+    totals = beyond.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("whole"))  # a row an id
+    share = F.coalesce("n", F.lit(1)) / (F.coalesce("whole", F.lit(0)) + 1)
+    rows = tokens.join(beyond, "word", "left").withColumn("bucket", bucket).join(F.broadcast(totals), "bucket", "left")
+    return rows.groupBy("_row").agg(F.sum(F.col("times") * F.log(share)).alias("_own"))
+
+
+def score(docs: DataFrame, model: Network, words: list[str], text: str = "text", keep_text: bool = True, counted: DataFrame | None = None) -> DataFrame:
+    """docs with n_tokens, log_prob (summed over the tokens) and mean_log_prob. counted: counts() of the corpus, by default of docs.
+
+    Cuts lineage after the network has seen all tokens.
+    """
     outputs = ["n_tokens", "log_prob", "mean_log_prob"]
     docs = docs.drop(*outputs)
+    counted = checkpointed(counts(docs, text)) if counted is None else counted
     kept = [c for c in docs.columns if keep_text or c != text]
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     shared = docs.sparkSession.sparkContext.broadcast((model.to_bytes(), words))
+    names = [*kept, "n_tokens", "_sum", "_words", "_times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, known = shared.value
@@ -265,7 +283,8 @@ def score(docs: DataFrame, model: Network, words: list[str], text: str = "text",
                 batch = whole.slice(a, 512)
                 tokens = [words_of(t.as_py()) for t in batch.column(len(kept))]
                 lengths = np.array([len(t) for t in tokens], np.int64)
-                line = np.concatenate([padded(list(map(ids.__getitem__, t))) for t in tokens])
+                numbers = [list(map(ids.__getitem__, t)) for t in tokens]
+                line = np.concatenate([padded(n) for n in numbers])
                 starts = np.concatenate([[0], np.cumsum(lengths + 2 * RADIUS)[:-1]]) + RADIUS
                 owner = np.repeat(np.arange(lengths.size), lengths)
                 at = np.arange(owner.size) - np.repeat(np.cumsum(lengths) - lengths, lengths) + starts[owner]
@@ -273,9 +292,16 @@ def score(docs: DataFrame, model: Network, words: list[str], text: str = "text",
                 for b in range(0, at.size, CHUNK):
                     piece = at[b : b + CHUNK]
                     sums += np.bincount(owner[b : b + CHUNK], net.log_prob(sides_of(line, piece), line[piece]), lengths.size)
-                sums = np.round(sums, 3)
-                mean = pa.array(np.divide(sums, lengths, out=np.zeros(lengths.size), where=lengths > 0), mask=lengths == 0)
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(lengths), pa.array(sums), mean], names=[*kept, *outputs])
-
-    schema = ", ".join([f"`{c}` {types[c]}" for c in kept] + ["n_tokens bigint, log_prob double, mean_log_prob double"])
-    return docs.select(*kept, docs[text].cast("string").alias("_text")).mapInArrow(run, schema)
+                beyond = [Counter([w for w, n in zip(t, ns) if n >= WORDS]) for t, ns in zip(tokens, numbers)]
+                ends = pa.array(np.concatenate([[0], np.cumsum([len(c) for c in beyond])]), pa.int32())
+                listed = pa.ListArray.from_arrays(ends, pa.array([w for c in beyond for w in c], pa.string()))
+                times = pa.ListArray.from_arrays(ends, pa.array([n for c in beyond for n in c.values()], pa.int32()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(lengths), pa.array(sums), listed, times], names=names)
+
+    schema = ", ".join([f"`{c}` {types[c]}" for c in kept] + ["n_tokens bigint, _sum double, _words array<string>, _times array<int>"])
+    seen = docs.select(*kept, docs[text].cast("string").alias("_text")).mapInArrow(run, schema)
+    seen = checkpointed(seen.withColumn("_row", F.monotonically_increasing_id()))
+    rare = seen.select("_row", F.explode(F.arrays_zip("_words", "_times")).alias("x")).select("_row", F.col("x._words").alias("word"), F.col("x._times").alias("times"))
+    whole = seen.drop("_words", "_times").join(own_shares(rare, counted, words), "_row", "left")
+    total = F.round(F.col("_sum") + F.coalesce("_own", F.lit(0.0)), 3)
+    return whole.select(*kept, "n_tokens", total.alias("log_prob"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_prob"))

@@ -289,6 +289,27 @@ def test_pseudo_likelihood_sums_conditional_probabilities(docs, spark):
     assert lm_scoring.score(docs.limit(0), *lm_scoring.fit(docs.limit(0), rounds=1)).count() == 0
 
 
+def test_words_of_one_id_have_their_own_probabilities(spark):
+    """With more words than the network has ids, p(word) is p(id) times the word's share of the id's tokens."""
+    import zlib
+
+    size = lm_scoring.VOCABULARY - lm_scoring.WORDS
+    bucket = lambda w: zlib.crc32(w.encode()) % size
+    rare = [w for w in (f"w{k}" for k in range(20_000)) if bucket(w) == 7][:4]
+    often, new = rare[:3], rare[3]
+    common = " ".join(f"c{k}" for k in range(lm_scoring.WORDS))
+    corpus = spark.createDataFrame([(common,)] * 6 + [(f"{often[0]} {often[0]} {often[0]} {often[0]} {often[1]}",), (often[2],)], "text string")
+    model, words = lm_scoring.fit(corpus, rounds=0)
+    assert not set(rare) & set(words) and len(words) == lm_scoring.WORDS
+    out = spark.createDataFrame([(w,) for w in rare] + [(f"{often[0]} c1 {often[0]}",)], "text string")
+    p = {r["text"]: r["log_prob"] for r in lm_scoring.score(out, model, words, counted=lm_scoring.counts(corpus)).collect()}
+    assert abs(p[often[0]] - p[often[1]] - math.log(4)) < 0.002 and abs(p[often[1]] - p[often[2]]) < 0.002
+    assert abs(p[new] - p[often[2]]) < 0.002
+    ids = lm_scoring.ids_of(words)
+    prior = model.w["class_bias"][ids[rare[0]] // lm_scoring.CLASSES] + model.w["member_bias"][ids[rare[0]] // lm_scoring.CLASSES][ids[rare[0]] % lm_scoring.CLASSES]
+    assert abs(p[often[0]] - (prior + math.log(4 / 7))) < 0.01
+
+
 def test_language_model_learns_context(spark):
     import numpy as np
 
