@@ -3,8 +3,8 @@
 The network sees RADIUS words on each side of a masked word: position-wise embeddings are summed, passed through tanh, and
 two softmax layers give first the word's class, then the word in its class, so a prediction costs about 2 * sqrt(V)
 products instead of V. It is trained in numpy, data-parallel: in each round every task trains its own copy on masked
-positions of its own documents (a share of the positions of every document, chosen by their place), and the copies are averaged
-by Spark in a tree, weighted by the words each has seen. Vocabulary and class priors come from counts over all documents.
+positions of its own documents (every EVERY-th of each, from an offset by a hash of the text; the EVERY rounds take all
+positions once), and the copies are averaged by Spark in a tree, weighted by the words each has seen. Vocabulary and class priors come from counts over all documents.
 Words outside the network's vocabulary share its hashed ids; an id's probability is split among its words by their counts in
 the corpus, which stay a table and are joined to the tokens, so every word has its own conditional probability however many
 there are. A document's score is the sum of its tokens' conditional log-probabilities.
@@ -38,9 +38,9 @@ WORDS = VOCABULARY - 1024
 #: The id on either side of a document.
 EDGE = VOCABULARY
 CHUNK = 1 << 13
-#: Positions trained on in a round: one in so many, at every document's own offset.
-EVERY = 24
-ROUNDS, BATCH, RATE = 2, 1024, 0.15
+#: Positions trained on in a round: one in so many, from every document's own offset; so many rounds train on all.
+EVERY = ROUNDS = 2
+BATCH, RATE = 8192, 0.15
 FAN_IN = 64
 
 
@@ -192,6 +192,11 @@ def sides_of(line: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([line[at + k] for k in range(-RADIUS, RADIUS + 1) if k])
 
 
+def positions(text: str | None, n: int, round_no: int) -> np.ndarray:
+    """Of a text's n tokens, those that a round trains on; any EVERY rounds in a row take each once."""
+    return np.arange((zlib.crc32((text or "").encode("utf-8", "surrogatepass")) + round_no) % EVERY, n, EVERY)
+
+
 def train(docs: DataFrame, model: Network, words: list[str], round_no: int, text: str = "text") -> Network:
     """The average of the copies that the tasks train from ``model``; itself if there is nothing to train on."""
     start = docs.sparkSession.sparkContext.broadcast((model.to_bytes(), words))
@@ -201,25 +206,28 @@ def train(docs: DataFrame, model: Network, words: list[str], round_no: int, text
         net, ids, seen = Network.from_bytes(data), ids_of(known), 0
         sums = {k: np.zeros_like(v) for k, v in net.w.items()}
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
 
         def learn(whole: bool) -> None:
-            nonlocal seen
+            nonlocal seen, waiting
             sides, targets = np.concatenate([s for s, _ in held], axis=1), np.concatenate([t for _, t in held])
             end = targets.size if whole else targets.size - targets.size % BATCH
             for a in range(0, end, BATCH):
                 net.step(sides[:, a : a + BATCH], targets[a : a + BATCH], RATE, sums)
             seen += end
             held[:] = [(sides[:, end:], targets[end:])] if end < targets.size else []
+            waiting = targets.size - end
 
         for batch in batches:
             for t in batch.column(0):
-                tokens = words_of(t.as_py())
-                first = (zlib.crc32(str(len(tokens)).encode()) + round_no * (EVERY // 2 + 1)) % EVERY
-                if first < len(tokens):
+                value = t.as_py()
+                tokens = words_of(value)
+                at = positions(value, len(tokens), round_no) + RADIUS
+                if at.size:
                     line = padded(list(map(ids.__getitem__, tokens)))
-                    at = np.arange(first, len(tokens), EVERY) + RADIUS
                     held.append((sides_of(line, at), line[at]))
-                    if len(held) >= 4 * EVERY:
+                    waiting += at.size
+                    if waiting >= BATCH:
                         learn(False)
         if held:
             learn(True)

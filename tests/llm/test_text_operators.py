@@ -310,6 +310,14 @@ def test_words_of_one_id_have_their_own_probabilities(spark):
     assert abs(p[often[0]] - (prior + math.log(4 / 7))) < 0.01
 
 
+def test_training_takes_every_position_once():
+    for text in ("a", "a b", SENTENCE, "one two three"):
+        n = len(text.split())
+        assert sorted(x for k in range(lm_scoring.ROUNDS) for x in lm_scoring.positions(text, n, k).tolist()) == list(range(n))
+    first = {lm_scoring.positions(f"a {k}", 2, 0)[0] for k in range(20)}
+    assert len(first) == lm_scoring.EVERY  # texts of one length start at different places
+
+
 def test_language_model_learns_context(spark):
     import numpy as np
 
