@@ -1,10 +1,10 @@
 r"""Personal data: exact base patterns, and identifiers found by bootstrapped contextual extraction.
 
 Base spans are the leftmost, non-overlapping matches of four patterns, filtered by their checks without retries. They
-seed the bootstrap: every token with a digit or ``@`` is an instance of a pattern (its two words to the left and its
-shape class). Spark scores the bipartite graph of patterns and instance values in rounds: a pattern is worth the mean
-score of its distinct values, a value the best of its patterns; patterns with enough support and score accept their
-other tokens as kind ``id``. Everything is DataFrame expressions, joins and aggregates.
+seed the bootstrap: every base span, and every other token with a digit or ``@``, is an instance of a pattern, the two words
+to its left. Spark scores the bipartite graph of patterns and values in rounds: a pattern is worth the share of its distinct
+values that are sure; seeds are, and so are, in later rounds, the longer values of accepted patterns. Patterns with a word
+in them and enough sure values and score accept their other tokens as kind ``id``, whatever their shape. Everything is DataFrame expressions, joins and aggregates.
 
 Defined cases: null text is empty and has no spans. Offsets count code points, ends are exclusive. Base spans always
 stay; found spans never overlap them. Equal texts get equal spans, so repeated rows and repeated ids are harmless. Extra
@@ -33,6 +33,8 @@ CANDIDATE = rf"(?<!{NOT_SPACE})[^\x20\x09-\x0D0-9@]*+[0-9@]{NOT_SPACE}*+"
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 #: Code points to the left that a pattern's two words are taken from; it defines the context and drops no text.
 CONTEXT = 64
+#: Shorter discovered values (counts, years) say little elsewhere: they make no other pattern surer.
+SURE_LENGTH = 5
 
 
 def digits(c: Column) -> Column:
@@ -61,19 +63,22 @@ def accepted(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def placed(text: Column, pattern: str) -> Column:
-    """All matches in order as (match, before, start): before is what lies between the last match and this one."""
+def placed(text: Column, pattern: str, context: int = 0) -> Column:
+    """All matches in order as (match, before, start): before is what lies between the last match and this one, or with
+    context, so many code points of the text to the left of the match, earlier matches included."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def walk(found: Column) -> Column:
         pieces = F.split(text, pattern, -1)
         zipped = F.zip_with(found, pieces, lambda m, p: F.struct(m.alias("match"), p.alias("before")))
         zipped = F.filter(zipped, lambda x: x["match"].isNotNull())
-        zero = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<match:string,before:string,start:int>>").alias("out"))
+        zero = F.struct(F.lit(0).alias("end"), F.lit("").alias("tail"), F.array().cast("array<struct<match:string,before:string,start:int>>").alias("out"))
 
         def step(acc: Column, x: Column) -> Column:
             start = acc["end"] + F.length(x["before"])
-            return F.struct((start + F.length(x["match"])).alias("end"), F.concat(acc["out"], F.array(F.struct(x["match"].alias("match"), x["before"].alias("before"), start.alias("start")))).alias("out"))
+            left = F.right(F.concat(acc["tail"], x["before"]), F.lit(context)) if context else x["before"]
+            tail = F.right(F.concat(acc["tail"], x["before"], x["match"]), F.lit(context)) if context else F.lit("")
+            return F.struct((start + F.length(x["match"])).alias("end"), tail.alias("tail"), F.concat(acc["out"], F.array(F.struct(x["match"].alias("match"), left.alias("before"), start.alias("start")))).alias("out"))
 
         return F.aggregate(zipped, zero, step, lambda acc: acc["out"])
 
@@ -93,45 +98,47 @@ def base_spans(text: Column) -> Column:
 
 
 def tokens(text: Column, base: Column) -> Column:
-    """Tokens with a digit or ``@``: context, value, place, and whether a base span overlaps them."""
+    """Instances: context (two words of the text to the left), value, place, seed.
+
+    A base span is one instance, with the words left of the token that it starts in; the rest of its tokens are none. So is
+    every other token with a digit or ``@``.
+    """
 
     def instance(x: Column) -> Column:
-        words = F.filter(F.split(F.right(x["before"], F.lit(CONTEXT)), SPACE + "+"), lambda w: w != "")
+        words = F.filter(F.split(x["before"], SPACE + "+"), lambda w: w != "")
         context = let(words, lambda w: F.concat_ws(" ", F.coalesce(F.try_element_at(w, F.lit(-2)), F.lit("^")), F.coalesce(F.try_element_at(w, F.lit(-1)), F.lit("^"))))
         # The token without marks around it.
         lead = F.length(F.regexp_extract(x["match"], r"^[^\p{L}\p{N}+]*+", 0))
         value = F.regexp_extract(x["match"], r"^[^\p{L}\p{N}+]*+(.*[\p{L}\p{N}])", 1)
-        start = x["start"] + lead
-        return F.struct(lower_ascii(context).alias("context"), value.alias("value"), start.alias("start"), (start + F.length(value)).alias("end"))
-
-    found = F.filter(F.transform(placed(text, CANDIDATE), instance), lambda x: x["value"] != "")
-    kept = F.transform(found, lambda x: F.struct(x["context"].alias("context"), x["value"].alias("value"), x["start"].alias("start"), x["end"].alias("end"), F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])).alias("seed")))
+        start, end = x["start"], x["start"] + F.length(x["match"])
+        begun = F.try_element_at(F.filter(base, lambda b: (start <= b["start"]) & (b["start"] < end)), F.lit(1))
+        own = F.struct(value.alias("value"), (start + lead).alias("start"), (start + lead + F.length(value)).alias("end"), F.lit(False).alias("seed"))
+        seed = lambda b: F.struct(F.substring(text, b["start"] + 1, b["end"] - b["start"]).alias("value"), b["start"].alias("start"), b["end"].alias("end"), F.lit(True).alias("seed"))
+        chosen = let(begun, lambda b: F.when(b.isNotNull(), seed(b)).otherwise(own))
+        return let(chosen, lambda c: F.struct(lower_ascii(context).alias("context"), c["value"].alias("value"), c["start"].alias("start"), c["end"].alias("end"), c["seed"].alias("seed")))
+
+    found = F.filter(F.transform(placed(text, CANDIDATE, CONTEXT), instance), lambda x: x["value"] != "")
+    kept = F.filter(found, lambda x: x["seed"] | ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
     return F.when(F.rlike(text, F.lit("[0-9@]")), kept)
 
 
-def shape(value: Column) -> Column:
-    """Letters and digits as classes, runs joined: 55-7713 is 9-9."""
-    return F.regexp_replace(F.regexp_replace(value, r"\p{L}+", "a"), "[0-9]+", "9")
-
-
-def pattern_scores(edges: DataFrame, rounds: int = 3) -> DataFrame:
-    """edges (pattern, value, seed) -> pattern, score, support (distinct values), seeds (distinct seed values).
+def good_patterns(edges: DataFrame, rounds: int = 3, min_score: float = 0.8, min_seeds: int = 3) -> DataFrame:
+    """edges (pattern, value, seed) -> pattern: those accepted in the last round.
 
-    Round by round, a pattern's score is the mean of its values' scores, and a value that is no seed takes the best
-    score among its patterns, damped by their support; seeds stay at 1. Each round is a join and two aggregates whose
-    map sides combine, so a value or a pattern that holds most rows is summed before it moves.
+    Round by round, a pattern's score is the share of its distinct values that are sure. Seeds are sure; after a round so
+    are the values of SURE_LENGTH code points or more in accepted patterns, so that patterns which no seed has can follow.
+    Aggregates combine on the map side, so a value or a pattern that holds most rows is summed before it moves.
     """
     graph = checkpointed(edges.groupBy("pattern", "value").agg(F.max(F.col("seed").cast("double")).alias("seed")))
-    scores = None
-    for _ in range(rounds):
-        if scores is None:
-            rated = graph.withColumn("score", F.col("seed"))
-        else:
-            best = graph.join(scores, "pattern").groupBy("value").agg(F.max(F.col("score") * F.col("support") / (F.col("support") + 1)).alias("best"))
-            rated = graph.join(best, "value").withColumn("score", F.when(F.col("seed") == 1, 1.0).otherwise(F.col("best")))
-        scores = rated.groupBy("pattern").agg(F.avg("score").alias("score"), F.count("*").alias("support"), F.sum("seed").alias("seeds"))
-        scores = checkpointed(scores)
-    return scores
+    rated, good = graph, None
+    for k in range(rounds):
+        scores = rated.groupBy("pattern").agg(F.avg("seed").alias("score"), F.sum("seed").alias("seeds"))
+        good = checkpointed(scores.where((F.col("score") >= min_score) & (F.col("seeds") >= min_seeds) & F.rlike("pattern", F.lit(r"\p{L}"))).select("pattern"))
+        if k + 1 < rounds:
+            sure = graph.where((F.col("seed") == 0) & (F.length("value") >= SURE_LENGTH)).join(good, "pattern").select("value").distinct()
+            sure = checkpointed(sure)
+            rated = graph.join(sure.withColumn("sure", F.lit(1.0)), "value", "left").withColumn("seed", F.greatest("seed", F.coalesce("sure", F.lit(0.0))))
+    return good
 
 
 def find(docs: DataFrame, text: str = "text", rounds: int = 3, min_score: float = 0.8, min_seeds: int = 3) -> tuple[DataFrame, DataFrame]:
@@ -153,9 +160,8 @@ def key(text: Column) -> Column:
 
 def discovered(marked: DataFrame, rounds: int = 3, min_score: float = 0.8, min_seeds: int = 3) -> DataFrame:
     exploded = marked.select("_key", F.explode("tokens").alias("x")).select("_key", "x.*")
-    edges = exploded.withColumn("pattern", F.concat_ws("|", "context", shape(F.col("value"))))
-    scores = pattern_scores(edges.select("pattern", lower_ascii(F.col("value")).alias("value"), "seed"), rounds)
-    good = scores.where((F.col("score") >= min_score) & (F.col("seeds") >= min_seeds)).select("pattern")
+    edges = exploded.withColumnRenamed("context", "pattern")
+    good = good_patterns(edges.select("pattern", lower_ascii(F.col("value")).alias("value"), "seed"), rounds, min_score, min_seeds)
     hits = edges.where("not seed").join(good, "pattern").select("_key", F.struct(F.lit("id").alias("kind"), F.col("start"), F.col("end")).alias("span")).distinct()
     return hits.groupBy("_key").agg(F.sort_array(F.collect_list("span")).cast(SPAN).alias("found"))
 

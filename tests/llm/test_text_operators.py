@@ -436,6 +436,17 @@ def test_contexts_discover_identifiers_and_leave_others(spark):
     assert masked[101] == rows[41][1] and masked[102] is None
 
 
+def test_contexts_are_the_words_to_the_left_and_found_values_seed_others(spark):
+    phones = [f"+1 (555) 010-{1000 + k}" for k in range(20)]
+    rows = [(k, f"{p} and more, then call me {p} or {k}0") for k, p in enumerate(phones)]
+    rows += [(30 + k, f"call me x{k}-77-abc") for k in range(4)] + [(40 + k, f"badge holder x{k}-77-abc") for k in range(4)]
+    rows += [(50, "2019 2020 2021"), (51, "2024 was 12 34 56"), (52, "badge holder q9-12-zz")]
+    out = {r["doc_id"]: r["text"] for r in pii.redact(spark.createDataFrame(rows, "doc_id int, text string").repartition(3)).collect()}
+    assert out[50] == rows[28][1] and out[51] == rows[29][1]
+    assert all(out[30 + k] == "call me [ID]" and out[40 + k] == "badge holder [ID]" for k in range(4))
+    assert out[52] == "badge holder [ID]" and out[3] == "[PHONE] and more, then call me [PHONE] or 30"
+
+
 # Byte pairs
 
 
