@@ -116,7 +116,7 @@ def log_mel(samples: bytes, rate: int) -> tuple[np.ndarray, np.ndarray, float]:
     x = (np.frombuffer(samples, np.uint8).astype(np.float32) - 128.0) / 128.0
     new_rate = rate * UP / DOWN
     total = max(1, -(-x.size * UP // DOWN))
-    n = 1 + max(0, total - WINDOW) // HOP
+    n = 1 + -(-max(0, total - WINDOW) // HOP)  # the last frame is padded with silence
     bank, hann = mel_bank(int(new_rate)), np.hanning(WINDOW).astype(np.float32)
     mels, energy = np.empty((n, MELS), np.float32), np.empty(n, np.float32)
     for at in range(0, n, BLOCK):

@@ -103,6 +103,14 @@ def test_segments_hold_until_the_lower_threshold():
     assert audio.segments(np.zeros(9, np.float32)) == []
 
 
+def test_frames_cover_the_last_samples():
+    for k in range(1, 12):
+        mels, energy, _ = audio.log_mel(b"\x80" * 576 * k, audio.RATE)
+        assert len(mels) == len(energy) and (len(mels) - 1) * audio.HOP + audio.WINDOW >= 288 * k
+    silent = b"\x80" * 576 * 2
+    assert audio.log_mel(silent[:-20] + b"\xff\x00\xff\xff" * 5, audio.RATE)[1][-1] > audio.log_mel(silent, audio.RATE)[1][-1]
+
+
 # Suffix arrays
 
 
