@@ -20,15 +20,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Writes df into the shared checkpoint folder; later plans start from those files.
 
-    The folder is what ``spark.checkpoint.dir`` names; one is made only where neither the
-    session nor the context has any, as in tests on one machine.
+    The folder is what ``spark.checkpoint.dir`` names; without it one is made, but only where all of Spark runs on this
+    machine.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that the session names, or a new one if its master is local."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder or tempfile.mkdtemp(prefix="checkpoint-")
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """These names, each with underscores in front until df has no such column in any case of letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_of(df: DataFrame, name: str) -> Column:
     """A text column with nulls read as empty."""
     return F.coalesce(df[name], F.lit(""))
@@ -47,3 +66,44 @@ def unit_uniform(*parts: Column, seed: int) -> Column:
     """A uniform number in [0, 1) from a hash of the parts; the same for equal parts on any cluster."""
     text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+
+
+#: Elements that one step of scanned() goes through at a time.
+SCAN_BLOCK = 64
+
+
+def scanned(values: Column, op, zero: int = 0) -> Column:
+    """For each of some int values, op over all before it (zero for the first); op is associative, zero neutral.
+
+    Lists grow by copying in Spark's aggregate(), so it runs over blocks, then over their results: the cost stays in
+    proportion to the number of values. values is a column or a lambda's variable, not an expression.
+    """
+    none = F.array().cast("array<int>")
+    start = F.struct(F.lit(zero).alias("now"), none.alias("list"))
+
+    def grow(of):
+        return lambda a, x: F.struct(op(a["now"], of(x)).alias("now"), F.concat(a["list"], F.array(a["now"])).alias("list"))
+
+    def joined(blocks: Column) -> Column:
+        before = F.aggregate(blocks, start, grow(lambda x: x["now"]), lambda a: a["list"])
+        return F.flatten(F.zip_with(blocks, before, lambda b, x: F.transform(b["list"], lambda y: op(x, y))))
+
+    starts = F.sequence(F.lit(1), F.size(values), F.lit(SCAN_BLOCK))
+    blocks = F.transform(starts, lambda k: F.aggregate(F.slice(values, k, F.lit(SCAN_BLOCK)), start, grow(lambda x: x)))
+    return F.when(F.size(values) == 0, none).otherwise(let(blocks, joined))
+
+
+#: Code points of a text in one of the chunks that pieces are read from.
+PIECE_CHUNK = 1024
+
+
+def chunked(text: Column) -> Column:
+    """The text as a list of chunks, for piece(): reading a place deep in one long string would walk all that lies before."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE_CHUNK}}}"), F.lit(0))
+
+
+def piece(chunks: Column, start: Column, n: Column) -> Column:
+    """n code points from start (from 0) of a chunked text; empty for n of 0 or less."""
+    first = F.floor(start / PIECE_CHUNK).cast("int")
+    many = F.floor((start + n - 1) / PIECE_CHUNK).cast("int") - first + 1
+    return F.when(n <= 0, "").otherwise(F.substring(F.array_join(F.slice(chunks, first + 1, many), ""), start - first * PIECE_CHUNK + 1, n))

@@ -1,14 +1,16 @@
 r"""Personal data: exact base patterns, and identifiers found by bootstrapped contextual extraction.
 
 Base spans are the leftmost, non-overlapping matches of four patterns, filtered by their checks without retries. They
-seed the bootstrap: every base span, and every other token with a digit or ``@``, is an instance of a pattern, the two words
-to its left. Spark scores the bipartite graph of patterns and values in rounds: a pattern is worth the share of its distinct
-values that are sure; seeds are, and so are, in later rounds, the longer values of accepted patterns. Patterns with a word
-in them and enough sure values and score accept their other tokens as kind ``id``, whatever their shape. Everything is DataFrame expressions, joins and aggregates.
+seed the bootstrap: every run without white space that holds a digit, ``@`` or a part of a base span is an instance of a pattern,
+the two words to its left. Spark scores the bipartite graph of patterns and values in rounds: a pattern is worth the share of its distinct
+values that are sure; seeds are, long values of mixed letters and digits are, and so are, in later rounds, the longer values
+of accepted patterns. Patterns with a word in them and enough sure values and score accept their other values as kind ``id``,
+whatever their shape. Everything is DataFrame expressions, joins and aggregates; the work grows in proportion to a text's length.
 
 Defined cases: null text is empty and has no spans. Offsets count code points, ends are exclusive. Base spans always
-stay; found spans never overlap them. Equal texts get equal spans, so repeated rows and repeated ids are harmless. Extra
-columns stay. An empty table gives an empty table.
+stay; found spans never overlap them. Equal texts get equal spans, so repeated rows, repeated or null ids and ties are
+harmless. Very long texts are read whole. Extra columns stay, whatever their names; the result columns' are replaced. An empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, checkpointed, let, lower_ascii, text_of
+from .common import SPACE, checkpointed, chunked, fresh, let, lower_ascii, piece, scanned, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns. Possessive repeats and the guard at the start only spare the matcher hopeless starts and
@@ -28,11 +30,13 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 GATES = {"email": "@", "ip": ".", "card": None, "phone": "+"}
+#: Stands for each code point of a base span while contexts are read; the text's own ones are read as OTHER.
+MARK, OTHER = "\ue000", "\ue001"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
-CANDIDATE = rf"(?<!{NOT_SPACE})[^\x20\x09-\x0D0-9@]*+[0-9@]{NOT_SPACE}*+"
+CANDIDATE = rf"(?<!{NOT_SPACE})[^\x20\x09-\x0D0-9@{MARK}]*+[0-9@{MARK}]{NOT_SPACE}*+"
 SPAN = "array<struct<kind:string,start:int,end:int>>"
-#: Code points to the left that a pattern's two words are taken from; it defines the context and drops no text.
-CONTEXT = 64
+#: Values that look drawn at random (keys, hashes): letters and digits mixed, and long.
+OPAQUE = r"^(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])[A-Za-z0-9+/_=-]{24,}+$"
 #: Shorter discovered values (counts, years) say little elsewhere: they make no other pattern surer.
 SURE_LENGTH = 5
 
@@ -63,27 +67,20 @@ def accepted(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def placed(text: Column, pattern: str, context: int = 0) -> Column:
-    """All matches in order as (match, before, start): before is what lies between the last match and this one, or with
-    context, so many code points of the text to the left of the match, earlier matches included."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def placed(text: Column, pattern: str) -> Column:
+    """All matches in order as (match, before, start): before is what lies between the last match and this one."""
 
     def walk(found: Column) -> Column:
-        pieces = F.split(text, pattern, -1)
-        zipped = F.zip_with(found, pieces, lambda m, p: F.struct(m.alias("match"), p.alias("before")))
-        zipped = F.filter(zipped, lambda x: x["match"].isNotNull())
-        zero = F.struct(F.lit(0).alias("end"), F.lit("").alias("tail"), F.array().cast("array<struct<match:string,before:string,start:int>>").alias("out"))
+        zipped = F.zip_with(found, F.split(text, pattern, -1), lambda m, p: F.struct(m.alias("match"), p.alias("before")))
+        return let(F.filter(zipped, lambda x: x["match"].isNotNull()), started)
 
-        def step(acc: Column, x: Column) -> Column:
-            start = acc["end"] + F.length(x["before"])
-            left = F.right(F.concat(acc["tail"], x["before"]), F.lit(context)) if context else x["before"]
-            tail = F.right(F.concat(acc["tail"], x["before"], x["match"]), F.lit(context)) if context else F.lit("")
-            return F.struct((start + F.length(x["match"])).alias("end"), tail.alias("tail"), F.concat(acc["out"], F.array(F.struct(x["match"].alias("match"), left.alias("before"), start.alias("start")))).alias("out"))
-
-        return F.aggregate(zipped, zero, step, lambda acc: acc["out"])
+    def started(x: Column) -> Column:
+        sizes = F.transform(x, lambda y: F.length(y["before"]) + F.length(y["match"]))
+        starts = let(sizes, lambda s: scanned(s, lambda a, b: a + b))
+        return F.zip_with(x, starts, lambda y, s: F.struct(y["match"].alias("match"), y["before"].alias("before"), (s + F.length(y["before"])).alias("start")))
 
     none = F.array().cast("array<struct<match:string,before:string,start:int>>")
-    return let(matches, lambda found: F.when(F.size(found) == 0, none).otherwise(walk(found)))
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) == 0, none).otherwise(walk(found)))
 
 
 def spans_of(kind: str, text: Column) -> Column:
@@ -97,29 +94,67 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[spans_of(k, text) for k in KINDS])
 
 
+def rewritten(text: Column, spans: Column, label) -> Column:
+    """The text with each of the sorted spans replaced by label(span, first, end of all spans before)."""
+
+    def walk(chunks: Column, before: Column) -> Column:
+        gap = lambda x, i: piece(chunks, before[i], x["start"] - before[i])
+        parts = F.transform(spans, lambda x, i: F.concat(gap(x, i), label(x, before[i])))
+        last = F.greatest(F.element_at(before, F.lit(-1)), F.element_at(spans, F.lit(-1))["end"])
+        return F.concat(F.array_join(parts, ""), piece(chunks, last, F.length(text) - last))
+
+    ends = F.transform(spans, lambda x: x["end"])
+    return let(chunked(text), lambda chunks: let(let(ends, lambda e: scanned(e, F.greatest)), lambda before: walk(chunks, before)))
+
+
+def in_order(spans: Column) -> Column:
+    return F.sort_array(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
+
+
+def marked(text: Column, base: Column) -> Column:
+    """The text with every code point of a base span written as MARK, and with no other MARK."""
+    hide = lambda x, before: F.repeat(F.lit(MARK), F.greatest(F.lit(0), x["end"] - F.greatest(x["start"], before)))
+    plain = F.translate(text, MARK, OTHER)
+    return F.when(F.size(base) == 0, plain).otherwise(let(plain, lambda t: let(in_order(base), lambda s: rewritten(t, s, hide))))
+
+
+def last_words(text: Column) -> Column:
+    """Up to two."""
+    words = F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
+    return let(words, lambda w: F.slice(w, F.greatest(F.size(w) - 1, F.lit(1)), F.lit(2)))
+
+
 def tokens(text: Column, base: Column) -> Column:
-    """Instances: context (two words of the text to the left), value, place, seed.
+    """Instances: context (the two words to the left), value, place, seed, sure.
 
-    A base span is one instance, with the words left of the token that it starts in; the rest of its tokens are none. So is
-    every other token with a digit or ``@``.
+    Every run without white space that holds a digit, ``@`` or a part of a base span is one (base spans are read as one
+    mark each, so a span with spaces in it is one run); it is a seed if it holds such a part. A value without the shape of any
+    base kind that looks drawn at random is sure like a seed, but no span by itself.
     """
 
-    def instance(x: Column) -> Column:
-        words = F.filter(F.split(x["before"], SPACE + "+"), lambda w: w != "")
-        context = let(words, lambda w: F.concat_ws(" ", F.coalesce(F.try_element_at(w, F.lit(-2)), F.lit("^")), F.coalesce(F.try_element_at(w, F.lit(-1)), F.lit("^"))))
-        # The token without marks around it.
-        lead = F.length(F.regexp_extract(x["match"], r"^[^\p{L}\p{N}+]*+", 0))
-        value = F.regexp_extract(x["match"], r"^[^\p{L}\p{N}+]*+(.*[\p{L}\p{N}])", 1)
-        start, end = x["start"], x["start"] + F.length(x["match"])
-        begun = F.try_element_at(F.filter(base, lambda b: (start <= b["start"]) & (b["start"] < end)), F.lit(1))
-        own = F.struct(value.alias("value"), (start + lead).alias("start"), (start + lead + F.length(value)).alias("end"), F.lit(False).alias("seed"))
-        seed = lambda b: F.struct(F.substring(text, b["start"] + 1, b["end"] - b["start"]).alias("value"), b["start"].alias("start"), b["end"].alias("end"), F.lit(True).alias("seed"))
-        chosen = let(begun, lambda b: F.when(b.isNotNull(), seed(b)).otherwise(own))
-        return let(chosen, lambda c: F.struct(lower_ascii(context).alias("context"), c["value"].alias("value"), c["start"].alias("start"), c["end"].alias("end"), c["seed"].alias("seed")))
+    def instances(found: Column) -> Column:
+        short = F.transform(found, lambda x: F.struct(x["match"].alias("match"), x["start"].alias("start"), last_words(x["before"]).alias("words")))
+        return let(short, lambda x: F.transform(x, lambda y, i: instance(x, y, i)))
+
+    def instance(x: Column, y: Column, i: Column) -> Column:
+        none = F.array().cast("array<string>")
+        # A run ends at white space, so the words before this run are: those of the gap, the run before, those of its gap, ...
+        third = F.when(i > 1, F.array(F.get(x, i - 2)["match"])).otherwise(none)
+        second = F.when(i > 0, F.concat(F.get(x, i - 1)["words"], F.array(F.get(x, i - 1)["match"]))).otherwise(none)
+        left = F.concat(F.array(F.lit("^"), F.lit("^")), third, second, y["words"])
+        context = F.regexp_replace(F.array_join(let(left, lambda w: F.slice(w, F.lit(-2), F.lit(2))), " "), MARK + "+", MARK)
+        lead = F.length(F.regexp_extract(y["match"], rf"^[^\p{{L}}\p{{N}}+{MARK}]*+", 0))
+        value = F.regexp_extract(y["match"], rf"^[^\p{{L}}\p{{N}}+{MARK}]*+(.*[\p{{L}}\p{{N}}{MARK}])", 1)
+        parts = F.struct(lower_ascii(context).alias("context"), value.alias("value"), (y["start"] + lead).alias("start"), F.contains(y["match"], F.lit(MARK)).alias("seed"))
+        return let(parts, lambda p: F.struct(p["context"].alias("context"), p["value"].alias("value"), p["start"].alias("start"), (p["start"] + F.length(p["value"])).alias("end"), p["seed"].alias("seed"), (p["seed"] | F.rlike(p["value"], F.lit(OPAQUE))).alias("sure")))
+
+    def read(chunks: Column, found: Column) -> Column:
+        """A seed's value is what the text says where it is marked."""
+        said = lambda x: F.when(x["seed"], piece(chunks, x["start"], x["end"] - x["start"])).otherwise(x["value"])
+        return F.transform(found, lambda x: F.struct(x["context"].alias("context"), said(x).alias("value"), *[x[k].alias(k) for k in ("start", "end", "seed", "sure")]))
 
-    found = F.filter(F.transform(placed(text, CANDIDATE, CONTEXT), instance), lambda x: x["value"] != "")
-    kept = F.filter(found, lambda x: x["seed"] | ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return F.when(F.rlike(text, F.lit("[0-9@]")), kept)
+    found = let(marked(text, base), lambda m: let(placed(m, CANDIDATE), instances))
+    return let(chunked(text), lambda chunks: read(chunks, F.filter(found, lambda x: x["value"] != "")))
 
 
 def good_patterns(edges: DataFrame, rounds: int = 3, min_score: float = 0.8, min_seeds: int = 3) -> DataFrame:
@@ -141,40 +176,30 @@ def good_patterns(edges: DataFrame, rounds: int = 3, min_score: float = 0.8, min
     return good
 
 
-def find(docs: DataFrame, text: str = "text", rounds: int = 3, min_score: float = 0.8, min_seeds: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(texts, found): base spans by text, and spans of kind id that the accepted patterns find, also by text.
-
-    texts has one row a row of docs, without the text: _key (two hashes of the text and its length), base. found has one
-    row a distinct text with found spans: _key, found.
-    """
-    whole = text_of(docs, text)
-    rows = docs.select(key(whole).alias("_key"), whole.alias("_text")).withColumn("base", base_spans(F.col("_text")))
-    marked = rows.select("_key", "base", tokens(F.col("_text"), F.col("base")).alias("tokens"))
-    return marked, discovered(marked, rounds, min_score, min_seeds)
-
-
 def key(text: Column) -> Column:
     """Names a text: equal texts, equal keys. Null counts as empty."""
     return F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"), F.length(text).alias("n"))
 
 
-def discovered(marked: DataFrame, rounds: int = 3, min_score: float = 0.8, min_seeds: int = 3) -> DataFrame:
-    exploded = marked.select("_key", F.explode("tokens").alias("x")).select("_key", "x.*")
-    edges = exploded.withColumnRenamed("context", "pattern")
-    good = good_patterns(edges.select("pattern", lower_ascii(F.col("value")).alias("value"), "seed"), rounds, min_score, min_seeds)
+def discovered(instances: DataFrame, rounds: int = 3, min_score: float = 0.8, min_seeds: int = 3) -> DataFrame:
+    """instances (_key, tokens) -> _key, found: the spans of kind id that accepted patterns find, a row a text with any."""
+    edges = instances.select("_key", F.explode("tokens").alias("x")).select("_key", "x.*").withColumnRenamed("context", "pattern")
+    good = good_patterns(edges.select("pattern", lower_ascii(F.col("value")).alias("value"), F.col("sure").alias("seed")), rounds, min_score, min_seeds)
     hits = edges.where("not seed").join(good, "pattern").select("_key", F.struct(F.lit("id").alias("kind"), F.col("start"), F.col("end")).alias("span")).distinct()
     return hits.groupBy("_key").agg(F.sort_array(F.collect_list("span")).cast(SPAN).alias("found"))
 
 
-def annotate(docs: DataFrame, text: str = "text", **bootstrap) -> DataFrame:
-    """docs with base_spans and found_spans (arrays of kind, start, end); columns of these names are replaced."""
-    docs = docs.drop("base_spans", "found_spans", "_key", "_tokens")
+def annotate(docs: DataFrame, text: str = "text", base: str = "base_spans", found_as: str = "found_spans", **bootstrap) -> DataFrame:
+    """docs with base and found spans (arrays of kind, start, end) in two columns; columns of their names are replaced."""
+    docs = docs.drop(base, found_as)
+    own, other = fresh(docs, "_key", "_found_key")
     whole = text_of(docs, text)
-    marked = docs.withColumns({"_key": key(whole), "base_spans": base_spans(whole)})
-    marked = marked.withColumn("_tokens", tokens(whole, F.col("base_spans")))
-    found = discovered(checkpointed(marked.select("_key", F.col("base_spans").alias("base"), F.col("_tokens").alias("tokens")).where("tokens is not null")), **bootstrap)
-    joined = marked.drop("_tokens").join(found, "_key", "left")
-    return joined.withColumn("found_spans", F.coalesce("found", F.array().cast(SPAN))).drop("_key", "found")
+    # The filter reads the text alone: one on the spans would move below and find them anew for every token.
+    asked = docs.where(F.rlike(whole, F.lit("[0-9@]")))
+    instances = asked.select(key(whole).alias("_key"), let(base_spans(whole), lambda b: tokens(whole, b)).alias("tokens"))
+    found = discovered(checkpointed(instances), **bootstrap).select(F.col("_key").alias(other), F.col("found").alias(found_as))
+    joined = docs.withColumns({own: key(whole), base: base_spans(whole)}).join(found, F.col(own) == F.col(other), "left")
+    return joined.drop(own, other).withColumn(found_as, F.coalesce(found_as, F.array().cast(SPAN)))
 
 
 def redact(docs: DataFrame, text: str = "text", **bootstrap) -> DataFrame:
@@ -182,14 +207,9 @@ def redact(docs: DataFrame, text: str = "text", **bootstrap) -> DataFrame:
 
     Spans of two kinds that overlap are replaced as one, under the kind that starts first.
     """
-    spans = annotate(docs, text, **bootstrap)
-    both = F.sort_array(F.transform(F.concat("base_spans", "found_spans"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
+    base, found = fresh(docs, "_base", "_found")
+    spans = annotate(docs, text, base, found, **bootstrap)
     c = spans[text]
-
-    def step(acc: Column, x: Column) -> Column:
-        new = F.concat(acc["out"], F.substring(c, acc["end"] + 1, x["start"] - acc["end"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))
-        return F.when(x["start"] < acc["end"], F.struct(F.greatest(acc["end"], x["end"]).alias("end"), acc["out"].alias("out"))).otherwise(F.struct(x["end"].alias("end"), new.alias("out")))
-
-    zero = F.struct(F.lit(0).alias("end"), F.lit("").alias("out"))
-    masked = F.aggregate(both, zero, step, lambda acc: F.concat(acc["out"], F.substring(c, acc["end"] + 1, F.length(c))))
-    return spans.withColumn(text, F.when(F.size(both) == 0, c).otherwise(masked)).drop("base_spans", "found_spans")
+    name = lambda x, before: F.when(x["start"] < before, "").otherwise(F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
+    masked = let(in_order(F.concat(base, found)), lambda s: F.when(F.size(s) == 0, c).otherwise(rewritten(c, s, name)))
+    return spans.withColumn(text, masked).drop(base, found)
