@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import audio, bpe, html_extract, lm_scoring, pii, poisson_mixing, quality_rules, simhash, suffix_dedup, url_filter
-from .common import checkpointed, table
+from .common import table
 
 RULES = (
     url_filter.Rule("block", "com", "/en/"),
@@ -43,9 +43,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = checkpointed(lm_scoring.counts(docs))
-    return lm_scoring.score(docs, *lm_scoring.fit(docs, counted=counted), keep_text=False, counted=counted)
+    return lm_scoring.fit_and_score(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
