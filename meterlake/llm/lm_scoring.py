@@ -161,8 +161,8 @@ class Network:
         back += w["classes"].T @ p
         back *= 1 - h * h
         gradients["bias"] = back.sum(axis=1)
-        back = back.astype(np.float64)
-        gradients["context"] = np.stack([np.stack([np.bincount(side, b, VOCABULARY + 1) for b in back], axis=1) for side in sides]).astype(np.float32)
+        flat, cell = back.T.astype(np.float64).ravel(), np.arange(HIDDEN)
+        gradients["context"] = np.stack([np.bincount((side[:, None] * HIDDEN + cell).ravel(), flat, (VOCABULARY + 1) * HIDDEN) for side in sides]).astype(np.float32).reshape(w["context"].shape)
         for k, x in gradients.items():
             sums[k] += x * x
             x *= rate
