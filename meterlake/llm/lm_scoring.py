@@ -254,12 +254,16 @@ def encoded(docs: DataFrame, words: list[str], text: str = "text", keep_text: bo
 
 
 def shards(seen: DataFrame, names: dict[str, str], tokens: int) -> DataFrame:
-    """(line, times, shard): the different lines of at most CHUNK tokens with their neighbours, how often each occurs, where it is trained on."""
+    """(line, times, shard): the different lines of at most CHUNK tokens with their neighbours, how often each occurs, where it is trained on.
+
+    A shard's lines lie together, in order, in one partition, so that no round shuffles them again.
+    """
     ids = F.col(names["ids"])
     starts = F.sequence(F.lit(0), F.floor((F.col("n_tokens") - 1) / CHUNK).cast("int"))
     lines = seen.where("n_tokens > 0").select(F.explode(F.transform(starts, lambda k: F.substring(ids, k * (2 * CHUNK) + 1, F.lit(2 * (CHUNK + 2 * RADIUS))))).alias("line"))
     n = max(1, -(-tokens // SHARD_TOKENS))
-    return checkpointed(lines.groupBy("line").agg(F.count("*").alias("times")).withColumn("shard", F.pmod(F.xxhash64("line"), F.lit(n))))
+    different = lines.groupBy("line").agg(F.count("*").alias("times")).withColumn("shard", F.pmod(F.xxhash64("line"), F.lit(n)))
+    return checkpointed(different.repartition("shard").sortWithinPartitions("shard", "line"))
 
 
 def positions(n: int, shard: int, round_no: int) -> np.ndarray:
@@ -290,13 +294,29 @@ def train(dealt: DataFrame, model: Network, round_no: int) -> Network:
     names = ["part", "shard", "n", "weights"]
     schema = "part int, shard bigint, n bigint, weights binary"
 
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("line")
-        net, shard = Network.from_flat(start.value), rows.column("shard")[0].as_py()
-        n = trained(net, rows.column("line").to_pylist(), rows.column("times").to_numpy(), shard, round_no)
+    def copy(shard: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(rows)
+        net = Network.from_flat(start.value)
+        n = trained(net, whole.column("line").to_pylist(), whole.column("times").to_numpy(), shard, round_no)
         values = net.flat()
         parts = [values[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-        return pa.table([pa.array(range(PARTS), pa.int32()), pa.array([shard] * PARTS, pa.int64()), pa.array([n] * PARTS, pa.int64()), pa.array(parts, pa.binary())], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([shard] * PARTS, pa.int64()), pa.array([n] * PARTS, pa.int64()), pa.array(parts, pa.binary())], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            shard = batch.column(2).to_numpy()
+            cut = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), shard.size]
+            for a, b in zip(cut, cut[1:]):
+                if held and shard[a] != now:
+                    yield copy(now, held)
+                    held = []
+                if b > a:
+                    now = int(shard[a])
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield copy(now, held)
 
     def average(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("shard")
@@ -305,7 +325,7 @@ def train(dealt: DataFrame, model: Network, round_no: int) -> Network:
         part, salt = (k.as_py() for k in key)
         return pa.table([pa.array([part], pa.int32()), pa.array([salt], pa.int64()), pa.array([int(ns.sum())], pa.int64()), pa.array([whole.astype(np.float32).tobytes()], pa.binary())], names=names)
 
-    copies = checkpointed(dealt.groupBy("shard").applyInArrow(run, schema))
+    copies = checkpointed(dealt.select("line", "times", "shard").mapInArrow(run, schema))
     while (n := copies.count() // PARTS) > 1:
         salt = F.pmod(F.col("shard"), F.lit(-(-n // FAN_IN)))
         copies = checkpointed(copies.groupBy("part", salt.alias("salt")).applyInArrow(average, schema))
