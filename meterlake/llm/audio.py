@@ -8,9 +8,10 @@ fixed-shape Arrow tensors, FRAMES x MELS each, padded with the floor, with the t
 All steps work in blocks of frames whose places depend on the file alone, so memory stays bounded however long a
 file is, and equal texts give equal values wherever they run.
 
-Defined cases: a null text is stored as an empty payload, padded like any other. A file shorter than a frame is padded
-to one. A flat file has no segment and an empty tensor list. Extra columns stay; result columns of the same names are
-replaced. An empty table gives an empty table.
+Defined cases: a null text is stored as an empty payload, padded like any other; a null file is left out by ``analyse``. A file
+shorter than a frame is padded to one. A flat file has no segment and an empty tensor list. Files of any length are read
+whole. Repeated rows get equal values. Extra columns stay, whatever their names; the result columns' are replaced. An empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,10 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import fresh
+
 PAD_BYTE, PAD_TO = 255, 576
-RATE, UP, DOWN = 16_000, 1, 2
+RATE, UP, DOWN = 16_000, 3, 4
 HALF_TAPS = 8
-WINDOW, HOP, FFT, MELS = 200, 80, 256, 40
+#: At 12,000 samples a second: windows of 20 ms, a new one every 10 ms.
+WINDOW, HOP, FFT, MELS = 240, 120, 256, 40
 FRAMES = 32
 #: Frames worked on at once.
 BLOCK = 1024
@@ -84,20 +88,17 @@ def resample(x: np.ndarray, first: int, n: int, up: int = UP, down: int = DOWN)
     """Samples first to first + n of x resampled by up / down; x counts as zero outside."""
     bank = phases(up, down)
     taps, out = bank.shape[1], np.empty(n, np.float32)
-    center = (2 * HALF_TAPS * max(up, down)) // 2
-    at = (np.arange(first, first + n) * down + center)
-    base, phase = at // up, at % up
-    lo, hi = int(base.min()) - taps + 1, int(base.max()) + 1
+    center = HALF_TAPS * max(up, down)
+    at = lambda m: (m * down + center) // up
+    lo, hi = at(first) - taps + 1, at(first + n - 1) + 1
     piece = np.zeros(hi - lo, np.float32)
     a, b = max(lo, 0), min(hi, x.size)
     if b > a:
         piece[a - lo : b - lo] = x[a:b]
     windows = np.lib.stride_tricks.sliding_window_view(piece, taps)
-    if up == 1:
-        return windows[int(base[0]) - taps + 1 - lo :: down][:n] @ bank[0]
-    for p in range(up):
-        mine = phase == p
-        out[mine] = windows[base[mine] - taps + 1 - lo] @ bank[p]
+    for k in range(min(up, n)):  # every up-th sample has one phase, and its inputs lie ``down`` apart
+        m = first + k
+        out[k::up] = windows[at(m) - taps + 1 - lo :: down][: len(range(k, n, up))] @ bank[(m * down + center) % up]
     return out
 
 
@@ -184,7 +185,7 @@ def _mapped(df: DataFrame, source: str, outputs: list[tuple[str, str, pa.DataTyp
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *arrays], names=[*kept, *[n for n, _, _ in outputs]])
 
     schema = ", ".join([f"`{c}` {types[c]}" for c in kept] + [f"`{n}` {t}" for n, t, _ in outputs])
-    return df.select(*kept, df[source].alias("_source_value")).mapInArrow(run, schema)
+    return df.select(*kept, df[source].alias(fresh(df, "_source_value")[0])).mapInArrow(run, schema)
 
 
 def store(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
