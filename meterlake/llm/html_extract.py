@@ -2,19 +2,22 @@
 
 A page is a token stream of tags and text. The wrapper of a host is a regular expression without alternatives over such
 tokens: nested elements, repeated groups, optional groups and text slots. It is inferred iteratively: the first page is
-the first wrapper; each next one is aligned with it, a mismatch in text becomes a slot, neighbouring repeats fold into a
-repeated group, and elements found on one side only become optional. Alignment of wrappers is the same operation, so each
+the first wrapper; each next one is aligned with it, level by level. A run of one element that differs in length becomes a
+repeated group, an element of one side only becomes optional, and a text that differs becomes a slot; a text that never differs
+is part of the template. Alignment of wrappers is the same operation, so each
 task infers one wrapper a host from its own pages, and the small wrappers are aligned again in a tree of joins by host:
-no task ever holds a host's pages, however hot it is. Wrappers hold structure; on hosts that have pages without article
-mark, Spark counts every text in its slot over all pages.
+no task ever holds a host's pages, however hot it is. On hosts that have pages without article
+mark, Spark also counts every text by its place over all pages.
 
-Text is taken from the slots that a page shares with its host's wrapper: within the marked article if the page has one,
-else outside the template (text that a share of the host's different pages repeat word for word) and outside link lists. Elements
-whose names or classes say menu, header, footer, side bar, notice, advert, form or comment are left out.
+Extraction aligns a page with its host's wrapper and takes the texts of slots that vary. They are read within the article: where
+the host's pages mark one, there, else in the innermost container that holds most of what varies over the host's pages.
+Template (texts that never vary, and texts that a share of the host's different pages repeat word for word), link lists outside a
+marked article, and elements whose names or classes say menu, header, footer, side bar, notice, advert, form or comment are left out.
 
 Defined cases: null html is empty and has empty text. Null or odd urls share the host ''. Elements left open are
-closed as a browser would close them; a tag cut off by the end of the page is dropped. Repeated rows get equal texts. Extra
-columns stay; result columns of the same names are replaced. An empty table gives an empty table.
+closed as a browser would close them; a tag cut off by the end of the page is dropped. Pages of any length are read whole. Equal
+pages count as one, so copies make nothing template; a page that would be all template keeps its text. Repeated rows get equal
+texts. Extra columns stay, whatever their names; the result column's is replaced. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -22,15 +25,16 @@ from __future__ import annotations
 import html
 import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterable, Iterator
-from difflib import SequenceMatcher
 from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, lower_ascii
+from .common import checkpointed, fresh, lower_ascii
 
 #: Text that so many different pages of a host, and such a share of them, repeat word for word at one place of its wrapper
 #: belongs to the template.
@@ -41,9 +45,9 @@ LINK_SHARE = 0.6
 FAN_IN = 64
 #: Wrappers of so many bytes in all go out as a broadcast; more are joined by shuffle.
 BROADCAST_BYTES = 32 << 20
-#: Child lists longer than this on either side are aligned by first matching label instead of by longest common parts.
-LONG_LIST = 300
-#: Elements nested deeper add their children to the one at this depth.
+#: A container with this share of its parent's varying text is where the main text of unmarked pages is looked for.
+DOMINANT = 0.7
+#: Elements nested deeper add their children, in order, to the one at this depth: no text is lost, and none moves.
 MAX_DEPTH = 120
 
 #: Element names by their role in HTML.
@@ -65,6 +69,8 @@ STATES = frozenset("no not non has have with without is hide show".split())
 PARTS = frozenset("area bar box item items link links list panel slot unit".split())
 #: Elements that hold the page or its article, whatever their classes say.
 KEPT = frozenset("html body main".split())
+#: Elements that hold blocks, as against those that are one.
+CONTAINERS = frozenset("html body main article section div table tbody tr td center".split())
 NOT_WORD = re.compile(r"[^a-z0-9]+")
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|\Z)", re.S)
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)")
@@ -104,7 +110,7 @@ def words_of(attributes: str) -> frozenset:
         if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value == "true"):
             found.add("hidden")
         elif name.lower() != "aria-hidden":
-            words = (w for w in NOT_WORD.split(value) if w and not w.isdigit())
+            words = (w for w in NOT_WORD.split(value) if w.isalpha())  # names with numbers tell one element, not a slot
             found.update(w for w in words if name.lower() != "id" or w in ARTICLE)  # other ids name one element, not a slot
             if out := names_left_out(value):
                 found.add("!out")
@@ -190,9 +196,6 @@ def parse(page: str) -> Node:
     return root
 
 
-# A wrapper is [label, optional, repeated, pages, text, children]: structure only; text says whether it is a text slot.
-
-
 def hashed(path: bytes, value: str) -> bytes:
     """Names a label or a text below a path of labels."""
     return blake2b(path + value.encode("utf-8", "surrogatepass"), digest_size=8).digest()
@@ -214,57 +217,111 @@ def texts_outside(root: Node) -> Iterator[tuple[Node, bytes]]:
             todo.extend((c, below) for c in reversed(x.children))
 
 
-def wrapper_of(node: Node) -> list:
-    """A page's own wrapper: each element once, neighbouring repeats folded into groups."""
-    own = [node.label, False, False, 1, not node.tag, []]
-    for child in node.children:
-        own[5].append(wrapper_of(child))
-    own[5] = folded(own[5])
-    return own
+# A wrapper is [label, optional, repeated, children, text, pages, chars]. Text slots have the label '': text is the hash of a text
+# that never varies, else null; pages are the smallest hashes of the pages that have it, MIN_PAGES at most (of the root: of all
+# pages), and chars the characters outside links over all pages.
 
 
-def folded(children: list) -> list:
-    """Neighbours of one label, or of one series of two or three labels, as repeated groups."""
-    out: list = []
-    for child in children:
-        out.append(child)
-        for period in (1, 2, 3):
-            if len(out) >= 2 * period and all(out[-k][0] == out[-k - period][0] for k in range(1, period + 1)):
-                for k in range(period):
-                    left = out[-2 * period + k]
-                    out[-2 * period + k] = aligned(left, out[-period + k], same_page=True)
-                del out[-period:]
-                break
+def few(pages: list) -> list:
+    return sorted({*pages})[:MIN_PAGES]
+
+
+def wrapper_of(node: Node, page: int = 0) -> list:
+    """A page's own wrapper: each element once; page: its hash."""
+    if not node.tag:
+        return ["", False, False, [], key_of(b"", node.text), [page], len(node.text) - node.links if node.links <= LINK_SHARE * len(node.text) else 0]
+    return [node.label, False, False, [wrapper_of(c, page) for c in node.children], None, [], 0]
+
+
+def page_wrapper(root: Node, page: str) -> list:
+    own = key_of(b"", page)
+    out = wrapper_of(root, own)
+    out[5] = [own]
     return out
 
 
-def aligned(a: list, b: list, same_page: bool = False) -> list:
+def aligned(a: list, b: list) -> list:
     """The wrapper of what either fits."""
-    pages = max(a[3], b[3]) if same_page else a[3] + b[3]
-    if [c[0] for c in a[5]] == [c[0] for c in b[5]]:
-        children = [aligned(x, y, same_page) for x, y in zip(a[5], b[5])]
-    else:
-        children = folded(_aligned_lists(a[5], b[5], same_page))
-    return [a[0], a[1] or b[1], a[2] or b[2] or same_page, pages, a[4], children]
+    same = a[4] if a[4] == b[4] else None
+    return [a[0], a[1] or b[1], a[2] or b[2], joined(a[3], b[3]), same, few(a[5] + b[5]) if a[5] or b[5] else [], a[6] + b[6]]
+
 
+def group(parts: list) -> list:
+    """One repeated group of what any of the parts fits."""
+    out = parts[0]
+    for c in parts[1:]:
+        out = aligned(out, c)
+    return [out[0], out[1], True, *out[3:]]
 
-def _aligned_lists(a: list, b: list, same_page: bool) -> list:
+
+def runs(labels: list) -> list[tuple[int, int]]:
+    """Bounds of the runs of equal labels."""
+    cuts = [k for k in range(1, len(labels)) if labels[k] != labels[k - 1]]
+    return [*zip([0, *cuts], [*cuts, len(labels)])] if labels else []
+
+
+def paired(left: list, right: list) -> Iterator[tuple[int | None, int | None]]:
+    """An alignment of two lists in order: pairs of places, null where one side has no partner.
+
+    The k-th occurrences of equal labels are partners; of these pairs a longest series that rises on both sides stays. The
+    cost is n log n, whatever the lists.
+    """
+    place, seen = {}, Counter()
+    for j, x in enumerate(right):
+        place[x, seen[x]] = j
+        seen[x] += 1
+    seen.clear()
+    ends, last, before = [], [], {}
+    for i, x in enumerate(left):
+        j = place.get((x, seen[x]))
+        seen[x] += 1
+        if j is not None:
+            k = bisect_left(ends, j)
+            ends[k:k + 1], last[k:k + 1] = [j], [(i, j)]
+            before[i, j] = last[k - 1] if k else None
+    chosen, at = [], last[-1] if last else None
+    while at:
+        chosen.append(at)
+        at = before[at]
+    i = j = 0
+    for x, y in [*reversed(chosen), (len(left), len(right))]:
+        yield from ((k, None) for k in range(i, x))
+        yield from ((None, k) for k in range(j, y))
+        if x < len(left):
+            yield x, y
+        i, j = x + 1, y + 1
+
+
+def joined(a: list, b: list) -> list:
+    """Aligned children: runs of equal length one by one, other runs as repeated groups, the rest optional."""
     left, right = [c[0] for c in a], [c[0] for c in b]
-    optional = lambda c: [c[0], True, *c[2:]]
+    if left == right and not any(c[2] for c in a) and not any(c[2] for c in b):
+        return [aligned(x, y) for x, y in zip(a, b)]
+    one, two = runs(left), runs(right)
     out: list = []
-    if max(len(a), len(b)) <= LONG_LIST:
-        i = j = 0
-        for x, y, size in SequenceMatcher(None, left, right, autojunk=False).get_matching_blocks():
-            out += [optional(c) for c in a[i:x]] + [optional(c) for c in b[j:y]]
-            out += [aligned(p, q, same_page) for p, q in zip(a[x : x + size], b[y : y + size])]
-            i, j = x + size, y + size
-        return out
-    sides: list[dict[str, list]] = [{}, {}]
-    for side, children in zip(sides, (a, b)):  # of one side, so the same pages; the pages of both add up
-        for c in children:
-            side[c[0]] = aligned(side[c[0]], c, True) if c[0] in side else c
-    one, two = sides
-    return [aligned(one[k], two[k], same_page) if k in one and k in two else optional(one.get(k) or two[k]) for k in dict.fromkeys((*one, *two))]
+    odd = False
+    for i, j in paired([left[s] for s, _ in one], [right[s] for s, _ in two]):
+        x, y = (a[slice(*one[i])] if i is not None else []), (b[slice(*two[j])] if j is not None else [])
+        if not x or not y:
+            odd = True
+            out += [[c[0], True, *c[2:]] for c in x or y]
+        elif len(x) == len(y) and not any(c[2] for c in x + y):
+            out += [aligned(p, q) for p, q in zip(x, y)]
+        else:
+            out.append(group(x + y))
+    return folded(out) if odd else out
+
+
+def folded(children: list) -> list:
+    """Series of two or three labels that repeat, where pages differ in their number, as repeated groups."""
+    out: list = []
+    for child in children:
+        out.append(child)
+        for period in (2, 3):
+            if len(out) >= 2 * period and all(out[-k][0] == out[-k - period][0] for k in range(1, period + 1)) and any(c[1] for c in out[-period:]):
+                out[-2 * period :] = [group([out[-2 * period + k], out[-period + k]]) for k in range(period)]
+                break
+    return out
 
 
 def left_out(label: str) -> bool:
@@ -273,26 +330,47 @@ def left_out(label: str) -> bool:
 
 
 class Slot:
-    """A wrapper element made ready for reading pages: slots by label, and whether it holds the article."""
+    """A wrapper element made ready for reading pages: its slots in order, what in them is template, and where the main text is."""
 
-    __slots__ = ("is_text", "slots", "label", "main")
+    __slots__ = ("label", "slots", "labels", "runs", "repeated", "template", "varies", "mass", "texts", "pages", "main", "region")
 
     def __init__(self, wrapper: list) -> None:
-        self.label, _, _, _, self.is_text, children = wrapper
-        self.slots: dict[str, Slot] = {}
-        self.main = False
-        for c in children:
-            if c[0] not in self.slots:
-                self.slots[c[0]] = Slot(c)
-
-    def has_text(self) -> bool:
-        return self.is_text or any(s.has_text() for s in self.slots.values() if not left_out(s.label))
+        self.label, _, self.repeated, children, text, self.pages, chars = wrapper
+        self.slots = [Slot(c) for c in children]
+        self.labels = [c.label for c in self.slots]
+        self.runs = runs(self.labels)
+        self.main = self.region = False
+        if self.label == "":
+            self.template = text is not None and len(self.pages) >= MIN_PAGES
+            self.varies, self.mass, self.texts = text is None, 0 if self.template else chars, 1 + self.repeated
+            return
+        self.template = False
+        read = [c for c in self.slots if not (left_out(c.label) or c.label.split(".")[0] == "header")]
+        self.varies, self.mass = any(c.varies for c in read), sum(c.mass for c in read)
+        self.texts = sum(c.texts for c in read) * (1 + self.repeated)
+
+    def matched(self, nodes: list[Node]) -> list[Slot | None]:
+        """The slot of each of a page's children: aligned as wrappers are, extra repeats with the group of their label."""
+        labels = [x.label for x in nodes]
+        if labels == self.labels:
+            return self.slots
+        found: list[Slot | None] = [None] * len(nodes)
+        theirs = runs(labels)
+        for i, j in paired([self.labels[s] for s, _ in self.runs], [labels[s] for s, _ in theirs]):
+            if i is not None and j is not None:
+                (s, e), (a, b) = self.runs[i], theirs[j]
+                for k in range(a, b):
+                    found[k] = self.slots[s + k - a] if e - s == b - a else self.slots[min(e - 1, s + k - a)]
+        groups = {c.label: c for c in self.slots if c.repeated}
+        return [x or groups.get(label) for x, label in zip(found, labels)]
 
 
 def ready(wrapper: list) -> Slot:
     """The wrapper with its article marked: the outermost elements that say so, by name first, by role or class else.
 
-    An article or main element counts within an element that is left out by its class, if there is none elsewhere.
+    An article or main element counts within an element that is left out by its class, if there is none elsewhere. Of enough
+    different pages, the region of the main text is marked too: down from the root, the container that holds most of what
+    varies, as long as it holds more than one text.
     """
     root = Slot(wrapper)
     by_name = lambda tag, words: tag in {"article", "main"}
@@ -307,64 +385,69 @@ def ready(wrapper: list) -> Slot:
             if is_main(tag, words):
                 found.append(x)
             else:
-                todo.extend(x.slots.values())
-        found = [x for x in found if x.has_text()]
+                todo.extend(x.slots)
+        found = [x for x in found if x.texts]
         if found:
             for x in found:
                 x.main = True
             break
+    if len(root.pages) >= MIN_PAGES:
+        x = root
+        while inner := next((c for c in x.slots if c.mass >= DOMINANT * x.mass > 0 and c.label.split(".")[0] in CONTAINERS and not left_out(c.label) and not c.repeated and c.texts > 1), None):
+            x = inner
+        x.region = x is not root
     return root
 
 
 def marked(root: Node, slots: Slot) -> list[str]:
-    """The text blocks of the page's articles by these slots."""
+    """The text blocks of the page's articles by these slots, without template if the article varies."""
     blocks: list[str] = []
-    for node, _ in _articles(root, slots):
-        _collect(node, blocks)
+    todo: list[tuple[Node, Slot | None]] = [(root, slots)]
+    while todo:
+        node, slot = todo.pop()
+        if slot.main:
+            found = list(_texts(node, slot))
+            own = [x.text for x, of, _ in found if not (slot.varies and of is not None and of.template)]
+            blocks += own or [x.text for x, _, _ in found]
+        else:
+            todo.extend((c, s) for c, s in reversed([*zip(node.children, slot.matched(node.children))]) if s is not None)
     return blocks
 
 
+def _texts(node: Node, slot: Slot | None, outside: bool = False) -> Iterator[tuple[Node, Slot | None, bool]]:
+    """(text block, its slot, whether it is in the region) below node, in page order; outside articles, headers are left out too."""
+    todo = [(node, slot, False)]
+    while todo:
+        x, of, inside = todo.pop()
+        inside = inside or (of is not None and of.region)
+        if not x.tag:
+            yield x, of, inside
+        elif x is node or not (left_out(x.label) or (outside and x.tag == "header")):
+            below = of.matched(x.children) if of is not None else [None] * len(x.children)
+            todo.extend((c, s, inside) for c, s in reversed([*zip(x.children, below)]))
+
+
 def extract(page: str, wrapper: Slot | None, templates: frozenset = frozenset()) -> str:
     """The page's main text, read along its host's wrapper, or along its own where the host's article is not in it.
 
-    Without any article: what is no template (templates: keys of such texts in their slots) and no link list; if all
-    is template, the page's own text without link lists.
+    Without any article: what is in the region of the main text, no template (by its slot, or by templates: keys of such texts at
+    their places) and no link list; if that is nothing, the page's own text without link lists.
     """
     root = parse(page)
     blocks = (marked(root, wrapper) if wrapper else []) or marked(root, ready(wrapper_of(root)))
     if not blocks:
-        own = [(x.text, path) for x, path in texts_outside(root) if x.links <= LINK_SHARE * len(x.text)]
-        blocks = [text for text, path in own if key_of(path, text) not in templates] or [text for text, _ in own]
+        paths = [path for _, path in texts_outside(root)]
+        own = [(x, of, inside, path) for (x, of, inside), path in zip(_texts(root, wrapper, True), paths) if x.links <= LINK_SHARE * len(x.text)]
+        kept = [(x.text, inside) for x, of, inside, path in own if not (of is not None and of.template) and key_of(path, x.text) not in templates]
+        blocks = [text for text, inside in kept if inside] or [text for text, _ in kept] or [x.text for x, *_ in own]
     return "\n\n".join(blocks)
 
 
-def _articles(root: Node, slots: Slot) -> list[tuple[Node, Slot]]:
-    """The page's elements in the article slots, in page order."""
-    found, todo = [], [(root, slots)]
-    while todo:
-        node, slot = todo.pop()
-        if slot.main:
-            found.append((node, slot))
-        else:
-            todo.extend((c, slot.slots[c.label]) for c in reversed(node.children) if c.label in slot.slots)
-    return found
-
-
-def _collect(node: Node, blocks: list[str]) -> None:
-    todo = [node]
-    while todo:
-        x = todo.pop()
-        if not x.tag:
-            blocks.append(x.text)
-        elif x is node or not left_out(x.label):
-            todo.extend(reversed(x.children))
-
-
 def infer(pages: Iterable[str | None]) -> list | None:
     """The wrapper of these pages, aligned one by one."""
     wrapper = None
     for page in pages:
-        own = wrapper_of(parse(page or ""))
+        own = page_wrapper(parse(page or ""), page or "")
         wrapper = own if wrapper is None else aligned(wrapper, own)
     return wrapper
 
@@ -384,8 +467,9 @@ def wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFram
         plain: set[str] = set()
         for batch in batches:
             for host, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                root = parse(text.as_py() or "")
-                own = wrapper_of(root)
+                page = text.as_py() or ""
+                root = parse(page)
+                own = page_wrapper(root, page)
                 found[host] = aligned(found[host], own) if host in found else own
                 if host not in plain and not marked(root, ready(own)):
                     plain.add(host)
@@ -447,17 +531,18 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html", text: str
         known: dict[tuple, tuple[Slot | None, frozenset]] = {}
         for batch in batches:
             texts = []
-            for value, wrapper, templates in zip(*batch.columns[len(kept) :]):
-                w = wrapper.as_py(), tuple(templates.as_py() or ())
+            for value, own_wrapper, own_templates in zip(*batch.columns[len(kept) :]):
+                w = own_wrapper.as_py(), tuple(own_templates.as_py() or ())
                 if w not in known:
                     known.clear() if len(known) > 1000 else None
                     known[w] = ready(json.loads(w[0])) if w[0] is not None else None, frozenset(w[1])
                 texts.append(extract(value.as_py() or "", *known[w]))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(texts, pa.string())], names=[*kept, text])
 
-    small = found.select(F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"), F.col("templates").alias("_templates"))
+    own, host, wrapper, templates, whole = fresh(pages, "_host", "_wrapper_host", "_wrapper", "_templates", "_page")
+    small = found.select(F.col("host").alias(host), F.col("wrapper").alias(wrapper), F.col("templates").alias(templates))
     # Broadcast once measured small: pages then meet their wrappers where they are, and a hot host stays spread.
     size = found.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host") + 8 * F.size("templates")), F.lit(0))).first()[0]
-    rows = pages.withColumn("_host", host_of(pages[url])).join(F.broadcast(small) if size <= BROADCAST_BYTES else small, "_host", "left")
+    rows = pages.withColumns({own: host_of(pages[url]), whole: pages[page].cast("string")}).join(F.broadcast(small) if size <= BROADCAST_BYTES else small, F.col(own) == F.col(host), "left")
     schema = ", ".join([f"`{c}` {types[c]}" for c in kept] + [f"`{text}` string"])
-    return rows.select(*kept, rows[page].cast("string").alias("_page"), "_wrapper", "_templates").mapInArrow(run, schema)
+    return rows.select(*kept, whole, wrapper, templates).mapInArrow(run, schema)
