@@ -25,7 +25,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from .common import fresh
 
 #: Results kept by each Python worker: chunks up to this length, and so many of them before it starts anew.
 CHUNK_CHARS, CHUNKS_KEPT = 48, 200_000
@@ -122,7 +123,7 @@ class Codec:
         return found
 
     def parts(self, text: str) -> Iterator[tuple[int, str, str]]:
-        for segment in self.cut.split(text) if self.cut and "<|" in text else (text,):
+        for segment in self.cut.split(text) if self.cut and any(x in text for x in self.special) else (text,):
             if segment in self.special:
                 yield 1, str(self.special[segment]), segment
                 continue
@@ -175,7 +176,7 @@ def _mapped(docs: DataFrame, text: str, path: str, outputs: list[tuple[str, str]
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *arrays], names=[*kept, *[n for n, _ in outputs]])
 
     schema = ", ".join([f"`{c}` {fields[c].dataType.simpleString()}" for c in kept] + [f"`{n}` {kind}" for n, kind in outputs])
-    return docs.select(*kept, docs[text].cast("string").alias("_text_to_encode")).mapInArrow(run, schema)
+    return docs.select(*kept, docs[text].cast("string").alias(fresh(docs, "_text_to_encode")[0])).mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -188,12 +189,12 @@ def summaries(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return _mapped(docs, text, path, [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")], lambda codec, t: codec.summary(t), keep_text=False)
 
 
-def tokenised(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """docs with token_ids and n_tokens, and with text encoded and decoded: what a model sees of it."""
+def tokenised(docs: DataFrame, path: str, text: str = "text", decoded: str = "text") -> DataFrame:
+    """docs with token_ids and n_tokens, and with the text that the tokens decode to, what a model sees of it, as ``decoded``."""
 
     def make(codec: Codec, t: str) -> tuple[str, list[int], int]:
         parts = [p for p in codec.parts(t) if p[0]]
         ids = np.fromstring(" ".join([p[1] for p in parts]), np.int32, sep=" ")
         return " ".join([p[2] for p in parts]), ids, len(ids)
 
-    return _mapped(docs, text, path, [(text, "string"), ("token_ids", "array<int>"), ("n_tokens", "long")], make)
+    return _mapped(docs, text, path, [(decoded, "string"), ("token_ids", "array<int>"), ("n_tokens", "long")], make)

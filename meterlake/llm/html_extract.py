@@ -292,24 +292,39 @@ def paired(left: list, right: list) -> Iterator[tuple[int | None, int | None]]:
         i, j = x + 1, y + 1
 
 
+def in_units(labels: list, repeated: set) -> list[tuple[int, int]]:
+    """Bounds of the units that are aligned: runs of labels that repeat in groups, single elements of others."""
+    return [u for s, e in runs(labels) for u in ([(s, e)] if labels[s] in repeated else [(k, k + 1) for k in range(s, e)])]
+
+
+def by_runs(left: list, right: list) -> list[tuple[tuple[int, int], tuple[int, int]]] | None:
+    """The runs of both lists side by side, if they are of the same labels in the same order."""
+    one, two = runs(left), runs(right)
+    return [*zip(one, two)] if [left[s] for s, _ in one] == [right[s] for s, _ in two] else None
+
+
 def joined(a: list, b: list) -> list:
-    """Aligned children: runs of equal length one by one, other runs as repeated groups, the rest optional."""
-    left, right = [c[0] for c in a], [c[0] for c in b]
-    if left == right and not any(c[2] for c in a) and not any(c[2] for c in b):
+    """Aligned children: runs of equal length one by one, runs that differ in length as repeated groups, the rest optional."""
+    if [c[0] for c in a] == [c[0] for c in b] and not any(c[2] for c in a) and not any(c[2] for c in b):
         return [aligned(x, y) for x, y in zip(a, b)]
-    one, two = runs(left), runs(right)
+    repeated = {c[0] for c in (*a, *b) if c[2]}
+    a, b = ([group(side[s:e]) if side[s][0] in repeated else side[s] for s, e in in_units([c[0] for c in side], repeated)] for side in (a, b))
+    left, right = [c[0] for c in a], [c[0] for c in b]
     out: list = []
-    odd = False
-    for i, j in paired([left[s] for s, _ in one], [right[s] for s, _ in two]):
-        x, y = (a[slice(*one[i])] if i is not None else []), (b[slice(*two[j])] if j is not None else [])
-        if not x or not y:
-            odd = True
-            out += [[c[0], True, *c[2:]] for c in x or y]
-        elif len(x) == len(y) and not any(c[2] for c in x + y):
-            out += [aligned(p, q) for p, q in zip(x, y)]
+    if (pairs := by_runs(left, right)) is not None:
+        for (s, e), (x, y) in pairs:
+            out += [aligned(p, q) for p, q in zip(a[s:e], b[x:y])] if e - s == y - x else [group(a[s:e] + b[x:y])]
+        return out
+    alone = []
+    for i, j in paired(left, right):
+        alone.append(i is None or j is None)
+        if alone[-1]:
+            c = a[i] if j is None else b[j]
+            out.append([c[0], True, *c[2:]])
         else:
-            out.append(group(x + y))
-    return folded(out) if odd else out
+            out.append(aligned(a[i], b[j]))
+    # An element without partner beside others of its label: that run differs in length.
+    return folded([x for s, e in runs([c[0] for c in out]) for x in ([group(out[s:e])] if e - s > 1 and any(alone[s:e]) else out[s:e])])
 
 
 def folded(children: list) -> list:
@@ -332,13 +347,12 @@ def left_out(label: str) -> bool:
 class Slot:
     """A wrapper element made ready for reading pages: its slots in order, what in them is template, and where the main text is."""
 
-    __slots__ = ("label", "slots", "labels", "runs", "repeated", "template", "varies", "mass", "texts", "pages", "main", "region")
+    __slots__ = ("label", "slots", "labels", "repeated", "template", "varies", "mass", "texts", "pages", "main", "region")
 
     def __init__(self, wrapper: list) -> None:
         self.label, _, self.repeated, children, text, self.pages, chars = wrapper
         self.slots = [Slot(c) for c in children]
         self.labels = [c.label for c in self.slots]
-        self.runs = runs(self.labels)
         self.main = self.region = False
         if self.label == "":
             self.template = text is not None and len(self.pages) >= MIN_PAGES
@@ -354,15 +368,18 @@ class Slot:
         labels = [x.label for x in nodes]
         if labels == self.labels:
             return self.slots
-        found: list[Slot | None] = [None] * len(nodes)
-        theirs = runs(labels)
-        for i, j in paired([self.labels[s] for s, _ in self.runs], [labels[s] for s, _ in theirs]):
-            if i is not None and j is not None:
-                (s, e), (a, b) = self.runs[i], theirs[j]
-                for k in range(a, b):
-                    found[k] = self.slots[s + k - a] if e - s == b - a else self.slots[min(e - 1, s + k - a)]
         groups = {c.label: c for c in self.slots if c.repeated}
-        return [x or groups.get(label) for x, label in zip(found, labels)]
+        units = in_units(labels, {*groups})
+        theirs = [labels[s] for s, _ in units]
+        found: list[Slot | None] = [None] * len(units)
+        if (pairs := by_runs(self.labels, theirs)) is not None:
+            for (s, e), (a, b) in pairs:
+                found[a:b] = [self.slots[min(e - 1, s + k)] for k in range(b - a)]
+        else:
+            for i, j in paired(self.labels, theirs):
+                if i is not None and j is not None:
+                    found[j] = self.slots[i]
+        return [x or groups.get(label) for x, label, (s, e) in zip(found, theirs, units) for _ in range(s, e)]
 
 
 def ready(wrapper: list) -> Slot:

@@ -108,7 +108,8 @@ def rewritten(text: Column, spans: Column, label) -> Column:
 
 
 def in_order(spans: Column) -> Column:
-    return F.sort_array(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
+    """By start, of equal starts the longest first."""
+    return F.sort_array(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("longest"), x["end"].alias("end"), x["kind"].alias("kind"))))
 
 
 def marked(text: Column, base: Column) -> Column:
@@ -205,7 +206,7 @@ def annotate(docs: DataFrame, text: str = "text", base: str = "base_spans", foun
 def redact(docs: DataFrame, text: str = "text", **bootstrap) -> DataFrame:
     """docs with each base or found span of text replaced by ``[KIND]``; texts without spans, null too, stay as they are.
 
-    Spans of two kinds that overlap are replaced as one, under the kind that starts first.
+    Spans of two kinds that overlap are replaced as one, under the kind that starts first, or of equal starts the longer one.
     """
     base, found = fresh(docs, "_base", "_found")
     spans = annotate(docs, text, base, found, **bootstrap)

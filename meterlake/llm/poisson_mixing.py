@@ -6,8 +6,9 @@ that mean at a uniform number hashed from the seed and the row's id, so a rerun,
 partitioning gives the same counts. Rows are exploded by their count and ordered globally by a second hash.
 
 Defined cases: a null source is a source of its own (it has no name and weight 1 unless given); a source without a
-given weight takes ``default_weight``; weight 0 drops it, as asked. Rows with equal ids draw equal counts. An empty
-table gives an empty table. Extra columns stay; ``copy`` is added and replaces a column of that name.
+given weight takes ``default_weight``; weight 0 drops it, as asked. Rows with equal ids draw equal counts, null ids too. Texts are
+carried as they are, null, empty or very long. An empty table gives an empty table. Extra columns stay, whatever their names;
+``copy`` is added and replaces a column of that name.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import unit_uniform
+from .common import fresh, unit_uniform
 
 #: Sources up to this many go out as a broadcast table of about 50 bytes and one list a source; more are joined by shuffle.
 BROADCAST_SOURCES = 2_000
@@ -68,12 +69,13 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", seed: i
     hot source stays spread over all tasks.
     """
     docs = docs.drop("copy")
-    by_source = rates(docs, source, **target).withColumn("_cdf", cumulative(F.col("_rate")))
+    name, cdf, count = fresh(docs, "_mixed_source", "_cdf", "_times")
+    by_source = rates(docs, source, **target).select(F.col("_source").alias(name), cumulative(F.col("_rate")).alias(cdf))
     n_sources = docs.select(source).distinct().limit(BROADCAST_SOURCES + 1).count()
     small = F.broadcast(by_source) if n_sources <= BROADCAST_SOURCES else by_source
-    drawn = docs.join(small.select("_source", "_cdf"), docs[source].eqNullSafe(F.col("_source")))
-    times = drawn.withColumn("_times", count_at(unit_uniform(docs[doc_id], seed=seed), F.col("_cdf"))).where("_times > 0")
-    copies = times.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns], F.col("copy"))
+    drawn = docs.join(small, docs[source].eqNullSafe(F.col(name)))
+    times = drawn.withColumn(count, count_at(unit_uniform(docs[doc_id], seed=seed), F.col(cdf))).where(F.col(count) > 0)
+    copies = times.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(count)))).select(*[docs[c] for c in docs.columns], F.col("copy"))
     return shuffled(copies, doc_id, seed) if shuffle else copies
 
 

@@ -6,8 +6,9 @@ remaining third, kept if precise enough there, and the rows that it covers are s
 The learner only ever sees histograms: counts by label of each statistic's bins, computed by Spark.
 
 Defined cases: null text counts as empty (no words, fails the base rule). Without labelled rows of both kinds the list
-is empty and the base rule alone decides. Repeated rows get equal verdicts. Extra columns stay; result columns of the
-same names are replaced.
+is empty and the base rule alone decides. Ties between literals go to the first by name, direction and cut. Very long texts are
+read whole. Repeated rows get equal verdicts. Extra columns stay, whatever their names; the result columns' are replaced. An empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, SPACE_CHARS, UPPER, checkpointed, let, text_of
+from .common import LOWER, SPACE, SPACE_CHARS, UPPER, checkpointed, fresh, let, text_of
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -64,28 +65,30 @@ def repeat_words(words: Column) -> Column:
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with the base counts and the shares that the list is learned on (columns BASE and LEARNED)."""
     docs = docs.drop(*BASE, *LEARNED)
+    inner = ("words", "lines", "space", "upper", "lower", "digits", "marks", "distinct", "n_lines")
+    own = dict(zip(inner, fresh(docs, *[f"_{k}" for k in inner])))
     whole = text_of(docs, text)
     without = lambda chars: (F.length(whole) - F.length(F.translate(whole, chars, ""))).cast("bigint")
     lines = F.filter(F.split(whole, "\n"), lambda x: F.trim(x, F.lit(SPACE_CHARS)) != "")
     step = docs.withColumns({
-        "_words": words_of(whole), "_lines": lines,
-        "_space": without(SPACE_CHARS), "n_symbols": without(SYMBOLS),
-        "_upper": without(UPPER), "_lower": without(LOWER), "_digits": without("0123456789"), "_marks": without("!?|"),
+        own["words"]: words_of(whole), own["lines"]: lines,
+        own["space"]: without(SPACE_CHARS), "n_symbols": without(SYMBOLS),
+        own["upper"]: without(UPPER), own["lower"]: without(LOWER), own["digits"]: without("0123456789"), own["marks"]: without("!?|"),
     })
     step = step.withColumns({
-        "n_words": F.size("_words").cast("bigint"),
-        "word_chars": F.length(whole).cast("bigint") - F.col("_space"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
-        "n_repeat_words": let(step["_words"], repeat_words),
-        "_distinct": F.size(F.array_distinct("_words")), "_n_lines": F.size("_lines"),
+        "n_words": F.size(own["words"]).cast("bigint"),
+        "word_chars": F.length(whole).cast("bigint") - F.col(own["space"]),
+        "n_dup_lines": (F.size(own["lines"]) - F.size(F.array_distinct(own["lines"]))).cast("bigint"),
+        "n_repeat_words": let(step[own["words"]], repeat_words),
+        own["distinct"]: F.size(F.array_distinct(own["words"])), own["n_lines"]: F.size(own["lines"]),
     })
     per = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
-    short = F.col("n_words") / (F.col("_n_lines") + 1)
+    short = F.col("n_words") / (F.col(own["n_lines"]) + 1)
     made = {
-        "symbol_share": per("n_symbols", "word_chars"), "word_length": per("word_chars", "n_words"), "distinct_share": per("_distinct", "n_words"), "upper_share": F.when(F.col("_upper") + F.col("_lower") > 0, F.col("_upper") / (F.col("_upper") + F.col("_lower"))).otherwise(0.0),
-        "digit_share": per("_digits", "word_chars"), "mark_share": per("_marks", "word_chars"), "short_share": short, "dup_line_share": per("n_dup_lines", "_n_lines"), "repeat_share": per("n_repeat_words", "n_words"), "words": F.col("n_words").cast("double"),
+        "symbol_share": per("n_symbols", "word_chars"), "word_length": per("word_chars", "n_words"), "distinct_share": per(own["distinct"], "n_words"), "upper_share": F.when(F.col(own["upper"]) + F.col(own["lower"]) > 0, F.col(own["upper"]) / (F.col(own["upper"]) + F.col(own["lower"]))).otherwise(0.0),
+        "digit_share": per(own["digits"], "word_chars"), "mark_share": per(own["marks"], "word_chars"), "short_share": short, "dup_line_share": per("n_dup_lines", own["n_lines"]), "repeat_share": per("n_repeat_words", "n_words"), "words": F.col("n_words").cast("double"),
     }
-    return step.withColumns(made).drop("_words", "_lines", "_space", "_upper", "_lower", "_digits", "_marks", "_distinct", "_n_lines")
+    return step.withColumns(made).drop(*own.values())
 
 
 def base_failed() -> Column:

@@ -2,9 +2,11 @@
 
 Everything runs in the JVM: the features are DataFrame expressions, the trees are Spark ML's.
 
-Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is judged by
-the trees on its empty features. Repeated rows are judged alike, extra columns stay untouched. With no
-labelled url, or labels of one kind only, there is nothing to learn and urls without a rule are allowed.
+Defined cases: a null or empty url, or one without ``://``, has an empty host and path, fits no rule and is judged by
+the trees on its features. Very long urls are read whole. Repeated rows are judged alike; rules of one length that fit one url are
+equal, and the first holds. Extra columns stay, whatever their names; the result columns' are replaced. With no
+labelled url, or labels of one kind only, there is nothing to learn and urls without a rule are allowed (blocked, if all labels
+say so). An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, let, lower_ascii
+from .common import checkpointed, fresh, let, lower_ascii
 
 
 class Rule(NamedTuple):
@@ -47,14 +49,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def with_rule(df: DataFrame, rules: Sequence[Rule], host: str, path: str) -> DataFrame:
-    """Adds rule and rule_verdict of the longest rule that fits, both null where none does.
+    """Adds rule and, last, the verdict of the longest rule that fits, both null where none does.
 
     Rules of one length cannot fit one url twice unless they are equal; the first then holds.
     """
     fits = lambda r: (df[host].isin(r.host) | df[host].endswith("." + r.host)) & df[path].startswith(r.path)
     ordered = sorted(rules, key=lambda r: -len(r.text))
     pick = lambda of: F.coalesce(*[F.when(fits(r), F.lit(of(r))) for r in ordered], F.lit(None).cast("string"))
-    return df.withColumns({"rule": pick(lambda r: r.text), "rule_verdict": pick(lambda r: r.verdict)})
+    return df.withColumns({"rule": pick(lambda r: r.text), fresh(df, "rule_verdict")[0]: pick(lambda r: r.verdict)})
 
 
 def _count(c: Column, pattern: str) -> Column:
@@ -99,13 +101,14 @@ class UrlModel(NamedTuple):
         """df with block_probability; no other column is added, none is dropped."""
         if self.trees is None:
             return df.withColumn("block_probability", F.lit(self.prior))
-        suffix = F.regexp_extract(df[host], r"[^.]*$", 0)
-        made = {f"_{k}": c for k, c in lexical(df[url], df[host], df[path]).items()}
+        # All columns of df travel in one, so none can clash with the features' names.
+        rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[url].alias("u"), df[host].alias("h"), df[path].alias("p"))
+        made = {f"_{k}": c for k, c in lexical(F.col("u"), F.col("h"), F.col("p")).items()}
         # Suffix statistics: one row for each top-level name seen in the bounded labelled sample.
-        rated = df.withColumns(made | {"_suffix": suffix}).join(F.broadcast(self.suffixes), "_suffix", "left")
+        rated = rows.withColumns(made | {"_suffix": F.regexp_extract("h", r"[^.]*$", 0)}).join(F.broadcast(self.suffixes), "_suffix", "left")
         rated = rated.withColumns({"_suffix_rate": F.coalesce("_suffix_rate", F.lit(self.prior)), "_suffix_share": F.coalesce("_suffix_share", F.lit(0.0))})
         scored = self.trees.transform(VectorAssembler(inputCols=[f"_{k}" for k in FEATURES], outputCol="_features").transform(rated))
-        return scored.select(*[scored[c] for c in df.columns], vector_to_array("_probability")[1].alias("block_probability"))
+        return scored.select("row.*", vector_to_array("_probability")[1].alias("block_probability"))
 
 
 def fit(labelled: DataFrame, url: str, label: str, host: str, path: str, max_labelled: int = MAX_LABELLED, rounds: int = 12, depth: int = 4, smoothing: float = 20.0) -> UrlModel:
@@ -138,12 +141,14 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url", threshold:
     A rule's verdict stands; the rest go to ``model``, or to one fitted on the urls that the rules label.
     Columns of these names that pages has already are replaced.
     """
-    base = pages.drop("host", "path", "rule", "verdict", "block_probability", "rule_verdict")
+    base = pages.drop("host", "path", "rule", "verdict", "block_probability")
     host, path = host_and_path(base[url])
     ruled = with_rule(base.withColumns({"host": host, "path": path}), rules, "host", "path")
+    of_rule = ruled.columns[-1]
     if model is None:
-        labels = ruled.withColumn("_y", F.when(F.col("rule_verdict") == "block", 1).when(F.col("rule_verdict") == "allow", 0))
-        model = fit(labels, url, "_y", "host", "path", **fitting)
+        label = F.when(F.col(of_rule) == "block", 1).when(F.col(of_rule) == "allow", 0)
+        labels = ruled.select(F.col(url).alias("u"), "host", "path", label.alias("y"))
+        model = fit(labels, "u", "y", "host", "path", **fitting)
     scored = model.block_probability(ruled, url, "host", "path")
     learned = F.when(F.col("block_probability") >= threshold, "block").otherwise("allow")
-    return scored.withColumn("verdict", F.coalesce("rule_verdict", learned)).drop("rule_verdict")
+    return scored.withColumn("verdict", F.coalesce(of_rule, learned)).drop(of_rule)

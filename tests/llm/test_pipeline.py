@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import math
 
+import pytest
+
 from test_text_operators import brute_components, brute_fingerprint, brute_spans, brute_statistics
 
 import corpus_pipeline
@@ -57,3 +59,18 @@ def test_stages_keep_columns_and_their_decisions_hold(spark):
     for r in rows["byte-pair encoding"]:
         assert r["token_ids"] == library.encode(source[r["doc_id"]], add_special_tokens=False).ids
     assert corpus_pipeline.run(spark, DATA).count() == len(rows["byte-pair encoding"])
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_nulls_repeats_extra_columns_and_nothing(spark, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    clashes = ["n_words", "kept", "copy", "_times", "_key", "found_spans", "_row_id", "row", "_words"]
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    rows = [(k, t, "en", s, 1, *[f"{c} {k}" for c in clashes]) for k, (t, s) in enumerate([(None, "a"), ("", None), (words, "b"), (words + " nu", "a"), ("mail a@b.org " + words, None), (words * 3_000, "b")], 1_000_000)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in clashes)
+    df = spark.createDataFrame(rows + rows[2:3], schema)
+    out = stage(spark, df, DATA)
+    assert out.columns[: len(df.columns)] == df.columns
+    for r in out.collect():
+        assert all(r[c] == f"{c} {r['doc_id']}" for c in clashes)
+    assert stage(spark, df.limit(0), DATA).count() == 0

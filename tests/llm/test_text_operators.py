@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from meterlake.llm import audio, bpe, html_extract, lm_scoring, pii, poisson_mixing, quality_rules, simhash, suffix_dedup, url_filter
+from meterlake.llm import audio, bpe, html_extract, lm_scoring, pii, poisson_mixing, quality_rules, queries, simhash, suffix_dedup, url_filter
 from meterlake.llm.queries import RULES, tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -96,6 +96,51 @@ def test_audio_is_lossless_and_equal_for_equal_texts(docs):
     assert audio.analyse(audio.store(docs.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize(("up", "down"), [(audio.UP, audio.DOWN), (1, 2), (2, 1), (5, 3), (147, 160)])
+def test_resampling_equals_direct_convolution(up, down):
+    import numpy as np
+
+    x = np.random.default_rng(3).normal(size=4_000).astype(np.float32)
+    half = audio.HALF_TAPS * max(up, down)
+    k = np.arange(-half, half + 1)
+    taps = np.sinc(k / max(up, down)) / max(up, down) * np.kaiser(2 * half + 1, 8.0) * up
+    between = np.zeros(x.size * up)
+    between[::up] = x
+    want = np.convolve(between, taps)[half::down][: x.size * up // down]
+    assert audio.UP > 1 and len(audio.phases(audio.UP, audio.DOWN)) == audio.UP  # the query's own ratio has several phases
+    assert np.abs(audio.resample(x, 0, want.size, up, down) - want).max() < 1e-5
+    assert np.abs(audio.resample(x, 501, 1_001, up, down) - want[501:1502]).max() < 1e-5
+
+
+def test_stored_features_equal_a_plain_computation():
+    """Frames, mel energies, segments and spans of one file, step by step."""
+    import numpy as np
+
+    data = bytes(rng.randrange(256) if 4_000 < k < 9_000 else 128 + rng.randrange(3) for k in range(576 * 30))
+    x = (np.frombuffer(data, np.uint8) - 128.0) / 128.0
+    y = audio.resample(x.astype(np.float32), 0, x.size * audio.UP // audio.DOWN).astype(np.float64)
+    n = 1 + -(-(y.size - audio.WINDOW) // audio.HOP)
+    y = np.r_[y, np.zeros((n - 1) * audio.HOP + audio.WINDOW - y.size)]
+    frames = np.stack([y[k * audio.HOP : k * audio.HOP + audio.WINDOW] for k in range(n)])
+    energy = 10 * np.log10(np.maximum((frames**2).mean(axis=1), audio.FLOOR))
+    mel = np.log(np.maximum(np.abs(np.fft.rfft(frames * np.hanning(audio.WINDOW), audio.FFT)) ** 2 @ audio.mel_bank(12_000).astype(float), audio.FLOOR))
+    spans, on, level = [], None, np.median(energy)
+    for k, e in enumerate(energy):
+        if on is None and e > level + audio.ON_DB:
+            on = k
+        elif on is not None and e < level + audio.OFF_DB:
+            spans.append((on, k))
+            on = None
+    spans += [(on, n)] if on is not None else []
+    table = audio.tensors_from(audio.ipc(audio.tensors(data, audio.RATE)))
+    rows = [(a, min(a + audio.FRAMES, e)) for s, e in spans for a in range(s, e, audio.FRAMES)]
+    assert rows and table.num_rows == len(rows)
+    for k, (a, b) in enumerate(rows):
+        got = table.column("log_mel").combine_chunks().to_numpy_ndarray()[k] if hasattr(table.column("log_mel").combine_chunks(), "to_numpy_ndarray") else table.column("log_mel").chunk(0).to_numpy_ndarray()[k]
+        assert np.abs(got[: b - a] - mel[a:b]).max() < 0.01 and np.allclose(got[b - a :], np.log(audio.FLOOR), atol=0.001)
+        assert abs(table.column("start_s")[k].as_py() - a * 0.01) < 1e-9
+
+
 def test_segments_hold_until_the_lower_threshold():
     import numpy as np
 
@@ -226,6 +271,22 @@ def test_links_by_index_and_by_neighbours_lose_nothing(spark, monkeypatch, longe
     assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(want.values()))
 
 
+def test_the_tally_keeps_pairs_with_six_equal_bytes(spark):
+    """Pairs with five equal bytes share one posting, pairs with six share the guaranteed number; only bits tell those apart."""
+    assert len(simhash.MASKS) == 56 and simhash.GUARANTEED == 6
+    share = lambda a, b: sum((a ^ b) & m == 0 for m in simhash.MASKS)
+    x = rng.getrandbits(64)
+    five, six, near = x ^ 0x010101, x ^ 0x0303, x ^ 0x0101
+    assert (share(x, five), share(x, six), share(x, near)) == (1, 6, 6)
+    signed = lambda f: f - (1 << 64) if f >> 63 else f
+    pairs = [(signed(x), signed(y)) for y in (five, six, near) for _ in range(share(x, y))]
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    assert counted(simhash.tallied(df), "a", "b") == {(signed(x), signed(near)): 1}
+    # With the bit check taken away, the count filter alone still drops what shares too few postings.
+    few = spark.createDataFrame([(1, 0)] * 5 + [(2, 0)] * 6, "a bigint, b bigint")
+    assert counted(simhash.tallied(few), "a") == {(2,): 1}
+
+
 def test_one_of_each_group_stays_whole(docs):
     kept = simhash.keep_one(docs)
     want = brute_components([(i, brute_fingerprint(t)) for i, t in collected(docs, "doc_id", "text")])
@@ -278,31 +339,46 @@ def test_url_trees_learn_what_the_features_tell(spark):
 # Language model
 
 
-def test_pseudo_likelihood_sums_conditional_probabilities(docs, spark):
+def plain_log_prob(model, words, text, shares):
+    """Log-probability of a text by loops and dictionaries: every word by the two words on each side of it."""
     import numpy as np
 
-    model, words = lm_scoring.fit(docs, rounds=1)
+    w = {k: v.astype(float) for k, v in model.w.items()}
+    ids = {x: k for k, x in enumerate(words)}
+    number = lambda x: ids.get(x, lm_scoring.WORDS + (xxhash.xxh64_intdigest(x.encode(), 42) >> 54))
+    tokens = text.lower().split()
+    line = [lm_scoring.EDGE] * 2 + [number(x) for x in tokens] + [lm_scoring.EDGE] * 2
+    total = 0.0
+    for k, x in enumerate(tokens, 2):
+        h = np.tanh(w["bias"] + sum(w["context"][p][line[k + d]] for p, d in enumerate((-2, -1, 1, 2))))
+        of, place = divmod(line[k], lm_scoring.CLASSES)
+        a = np.array([w["class_bias"][c] + h @ w["classes"][c] for c in range(lm_scoring.CLASSES)])
+        g = np.tanh(h + w["given"][of])
+        b = np.array([w["place_bias"][of][m] + g @ w["places"][m] for m in range(lm_scoring.CLASSES)])
+        total += a[of] - np.log(np.exp(a).sum()) + b[place] - np.log(np.exp(b).sum()) + (0 if x in ids else math.log(shares(x)))
+    return total
+
+
+def test_pseudo_likelihood_sums_conditional_probabilities(docs):
+    model, words = lm_scoring.fit(docs)
     out = {r["text"]: (r["n_tokens"], r["log_prob"], r["mean_log_prob"]) for r in lm_scoring.score(docs, model, words).collect()}
     assert out[None] == out[""] == (0, 0.0, None)
-    ids = lm_scoring.ids_of(words)
-    for text in (SENTENCE, "a", "one two three"):
-        line = lm_scoring.padded([ids[w] for w in text.split()])
-        total = 0.0
-        for k in range(lm_scoring.RADIUS, line.size - lm_scoring.RADIUS):
-            sides = lm_scoring.sides_of(line, np.array([k]))
-            every = model.log_prob(np.repeat(sides, lm_scoring.VOCABULARY, axis=1), np.arange(lm_scoring.VOCABULARY))
-            assert abs(np.exp(every.astype(np.float64)).sum() - 1) < 1e-3
-            total += every[line[k]]
-        assert out[text][0] == len(text.split()) and abs(out[text][1] - total) < 0.01
-    assert lm_scoring.score(docs.limit(0), *lm_scoring.fit(docs.limit(0), rounds=1)).count() == 0
+    for text in (SENTENCE, "a", "one two three", SENTENCE.upper()):
+        assert out[text][0] == len(text.split()) and abs(out[text][1] - plain_log_prob(model, words, text, None)) < 0.01
+    assert lm_scoring.score(docs.limit(0), *lm_scoring.fit(docs.limit(0))).count() == 0
+
+
+def test_probabilities_of_all_ids_sum_to_one(docs):
+    import numpy as np
+
+    model, _ = lm_scoring.fit(docs, rounds=1)
+    sides = np.repeat(np.array([[3], [5], [4096], [9]]), lm_scoring.VOCABULARY, axis=1)
+    assert abs(np.exp(model.log_prob(sides, np.arange(lm_scoring.VOCABULARY)).astype(float)).sum() - 1) < 1e-3
 
 
 def test_words_of_one_id_have_their_own_probabilities(spark):
     """With more words than the network has ids, p(word) is p(id) times the word's share of the id's tokens."""
-    import zlib
-
-    size = lm_scoring.VOCABULARY - lm_scoring.WORDS
-    bucket = lambda w: zlib.crc32(w.encode()) % size
+    bucket = lambda w: xxhash.xxh64_intdigest(w.encode(), 42) >> 54
     rare = [w for w in (f"w{k}" for k in range(20_000)) if bucket(w) == 7][:4]
     often, new = rare[:3], rare[3]
     common = " ".join(f"c{k}" for k in range(lm_scoring.WORDS))
@@ -313,17 +389,34 @@ def test_words_of_one_id_have_their_own_probabilities(spark):
     p = {r["text"]: r["log_prob"] for r in lm_scoring.score(out, model, words, counted=lm_scoring.counts(corpus)).collect()}
     assert abs(p[often[0]] - p[often[1]] - math.log(4)) < 0.002 and abs(p[often[1]] - p[often[2]]) < 0.002
     assert abs(p[new] - p[often[2]]) < 0.002
-    ids = lm_scoring.ids_of(words)
-    prior = model.w["class_bias"][ids[rare[0]] // lm_scoring.CLASSES] + model.w["member_bias"][ids[rare[0]] // lm_scoring.CLASSES][ids[rare[0]] % lm_scoring.CLASSES]
-    assert abs(p[often[0]] - (prior + math.log(4 / 7))) < 0.01
+    shares = {often[0]: 4 / 7, often[1]: 1 / 7, often[2]: 1 / 7, new: 1 / 7}
+    for text, value in p.items():
+        assert abs(value - plain_log_prob(model, words, text, shares.get)) < 0.01
 
 
 def test_training_takes_every_position_once():
-    for text in ("a", "a b", SENTENCE, "one two three"):
-        n = len(text.split())
-        assert sorted(x for k in range(lm_scoring.ROUNDS) for x in lm_scoring.positions(text, n, k).tolist()) == list(range(n))
-    first = {lm_scoring.positions(f"a {k}", 2, 0)[0] for k in range(20)}
-    assert len(first) == lm_scoring.EVERY  # texts of one length start at different places
+    for n in (0, 1, 2, 9_000):
+        assert sorted(x for k in range(lm_scoring.ROUNDS) for x in lm_scoring.positions(n, 3, k).tolist()) == list(range(n))
+
+
+def test_scores_do_not_depend_on_partitioning(docs, spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", 5_000)  # several shards, and several steps of averaging
+    monkeypatch.setattr(lm_scoring, "FAN_IN", 3)
+    some = docs.select("n", "text")
+    results = {tuple(sorted(collected(lm_scoring.fit_and_score(some.repartition(k), keep_text=False), "n", "log_prob"))) for k in (1, 7)}
+    assert len(results) == 1
+
+
+def test_lines_of_long_texts_keep_their_neighbours(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(lm_scoring, "CHUNK", 7)
+    text = " ".join(f"w{k}" for k in range(40))
+    df = spark.createDataFrame([(text,), (text,), ("w1",), (None,)], "text string")
+    seen, names = lm_scoring.encoded(df, [f"w{k}" for k in range(40)])
+    rows = [(np.frombuffer(bytes(r["line"]), np.int16).tolist(), r["times"]) for r in lm_scoring.shards(seen, names, 81).collect()]
+    whole = [4096] * 2 + list(range(40)) + [4096] * 2
+    assert sorted(rows) == sorted([(whole[k : k + 11], 2) for k in range(0, 40, 7)] + [([4096, 4096, 1, 4096, 4096], 1)])
 
 
 def test_language_model_learns_context(spark):
@@ -331,11 +424,8 @@ def test_language_model_learns_context(spark):
 
     texts = [(" ".join(x for _ in range(60) for x in rng.choice([("red", "fox", "ran"), ("blue", "cow", "sat")])),) for _ in range(300)]
     df = spark.createDataFrame(texts, "text string").repartition(3)
-    words, ns, whole = lm_scoring.vocabulary(df)
-    prior = lm_scoring.Network.new(lm_scoring.prior_of(ns, whole))
-    model = prior
-    for k in range(5):
-        model = lm_scoring.train(df, model, words, k)
+    prior, words = lm_scoring.fit(df, rounds=0)
+    model, _ = lm_scoring.fit(df, rounds=5)
     mean = lambda m: lm_scoring.score(df, m, words).agg(F.avg("mean_log_prob")).first()[0]
     assert mean(model) > mean(prior) + 0.5
     assert np.isfinite(mean(model))
@@ -397,13 +487,65 @@ def test_wrappers_fold_repeats_and_mark_options():
     kinds = {}
 
     def walk(w):
-        kinds[w[0]] = (w[1], w[2], w[4])
-        for c in w[5]:
+        kinds[w[0]] = (w[1], w[2])
+        for c in w[3]:
             walk(c)
 
     walk(wrapper)
     assert kinds["li"][1] and kinds["h2"][0] and not kinds["p"][0]
-    assert wrapper[3] == 2
+    assert len(wrapper[5]) == 2  # different pages
+
+
+UNMARKED = "<html><body><div><div><a href='/a'>Home</a></div><div><a href='/b'>News</a></div></div><div>The Daily Sample</div>{notice}<div><div>{title}</div>{body}<div>Share this with friends</div></div><div>Advice {ad}</div><div>Printed by Sample House</div></body></html>"
+
+
+def test_unmarked_pages_are_read_through_the_wrapper_alone(spark):
+    """No article element, no class names: what never varies is template, and most of what varies is the article."""
+    story = lambda k: [f"Paragraph {k} {j} " + " ".join(rng.choice(SENTENCE.split()) for _ in range(20)) for j in range(1 + k % 4)]
+    texts = {k: story(k) for k in range(12)}
+    page = lambda k: UNMARKED.format(title=f"Title {k}", body="".join(f"<p>{x}</p>" for x in texts[k]), ad=k * 7, notice="<ul><li>Closed on Monday</li></ul>" if k % 4 == 0 else "")
+    rows = [(k, f"http://h.com/{k}", page(k)) for k in range(12)] + [(100 + k, "http://h.com/0", page(0)) for k in range(5)]
+    out = dict(collected(html_extract.main_text(spark.createDataFrame(rows, "page_id int, url string, html string").repartition(4)), "page_id", "text"))
+    want = {k: "\n\n".join([f"Title {k}", *texts[k]]) for k in range(12)}
+    assert {k: out[k] for k in range(12)} == want and all(out[100 + k] == want[0] for k in range(5))
+    alone = html_extract.extract(page(3), None)
+    assert "The Daily Sample" in alone and alone != want[3]  # the page by itself cannot tell
+
+
+def test_given_pages_without_their_marks_need_the_wrapper():
+    """Article, menu and footer elements and all class names taken away: the hosts' wrappers still find the articles."""
+    import pandas as pd
+
+    plain = lambda t: re.sub(r' class="[^"]*"', "", re.sub(r"<(/?)(article|nav|footer)\b[^>]*>", r"<\1div>", t))
+    pages = pd.read_parquet("/root/testdata/sf0.01/pages.parquet")
+    by = {}
+    for url, page in zip(pages["url"], pages["html"]):
+        by.setdefault(url.split("/")[2] if url and "//" in url else "", []).append(page or "")
+    found = alone = n = 0
+    for group in by.values():
+        if len({*group}) >= html_extract.MIN_PAGES:
+            wrapper = html_extract.ready(html_extract.infer(map(plain, group)))
+            for page in group:
+                want = html_extract.extract(page, None)
+                n += 1
+                found += html_extract.extract(plain(page), wrapper) == want
+                alone += html_extract.extract(plain(page), None) == want
+    assert n > 200 and found == n and alone == 0
+
+
+def test_alignment_pairs_in_order_and_needs_no_short_lists():
+    pairs = [*html_extract.paired([*"abcad"], [*"bacd"])]
+    assert [i for i, _ in pairs if i is not None] == [*range(5)] and [j for _, j in pairs if j is not None] == [*range(4)]
+    assert sum(i is not None and j is not None for i, j in pairs) == 3
+    left, right = [f"x{k}" for k in range(50_000)], [f"x{k}" for k in range(0, 50_000, 2)]
+    assert sum(i is not None and j is not None for i, j in html_extract.paired(left, right)) == 25_000
+
+
+def test_depth_of_nesting_changes_no_text(monkeypatch):
+    page = "<div>" * 30 + "<article><h1>T</h1><div><div><p>one</p><nav>x</nav><p>two</p></div></div></article>tail" + "</div>" * 30
+    want = html_extract.extract(page, None)
+    monkeypatch.setattr(html_extract, "MAX_DEPTH", 10)
+    assert html_extract.extract("<div>" * 30 + "one<p>two</p><div>three</div>", None) == "one\n\ntwo\n\nthree" and want == "T\n\none\n\ntwo"
 
 
 # Personal data
@@ -455,6 +597,37 @@ def test_contexts_are_the_words_to_the_left_and_found_values_seed_others(spark):
     assert out[52] == "badge holder [ID]" and out[3] == "[PHONE] and more, then call me [PHONE] or 30"
 
 
+def test_keys_drawn_at_random_are_found_by_their_pattern(spark):
+    secret = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    rows = [(k, f'he wrote token = "{secret()}" in line {k}') for k in range(6)] + [(9, 'then token = "short7" and no more'), (10, f"checksum {secret()} of the file")]
+    out = {r["doc_id"]: r["text"] for r in pii.redact(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert all(out[k] == f'he wrote token = "[ID]" in line {k}' for k in range(6)) and out[9] == 'then token = "[ID]" and no more'
+    assert out[10] == rows[-1][1]  # one key in a context of its own is no pattern
+
+
+def test_spans_of_very_long_texts_take_time_in_proportion(spark):
+    import time
+
+    text = lambda n: " ".join(f"w{k % 97} {k} a{k}@b.com" if k % 3 == 0 else f"x{k}" for k in range(n))
+    times = {}
+    for n in (2_000, 20_000, 100_000):
+        df = spark.createDataFrame([(text(n),)], "text string")
+        start = time.perf_counter()
+        row = pii.annotate(df).first()
+        times[n] = time.perf_counter() - start
+        assert len(row["base_spans"]) == sum(1 for k in range(n) if k % 3 == 0)
+    assert times[100_000] < 60 and times[100_000] < 15 * max(times[20_000], 2)
+
+
+def test_overlapping_spans_and_marks_in_the_text(spark):
+    rows = [(0, "\ue000 call +4539 1488 0343 6467 or \ue000 5 at 1.2.3.4@host.org"), (1, "+1 (555) 010-9999+1 (555) 010-9998")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    for r in pii.annotate(df).collect():
+        assert [tuple(x) for x in r["base_spans"]] == brute_spans(r["text"])
+    masked = dict(collected(pii.redact(df), "doc_id", "text"))
+    assert masked[0] == "\ue000 call +[CARD] or \ue000 5 at [EMAIL]" and masked[1] == "[PHONE][PHONE]"
+
+
 # Byte pairs
 
 
@@ -506,3 +679,89 @@ def test_decision_list_covers_the_bad_and_spares_the_good(spark):
     assert 1 <= len(clauses) <= 3
     assert counted(quality_rules.judge(df, clauses), "q", "kept") == {(1, True): 200, (0, False): 400}
     assert quality_rules.learn_from(df, labels.where("quality = 1")) == [] and quality_rules.learn_from(df, labels.limit(0)) == []
+
+
+# All operators: clashing columns, nulls, empty tables
+
+
+CLASHES = ["_cdf", "_times", "_source", "_mixed_source", "found", "_tokens", "_key", "_found_key", "_wrapper", "_templates", "_host", "_depth", "_suffix", "_features", "_probability", "rule_verdict", "_words", "_lines", "_upper", "_row", "_ids", "_rare", "_sum", "_own", "_text", "_row_id", "_nth", "row", "_source_value", "_text_to_encode", "base_spans", "word", "h"]
+OPERATORS = {
+    "mixing": lambda df: poisson_mixing.mix(df),
+    "audio": lambda df: audio.analyse(audio.store(df)),
+    "simhash": lambda df: simhash.keep_one(df),
+    "urls": lambda df: url_filter.judge(df, RULES, rounds=2),
+    "language model": lambda df: lm_scoring.fit_and_score(df),
+    "pages": lambda df: html_extract.main_text(df, page="html", text="main"),
+    "personal data": lambda df: pii.redact(df),
+    "byte pairs": lambda df: bpe.encode(df, tokenizer_path()),
+    "quality": lambda df: quality_rules.judge(df, [quality_rules.Clause((quality_rules.Literal("symbol_share", True, 0.5),), 1, 0)]),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_extra_columns_of_any_name_keep_their_values(spark, name):
+    texts = [None, "", SENTENCE, SENTENCE, "mail a@b.org now", "one two three four five six seven eight nine ten eleven"]
+    urls = ["http://x.com/en/1", "http://example.net/de/3", None, "http://x.org/a", "http://y.net/de/1", "http://y.net/de/1"]
+    rows = [(k, t, "s" + str(k % 2), u, f"<p>{t}</p>" if t else t, *[f"{c} {k}" for c in CLASHES]) for k, (t, u) in enumerate(zip(texts, urls))]
+    schema = "doc_id bigint, text string, source string, url string, html string, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    df = spark.createDataFrame(rows + rows[4:5], schema)
+    out = OPERATORS[name](df)
+    kept = [c for c in CLASHES if c in out.columns]
+    assert kept == CLASHES or name == "pages"
+    for r in out.collect():
+        assert all(r[c] == f"{c} {r['doc_id']}" for c in CLASHES)
+    assert OPERATORS[name](df.limit(0)).count() == 0
+
+
+def test_suffix_dedup_takes_other_columns_without_harm(spark):
+    df = spark.createDataFrame([(1, SENTENCE, "x", 5), (2, SENTENCE, "y", 6)], "doc_id bigint, text string, _id string, n_bytes int")
+    assert counted(suffix_dedup.deduplicate(df), *COLUMNS) == brute_removed(collected(df, "doc_id", "text"))
+
+
+CONTRACTS = {
+    "op2_audio": "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string",
+    "op3_suffix_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op4_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op5_url_filter": "page_id bigint, host string, path string, rule string, verdict string",
+    "op7_html": "page_id bigint, url string, text string, n_chars bigint",
+    "op8_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
+    "op9_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op10_quality_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
+}
+
+
+@pytest.mark.parametrize("name", CONTRACTS)
+def test_registered_queries_hold_their_contracts(spark, name):
+    """Columns, types, every row of the table once, and the values that the contract fixes, by brute force."""
+    data = "/root/testdata/sf0.001"
+    out = queries.QUERIES[name](spark, data)
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema.fields] == [tuple(x.split(" ")) for x in CONTRACTS[name].split(", ")]
+    of, key = ("pages", "page_id") if "page_id" in out.columns else ("documents", "doc_id")
+    source = {r[key]: r for r in spark.read.parquet(f"{data}/{of}.parquet").collect()}
+    rows = out.collect()
+    assert sorted(r[key] for r in rows) == sorted(source)
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    if name == "op3_suffix_dedup":
+        assert Counter(map(tuple, rows)) == brute_removed([(k, r["text"]) for k, r in source.items()])
+    if name == "op4_simhash":
+        want = brute_components([(k, brute_fingerprint(r["text"])) for k, r in source.items()])
+        assert {(r["doc_id"], r["fingerprint"], r["component_id"]) for r in rows} == {(k, f"{(f := brute_fingerprint(r['text'])):016x}", want[f]) for k, r in source.items()}
+    for r in rows:
+        given = source[r[key]]
+        text = (given["text"] or "") if of == "documents" else None
+        if name == "op2_audio":
+            data_ = text.encode() + b"\xff" * (-len(text.encode()) % 576 if text else 576)
+            assert tuple(r)[1:5] == (len(text.encode()), len(data_), sha(data_), zlib.crc32(data_[-32:]))
+        if name == "op5_url_filter":
+            host, path, rule, verdict = brute_rule(given["url"])
+            assert tuple(r)[1:4] == (host, path, rule) and r["verdict"] in {verdict or "allow", verdict or "block"}
+        if name == "op7_html":
+            assert r["url"] == given["url"] and r["n_chars"] == len(r["text"])
+        if name == "op8_pii":
+            spans = brute_spans(text)
+            line = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+            assert tuple(r)[1:6] == (*[sum(x[0] == k for x in spans) for k in pii.KINDS], sha(line.encode())) and r["spans"].startswith(line)
+        if name == "op10_quality_rules":
+            n = brute_statistics(text)
+            failed = n[0] < 10 or 100 * n[4] > 20 * n[0]
+            assert tuple(r)[1:7] == (*n, failed) and not (failed and r["kept"])
