@@ -72,9 +72,10 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 4 * ROWS):
-                found = pc.value_counts(split_words(batch.column(0).slice(a, 4 * ROWS))[1])
+            for a in range(0, batch.num_rows, ROWS):
+                found = pc.value_counts(split_words(batch.column(0).slice(a, ROWS))[1])
                 yield pa.RecordBatch.from_arrays([found.field("values").cast(pa.string()), found.field("counts")], names=["word", "n"])
+        pa.default_memory_pool().release_unused()
 
     return docs.select(docs[text].cast("string").alias("text")).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -247,6 +248,7 @@ def encoded(docs: DataFrame, words: list[str], text: str = "text", keep_text: bo
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=lengths.size))])
                 listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes[rare].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(lengths, pa.int64()), lines.cast(pa.binary()), listed], names=[*kept, "n_tokens", names["ids"], names["rare"]])
+        pa.default_memory_pool().release_unused()  # workers are kept for later tasks, which have other needs
 
     schema = ", ".join([f"`{c}` {types[c]}" for c in kept] + [f"n_tokens bigint, `{names['ids']}` binary, `{names['rare']}` array<bigint>"])
     seen = docs.select(*kept, docs[text].cast("string").alias(names["text"])).mapInArrow(run, schema)
