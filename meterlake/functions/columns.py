@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -34,7 +35,8 @@ def first_of(cases, otherwise) -> Column:
 
 
 def environment(c: Column) -> Column:
-    return first_of(((F.lower(c).isin(*names), name) for name, names in ENVIRONMENTS.items()), F.lower(c))
+    spellings = F.create_map(*[F.lit(x) for name, names in ENVIRONMENTS.items() for spelling in names for x in (spelling, name)])
+    return F.coalesce(F.try_element_at(spellings, F.lower(c)), F.lower(c))
 
 
 def node_family(c: Column) -> Column:
@@ -57,6 +59,20 @@ def is_missing(c: Column, name: str) -> Column:
     return F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(TAG_DEFAULTS[name])) == TAG_DEFAULTS[name]
 
 
+def is_absent(raw: Column, name: str) -> Column:
+    """is_missing() of defaulted(raw), read from the raw tag: neither default nor spelling is put in only to be compared."""
+    value = F.trim(raw)
+    if name == "environment":
+        return F.coalesce(F.lower(value).isin("", *ENVIRONMENTS[TAG_DEFAULTS[name]]), F.lit(True))
+    return F.coalesce(value.isin("", TAG_DEFAULTS[name]), F.lit(True))
+
+
+def last_days(key: str, as_of: str, days: int) -> str:
+    """The condition on a date key for the last so many days up to a day, that day included; no query reads the clock."""
+    last = dt.date.fromisoformat(as_of)
+    return f"{key} BETWEEN {last - dt.timedelta(days=days - 1):%Y%m%d} AND {last:%Y%m%d}"
+
+
 def runtime(version: Column) -> dict[str, Column]:
     number = lambda k: F.regexp_extract(version, r"^(?:dlt:)?(\d+)\.(\d+)", k).try_cast("int")
     lower = F.lower(version)

@@ -24,6 +24,33 @@ def drift(source: T.StructType, target: T.StructType) -> list[tuple[str, str, st
     return [(p, kind(p), s.get(p), t.get(p)) for p in sorted({*s, *t}) if s.get(p) != t.get(p)]
 
 
+def drift_report(df: DataFrame, target: T.StructType) -> DataFrame:
+    """drift() of df against a target as rows, with the rows of df that each difference touches, counted in one pass.
+
+    A missing column touches every row, an extra one the rows with a value, a changed type the rows whose value it loses.
+    """
+    wanted = {}
+
+    def types(schema: T.StructType, prefix: str = "") -> None:
+        for f in schema.fields:
+            wanted[prefix + f.name] = f.dataType
+            if isinstance(f.dataType, T.StructType):
+                types(f.dataType, f"{prefix}{f.name}.")
+
+    types(target)
+    found = drift(df.schema, target)
+    hit = {
+        "missing": lambda p: F.lit(True),
+        "extra": lambda p: F.col(p).isNotNull(),
+        "type_changed": lambda p: F.col(p).isNotNull() & (F.lit(True) if isinstance(wanted[p], T.StructType) else F.col(p).try_cast(wanted[p]).isNull()),
+    }
+    counts = df.agg(*[F.count_if(hit[kind](p)).alias(f"n{k}") for k, (p, kind, *_) in enumerate(found)]) if found else df.limit(0).agg(F.lit(0).alias("none"))
+    text = lambda x: F.lit(x).cast("string")
+    rows = [F.struct(text(p).alias("path"), text(kind).alias("kind"), text(a).alias("source_type"), text(b).alias("target_type"), F.col(f"n{k}").alias("n_rows")) for k, (p, kind, a, b) in enumerate(found)]
+    empty = F.array().cast("array<struct<path:string,kind:string,source_type:string,target_type:string,n_rows:bigint>>")
+    return counts.select(F.inline(F.array(*rows) if rows else empty))
+
+
 def _aligned(c: Column, source: T.DataType | None, target: T.DataType) -> Column:
     if not isinstance(target, T.StructType):
         return F.lit(None).cast(target) if source is None else c.try_cast(target)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions import columns as c
@@ -13,8 +13,8 @@ FOREVER = "9999-12-31 00:00:00"
 CLUSTER_COLUMNS = ("cluster_name", "kind", "runtime_version", "major_version", "minor_version", "worker_node_type", "node_family", "min_workers", "max_workers", "cluster_current")
 
 
-def silver_usage(m: Model) -> DataFrame:
-    """Usage with its entity, flattened metadata, defaulted tags and date key."""
+def silver_usage(m: Model, *more: Column) -> DataFrame:
+    """Usage with its entity, flattened metadata, defaulted tags and date key; more: further columns over the raw usage."""
     u = m.usage()
     job, pipeline = metadata("job_id"), metadata("pipeline_id")
     return u.select(
@@ -22,7 +22,7 @@ def silver_usage(m: Model) -> DataFrame:
         c.first_of([(job.isNotNull(), F.lit("JOB")), (pipeline.isNotNull(), F.lit("PIPELINE"))], F.col("product")).alias("entity_type"),
         F.coalesce(job, pipeline, F.lit("UNKNOWN")).alias("entity_id"), F.coalesce(metadata("job_run_id"), F.lit("UNKNOWN")).alias("job_run_id"), metadata("cluster_id").alias("cluster_id"),
         F.col("product_features.is_serverless").alias("is_serverless"), "usage_start_time", "usage_end_time", "usage_date", c.date_key(F.col("usage_date")).alias("date_key"), "usage_quantity",
-        *[c.defaulted(c.tag(F.col("custom_tags"), k), k).alias(k) for k in c.TAGS],
+        *[c.defaulted(c.tag(F.col("custom_tags"), k), k).alias(k) for k in c.TAGS], *more,
     )
 
 
@@ -31,6 +31,12 @@ def silver_runs(m: Model) -> DataFrame:
     return r.withColumns({"date_key": c.date_key(F.col("start_time")), "end_date_key": c.date_key(F.col("end_time")), "seconds": c.seconds_between(F.col("start_time"), F.col("end_time"))})
 
 
+def silver_tasks(m: Model) -> DataFrame:
+    """Task runs with the date keys of both ends and their execution time."""
+    r = m.tasks()
+    return r.withColumns({"date_key": c.date_key(F.col("start_time")), "end_date_key": c.date_key(F.col("end_time")), "seconds": c.seconds_between(F.col("start_time"), F.col("end_time"))})
+
+
 def dim_entity(m: Model) -> DataFrame:
     versions = t.intervalize(m.entity_log(), ["entity_type", "entity_id"])
     return versions.withColumn("entity_key", c.surrogate("entity_type", "entity_id", "valid_from"))
@@ -51,7 +57,7 @@ def dim_sku(m: Model) -> DataFrame:
 
 def dim_run_status(m: Model) -> DataFrame:
     """Keyed on state and code together, so a join on both never fans out."""
-    return m.runs().select("result_state", "termination_code").distinct()
+    return m.runs().select(F.concat_ws("|", "result_state", "termination_code").alias("run_status_key"), "result_state", "termination_code").distinct()
 
 
 def dim_date(m: Model) -> DataFrame:
@@ -66,8 +72,29 @@ def dim_date(m: Model) -> DataFrame:
     )
 
 
-def priced(m: Model, how: str = "inner") -> DataFrame:
-    return t.price_join(silver_usage(m), m.prices(), how)
+def priced(m: Model, how: str = "inner", *more: Column) -> DataFrame:
+    return t.price_join(silver_usage(m, *more), small(m.prices()), how)
+
+
+#: A price list of so many rows, some 100 bytes each, is broadcast; the planner would judge it by the table it is made from.
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df with the hint to broadcast it, once counted to be small enough."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def with_sku(facts: DataFrame, m: Model) -> DataFrame:
+    """The version of the SKU dimension at the start of usage."""
+    versions = dim_sku(m).select("sku_name", "usage_unit", "valid_from", "valid_to", F.col("valid_from").alias("sku_from"))
+    return t.asof_join(facts, small(versions), {"sku_name": "sku_name", "usage_unit": "usage_unit"}, facts["usage_start_time"], ["sku_from"])
+
+
+def with_entity_of_day(facts: DataFrame, m: Model, day: str = "date_key") -> DataFrame:
+    """Daily facts with the name and the version key of the entity as of the day."""
+    versions = dim_entity(m).select("entity_type", "entity_id", "valid_from", "valid_to", F.col("name").alias("entity_name"), F.col("valid_from").alias("entity_from"))
+    return t.asof_join(facts, versions, {"entity_type": "entity_type", "entity_id": "entity_id"}, facts[day], ["entity_name", "entity_from"], "left", c.date_key(F.col("valid_from")), c.date_key(F.col("valid_to")))
 
 
 def with_entity(facts: DataFrame, m: Model) -> DataFrame:
@@ -83,10 +110,27 @@ def with_cluster(facts: DataFrame, m: Model) -> DataFrame:
     return t.asof_join(facts, versions, {"cluster_id": "cluster_id"}, facts["usage_start_time"], list(CLUSTER_COLUMNS), "left", start, end)
 
 
-def usage_fact(m: Model) -> DataFrame:
-    """The priced usage fact: one row a record, with the dimension attributes valid at its start."""
-    facts = with_cluster(with_entity(priced(m), m), m)
-    return facts.join(m.workspaces().select("workspace_id", "workspace_name", "region", "status"), "workspace_id", "left")
+ENTITY_COLUMNS = ("entity_name", "entity_from", "run_as")
+WORKSPACE_COLUMNS = ("workspace_name", "region", "status")
+
+
+def usage_fact(m: Model, *need: str) -> DataFrame:
+    """The priced usage fact: one row a record, with the dimension attributes valid at its start.
+
+    need: the attributes that are asked for, by default all; a dimension of which none is asked for is not joined. The optimizer
+    can't leave such a join out by itself, as it can't know that one version matches at most: intervals of a key never overlap.
+    """
+    asked = lambda columns: not need or not set(need).isdisjoint(columns)
+    facts = priced(m)
+    if asked(["sku_from"]):
+        facts = with_sku(facts, m)
+    if asked(ENTITY_COLUMNS):
+        facts = with_entity(facts, m)
+    if asked(CLUSTER_COLUMNS):
+        facts = with_cluster(facts, m)
+    if asked(WORKSPACE_COLUMNS):
+        facts = facts.join(m.workspaces().select("workspace_id", *WORKSPACE_COLUMNS), "workspace_id", "left")
+    return facts
 
 
 def entity_cost(m: Model) -> DataFrame:
@@ -103,12 +147,13 @@ def run_status_cost(m: Model) -> DataFrame:
     """Every run with its cost, 0 where no priced usage names it."""
     cost = run_cost(m).select(F.col("job_run_id").alias("run_id"), "run_cost")
     runs = silver_runs(m).join(cost, "run_id", "left")
-    return runs.withColumn("run_cost", F.coalesce("run_cost", F.lit(0).cast(c.TOTAL)))
+    key = F.concat_ws("|", "result_state", "termination_code")
+    return runs.withColumns({"run_cost": F.coalesce("run_cost", F.lit(0).cast(c.TOTAL)), "run_status_key": key, "entity_type": F.lit("JOB"), "entity_id": F.col("job_id")})
 
 
 def runs_finished(m: Model) -> DataFrame:
     state = lambda s: F.count_if(F.col("result_state") == s)
-    return silver_runs(m).groupBy("end_date_key", "workspace_id").agg(F.count("*").alias("finished_runs"), state("SUCCESS").alias("success_runs"), state("FAILED").alias("failed_runs"), state("CANCELLED").alias("cancelled_runs"))
+    return silver_runs(m).groupBy("end_date_key", "workspace_id", F.lit("JOB").alias("entity_type"), F.col("job_id").alias("entity_id")).agg(F.count("*").alias("finished_runs"), state("SUCCESS").alias("success_runs"), state("FAILED").alias("failed_runs"), state("CANCELLED").alias("cancelled_runs"))
 
 
 def month_of(date_key: str = "date_key"):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,8 +159,9 @@ def inc_impacted_partitions(m: Model) -> DataFrame:
     """Daily totals in which only the dates that the increment touches are computed anew."""
     u = m.usage().withColumn("date_key", c.date_key(F.col("usage_date")))
     dates = inc.hwm_scan(u, "usage_end_time", "2001-06-01 00:00:00").select("date_key").distinct()
+    # What stands for the stored totals leaves the touched dates out, so that each date is summed once.
     sums = lambda rows, flag: rows.groupBy("date_key").agg(c.total(F.col("usage_quantity")).alias("total_quantity"), F.lit(flag).alias("rewritten"))
-    return up.rewrite_partitions(sums(u, False), sums(u.join(dates, "date_key", "left_semi"), True), "date_key")
+    return up.rewrite_partitions(sums(u.join(dates, "date_key", "left_anti"), False), sums(u.join(dates, "date_key", "left_semi"), True), "date_key")
 
 
 # State
@@ -411,7 +412,7 @@ def dim_sku(m: Model) -> DataFrame:
     return p.dim_sku(m)
 
 
-@query("SELECT DISTINCT result_state, termination_code FROM m_runs")
+@query("SELECT DISTINCT result_state || '|' || termination_code AS run_status_key, result_state, termination_code FROM m_runs")
 def dim_run_status(m: Model) -> DataFrame:
     return p.dim_run_status(m)
 
@@ -438,14 +439,18 @@ def dim_surrogate_key(m: Model) -> DataFrame:
 # Facts
 
 
-@query("SELECT record_id, date_key, workspace_id, workspace_name, entity_type, entity_id, entity_name, cluster_id, cluster_name, sku_name, usage_unit, usage_quantity, price, cost FROM m_fact")
+@query("SELECT f.record_id, f.date_key, f.workspace_id, f.workspace_name, f.entity_type, f.entity_id, f.entity_name, f.cluster_id, f.cluster_name, f.sku_name, f.usage_unit, s.price_start_time AS sku_from, f.usage_quantity, f.price, f.cost FROM m_fact f LEFT JOIN m_prices s ON f.sku_name = s.sku_name AND f.usage_unit = s.usage_unit AND f.usage_start_time >= s.price_start_time AND f.usage_start_time < s.price_end_time")
 def fact_usage_priced(m: Model) -> DataFrame:
-    return p.usage_fact(m).select("record_id", "date_key", "workspace_id", "workspace_name", "entity_type", "entity_id", "entity_name", "cluster_id", "cluster_name", "sku_name", "usage_unit", "usage_quantity", "price", "cost")
+    """Intervals of a key never overlap (scd2_validate_intervals), so no join fans out and no guard has to shuffle the fact again."""
+    return p.usage_fact(m).select("record_id", "date_key", "workspace_id", "workspace_name", "entity_type", "entity_id", "entity_name", "cluster_id", "cluster_name", "sku_name", "usage_unit", "sku_from", "usage_quantity", "price", "cost")
 
 
-@query(_EC)
+_OF_DAY = "LEFT JOIN m_entity_scd e ON c.entity_type = e.entity_type AND c.entity_id = e.entity_id AND c.{0} >= strftime(e.valid_from, '%Y%m%d')::INTEGER AND (e.valid_to IS NULL OR c.{0} < strftime(e.valid_to, '%Y%m%d')::INTEGER)"
+
+
+@query(f"WITH c AS ({_EC}) SELECT c.*, e.name AS entity_name, e.valid_from AS entity_from FROM c {_OF_DAY.format('date_key')}")
 def fact_entity_cost(m: Model) -> DataFrame:
-    return p.entity_cost(m)
+    return p.with_entity_of_day(p.entity_cost(m), m)
 
 
 @query("WITH c AS (SELECT entity_id, job_run_id, sum(cost)::DECIMAL(28,6) AS run_cost, sum(usage_quantity)::DECIMAL(28,6) AS run_quantity FROM m_priced WHERE job_run_id <> 'UNKNOWN' GROUP BY 1, 2), n AS (SELECT r.run_id, max_by(k.cluster_name, k.valid_from) AS cluster_name FROM m_runs r JOIN m_cluster_scd k ON r.job_id = k.cluster_id AND k.valid_from < r.end_time AND (k.valid_to IS NULL OR k.valid_to > r.start_time) GROUP BY 1) SELECT c.*, n.cluster_name FROM c LEFT JOIN n ON c.job_run_id = n.run_id")
@@ -456,14 +461,15 @@ def fact_run_cost(m: Model) -> DataFrame:
     return p.run_cost(m).join(named, "job_run_id", "left")
 
 
-@query("SELECT r.run_id, r.job_id, r.date_key, r.result_state, r.termination_code, coalesce(c.run_cost, 0::DECIMAL(28,6)) AS run_cost FROM m_silver_runs r LEFT JOIN (SELECT job_run_id, sum(cost)::DECIMAL(28,6) AS run_cost FROM m_priced WHERE job_run_id <> 'UNKNOWN' GROUP BY 1) c ON r.run_id = c.job_run_id")
+@query(f"WITH c AS (SELECT r.run_id, 'JOB' AS entity_type, r.job_id AS entity_id, r.date_key, r.result_state || '|' || r.termination_code AS run_status_key, coalesce(c.run_cost, 0::DECIMAL(28,6)) AS run_cost FROM m_silver_runs r LEFT JOIN (SELECT job_run_id, sum(cost)::DECIMAL(28,6) AS run_cost FROM m_priced WHERE job_run_id <> 'UNKNOWN' GROUP BY 1) c ON r.run_id = c.job_run_id) SELECT c.*, e.name AS entity_name, e.valid_from AS entity_from FROM c {_OF_DAY.format('date_key')}")
 def fact_run_status_cost(m: Model) -> DataFrame:
-    return p.run_status_cost(m).select("run_id", "job_id", "date_key", "result_state", "termination_code", "run_cost")
+    rows = p.run_status_cost(m).select("run_id", "entity_type", "entity_id", "date_key", "run_status_key", "run_cost")
+    return p.with_entity_of_day(rows, m)
 
 
-@query("SELECT end_date_key, workspace_id, count(*) AS finished_runs, count(*) FILTER (WHERE result_state = 'SUCCESS') AS success_runs, count(*) FILTER (WHERE result_state = 'FAILED') AS failed_runs, count(*) FILTER (WHERE result_state = 'CANCELLED') AS cancelled_runs FROM m_silver_runs GROUP BY 1, 2")
+@query(f"WITH c AS (SELECT end_date_key, workspace_id, 'JOB' AS entity_type, job_id AS entity_id, count(*) AS finished_runs, count(*) FILTER (WHERE result_state = 'SUCCESS') AS success_runs, count(*) FILTER (WHERE result_state = 'FAILED') AS failed_runs, count(*) FILTER (WHERE result_state = 'CANCELLED') AS cancelled_runs FROM m_silver_runs GROUP BY ALL) SELECT c.*, e.name AS entity_name, e.valid_from AS entity_from FROM c {_OF_DAY.format('end_date_key')}")
 def fact_runs_finished(m: Model) -> DataFrame:
-    return p.runs_finished(m)
+    return p.with_entity_of_day(p.runs_finished(m), m, "end_date_key")
 
 
 @query("SELECT record_id, date_key, workspace_name, region, sku_name, product, CASE WHEN is_serverless THEN 'Y' ELSE 'N' END AS serverless, run_as, runtime_version, node_family, usage_quantity, cost, environment, cost_center FROM m_fact")
@@ -481,6 +487,11 @@ def silver_run_timeline(m: Model) -> DataFrame:
     return p.silver_runs(m).select("run_id", "job_id", "date_key", "end_date_key", "seconds", "result_state")
 
 
+@query(f"SELECT run_id, task_key, {_KEY.format('start_time')} AS date_key, {_KEY.format('end_time')} AS end_date_key, date_diff('second', start_time, end_time) AS seconds, result_state FROM m_tasks")
+def silver_task_timeline(m: Model) -> DataFrame:
+    return p.silver_tasks(m).select("run_id", "task_key", "date_key", "end_date_key", "seconds", "result_state")
+
+
 # Quality
 
 
@@ -572,18 +583,18 @@ def health_summary(m: Model) -> DataFrame:
 @query("SELECT count(*) AS n_rows, count(*) - count(DISTINCT record_id) AS duplicates, count(*) FILTER (WHERE record_id IS NULL) AS null_ids, count(*) FILTER (WHERE cost < 0) AS negatives, min(date_key) AS first_day, max(date_key) AS last_day, count(*) = count(DISTINCT record_id) AND count(*) FILTER (WHERE cost < 0) = 0 AS ok FROM m_fact")
 def dq_fact_validation(m: Model) -> DataFrame:
     n, d, bad = F.count("*"), F.count_distinct("record_id"), F.count_if(F.col("cost") < 0)
-    return p.usage_fact(m).agg(n.alias("n_rows"), (n - d).alias("duplicates"), F.count_if(F.col("record_id").isNull()).alias("null_ids"), bad.alias("negatives"), F.min("date_key").alias("first_day"), F.max("date_key").alias("last_day"), ((n == d) & (bad == 0)).alias("ok"))
+    return p.usage_fact(m, "entity_name").agg(n.alias("n_rows"), (n - d).alias("duplicates"), F.count_if(F.col("record_id").isNull()).alias("null_ids"), bad.alias("negatives"), F.min("date_key").alias("first_day"), F.max("date_key").alias("last_day"), ((n == d) & (bad == 0)).alias("ok"))
 
 
 @query("SELECT count(*) AS n_rows, sum(cost)::DECIMAL(28,6) AS total_cost, sum(cost)::DOUBLE / count(*) AS avg_cost, max(cost) AS max_cost, count(DISTINCT workspace_id) AS n_workspaces, count(*) FILTER (WHERE date_key >= 20001201) AS n_last_days FROM m_fact")
 def fact_statistics(m: Model) -> DataFrame:
-    return p.usage_fact(m).agg(F.count("*").alias("n_rows"), c.total(F.col("cost")).alias("total_cost"), c.mean(F.col("cost")).alias("avg_cost"), F.max("cost").alias("max_cost"), F.count_distinct("workspace_id").alias("n_workspaces"), F.count_if(F.col("date_key") >= 20001201).alias("n_last_days"))
+    return p.usage_fact(m, "record_id").agg(F.count("*").alias("n_rows"), c.total(F.col("cost")).alias("total_cost"), c.mean(F.col("cost")).alias("avg_cost"), F.max("cost").alias("max_cost"), F.count_distinct("workspace_id").alias("n_workspaces"), F.count_if(F.col("date_key") >= 20001201).alias("n_last_days"))
 
 
 @query("WITH d AS (SELECT date_key, workspace_id, sum(cost)::DECIMAL(28,6) AS day_cost FROM m_priced GROUP BY 1, 2) SELECT 'COST' AS alert, date_key, workspace_id, day_cost::DOUBLE AS value FROM d WHERE day_cost > 80000 UNION ALL SELECT 'FAILED_RUNS', end_date_key, workspace_id, count(*) FILTER (WHERE result_state = 'FAILED')::DOUBLE FROM m_silver_runs GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE result_state = 'FAILED') >= 2")
 def alert_cost_threshold(m: Model) -> DataFrame:
     cost = p.priced(m).groupBy("date_key", "workspace_id").agg(c.total(F.col("cost")).alias("v")).where("v > 80000").select(F.lit("COST").alias("alert"), "date_key", "workspace_id", F.col("v").cast("double").alias("value"))
-    failed = p.runs_finished(m).where("failed_runs >= 2").select(F.lit("FAILED_RUNS"), F.col("end_date_key"), "workspace_id", F.col("failed_runs").cast("double"))
+    failed = p.runs_finished(m).groupBy("end_date_key", "workspace_id").agg(F.sum("failed_runs").alias("failed_runs")).where("failed_runs >= 2").select(F.lit("FAILED_RUNS"), F.col("end_date_key"), "workspace_id", F.col("failed_runs").cast("double"))
     return cost.union(failed)
 
 
@@ -637,6 +648,65 @@ def align_to_schema(m: Model) -> DataFrame:
     return out.select("event_id", "id_text", *[F.col(f"actor.{k}").alias(f"a_{k}") for k in ("user", "type", "region")])
 
 
+TARGET = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.IntegerType()), T.StructField("event_type", T.IntegerType()), T.StructField("region", T.StringType()), T.StructField("value", T.DoubleType())])
+
+
+@query("""SELECT 'event_type' AS path, 'type_changed' AS kind, 'string' AS source_type, 'int' AS target_type, count(*) FILTER (WHERE event_type IS NOT NULL AND try_cast(event_type AS INTEGER) IS NULL) AS n_rows FROM events
+UNION ALL SELECT 'props', 'extra', 'string', NULL, count(props) FROM events UNION ALL SELECT 'region', 'missing', NULL, 'string', count(*) FROM events UNION ALL SELECT 'ts', 'extra', 'timestamp_ntz', NULL, count(ts) FROM events
+UNION ALL SELECT 'user_id', 'type_changed', 'bigint', 'int', count(*) FILTER (WHERE user_id IS NOT NULL AND try_cast(user_id AS INTEGER) IS NULL) FROM events""")
+def schema_drift(m: Model) -> DataFrame:
+    """Differences of a source from its target as rows, with the rows of the source that each touches."""
+    return sch.drift_report(m.raw("events"), TARGET)
+
+
+@query("""SELECT CASE WHEN event_id % 97 = 0 THEN NULL ELSE event_id::VARCHAR END AS cluster_id, event_id % 97 = 0 AS is_malformed, CASE WHEN event_id % 97 <> 0 THEN coalesce(CASE WHEN user_id % 3 <> 0 THEN (user_id % 5)::INTEGER END, 0) END AS min_workers, CASE WHEN event_id % 97 <> 0 AND event_id % 4 <> 0 THEN event_type END AS name FROM events""")
+def src_json_payload_files(m: Model) -> DataFrame:
+    """Payloads read from JSON files by schema: absent fields are null, malformed lines are kept apart, none is lost.
+
+    The files are written here, from the events, as the tables hold no JSON files.
+    """
+    eid, uid = F.col("event_id"), F.col("user_id")
+    payload = F.struct(
+        eid.cast("string").alias("cluster_id"), F.when(uid % 3 != 0, F.struct((uid % 5).cast("int").alias("min_workers"))).alias("autoscale"),
+        F.when(eid % 4 != 0, F.struct(F.col("event_type").alias("name"))).alias("settings"),
+    )
+    line = F.to_json(payload)
+    at = st.folder(m.spark)
+    m.raw("events").select(F.when(eid % 97 == 0, F.substring(line, 1, 9)).otherwise(line).alias("value")).write.text(f"{at}/payloads")
+    x = m.spark.read.schema(f"{PAYLOAD}, _corrupt_record string").json(f"{at}/payloads")
+    good = F.col("_corrupt_record").isNull()
+    return x.select(F.when(good, F.col("cluster_id")).alias("cluster_id"), (~good).alias("is_malformed"), F.when(good, F.coalesce("autoscale.min_workers", F.lit(0))).alias("min_workers"), F.when(good, F.col("settings.name")).alias("name"))
+
+
+@query("SELECT workspace_id, usage_date // 1 AS day, total_cost FROM (SELECT workspace_id, date_key AS usage_date, sum(cost)::DECIMAL(28,6) AS total_cost FROM m_priced WHERE date_key // 100 IN (199805, 199806) GROUP BY 1, 2) WHERE usage_date // 100 = 199806")
+def partitioned_output(m: Model) -> DataFrame:
+    """Daily costs written in a folder a month, one month written twice, and one month read back by its partition alone."""
+    at = f"{st.folder(m.spark)}/costs"
+    month = F.expr("date_key div 100")
+    daily = p.priced(m).where(month.isin(199805, 199806)).groupBy("workspace_id", "date_key").agg(c.total(F.col("cost")).alias("total_cost")).withColumn("month", month.cast("int"))
+    up.write_partitions(daily, at, "month", sort=["workspace_id"])
+    up.write_partitions(daily.where("month = 199806"), at, "month", sort=["workspace_id"])
+    return m.spark.read.parquet(at).where("month = 199806").select("workspace_id", F.col("date_key").alias("day"), "total_cost")
+
+
+@query("SELECT product, count(*) AS n_records, sum(cost)::DECIMAL(28,6) AS total_cost FROM m_priced WHERE usage_quantity > 0 GROUP BY 1")
+def declared_tables(m: Model) -> DataFrame:
+    """A pipeline of declared views, each a query over the ones before it; Spark plans the whole chain at once."""
+    return declare(m.spark, {
+        "declared_bronze": p.priced(m).select("record_id", "product", "usage_quantity", "cost"),
+        "declared_silver": "SELECT * FROM declared_bronze WHERE usage_quantity > 0",
+        "declared_gold": f"SELECT product, count(*) AS n_records, CAST(sum(cost) AS {c.TOTAL}) AS total_cost FROM declared_silver GROUP BY product",
+    })
+
+
+def declare(spark: SparkSession, views: dict[str, DataFrame | str]) -> DataFrame:
+    """Views by name, in order, each a DataFrame or a query over earlier names; the last one."""
+    for name, of in views.items():
+        last = spark.sql(of) if isinstance(of, str) else of
+        last.createOrReplaceTempView(name)
+    return last
+
+
 # Streams
 
 

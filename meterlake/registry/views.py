@@ -15,9 +15,14 @@ from .base import query
 SQL_MEASURES = {
     "total_cost": "sum(cost)::DECIMAL(28,6)", "total_quantity": "sum(usage_quantity)::DECIMAL(28,6)", "n_records": "count(*)", "n_entities": "count(DISTINCT entity_id)", "n_workspaces": "count(DISTINCT workspace_id)", "n_clusters": "count(DISTINCT cluster_id)", "n_days": "count(DISTINCT date_key)",
     "avg_cost": "sum(cost)::DOUBLE / count(cost)", "cost_per_unit": "sum(cost)::DOUBLE / nullif(sum(usage_quantity)::DOUBLE, 0)", "cost_per_entity": "sum(cost)::DOUBLE / nullif(count(DISTINCT entity_id), 0)", "cost_per_workspace": "sum(cost)::DOUBLE / nullif(count(DISTINCT workspace_id), 0)",
+    "n_runs": "count(DISTINCT nullif(job_run_id, 'UNKNOWN'))", "cost_per_run": "sum(cost)::DOUBLE / nullif(count(DISTINCT nullif(job_run_id, 'UNKNOWN')), 0)",
 }
-#: The two years before this day stand for "recent" in dashboards; no query reads the clock.
-RECENT = "date_key BETWEEN 19990101 AND 20001231"
+#: Dashboards ask for the last so many days up to this one; no query reads the clock.
+AS_OF, DAYS = "2000-12-31", 731
+
+
+RECENT = c.last_days("date_key", AS_OF, DAYS)
+RECENT_SQL = f"(date_key > strftime(DATE '{AS_OF}' - INTERVAL {DAYS} DAY, '%Y%m%d')::INTEGER AND date_key <= strftime(DATE '{AS_OF}', '%Y%m%d')::INTEGER)"
 MONTH = {"month_key": (lambda: F.expr("date_key div 100"), "date_key // 100")}
 HOUR = {"hour_of_day": (lambda: F.hour("usage_start_time"), "hour(usage_start_time)")}
 
@@ -42,7 +47,7 @@ ROLLUPS = {
     "dash_bu_performance": (("line_of_business",), (*USUAL, "cost_per_unit", "cost_per_entity"), RECENT, None, None),
     "dash_project_cost": (("month_key", "use_case"), USUAL, RECENT, None, None),
     "dash_usage_hourly": (("hour_of_day", "environment"), USUAL, RECENT, None, None),
-    "dash_node_type_cost": (("worker_node_type", "runtime_version"), (*USUAL, "n_clusters", "cost_per_entity"), "worker_node_type IS NOT NULL", None, None),
+    "dash_node_type_cost": (("worker_node_type", "runtime_version"), (*USUAL, "n_clusters", "cost_per_entity", "n_runs", "cost_per_run"), "worker_node_type IS NOT NULL", None, None),
     "dash_top_skus": (("sku_name",), ("total_cost", "total_quantity", "n_records", "cost_per_unit"), RECENT, None, 10),
     "dash_top_entities": (("entity_type", "entity_id"), ("total_cost", "total_quantity", "n_days"), f"{RECENT} AND entity_id <> 'UNKNOWN'", None, 15),
     "dash_top_cost_centers": (("cost_center",), ("total_cost", "n_entities", "cost_per_entity"), RECENT, None, 10),
@@ -55,13 +60,16 @@ ROLLUPS = {
 
 def _register(name: str) -> None:
     keys, measures, where, having, top = ROLLUPS[name]
+    condition, where = where, where and where.replace(RECENT, RECENT_SQL)
     derived = {**MONTH, **HOUR}
     select = ", ".join([f"{derived[k][1]} AS {k}" if k in derived else k for k in keys] + [f"{SQL_MEASURES[m]} AS {m}" for m in measures])
     group = ", ".join(str(i + 1) for i in range(len(keys)))
     sql = f"SELECT {select} FROM m_fact" + (f" WHERE {where}" if where else "") + f" GROUP BY {group}" + (f" ORDER BY total_cost DESC, {', '.join(keys)} LIMIT {top}" if top else "")
 
     def make(m: Model) -> DataFrame:
-        return rollup(p.usage_fact(m), [derived[k][0]().alias(k) if k in derived else k for k in keys], measures, where, having, top)
+        # Attributes named by keys and condition; "record_id" stands for none.
+        need = ["record_id", *[k for k in (*p.ENTITY_COLUMNS, *p.CLUSTER_COLUMNS, *p.WORKSPACE_COLUMNS) if k in keys or k in (condition or "")]]
+        return rollup(p.usage_fact(m, *need), [derived[k][0]().alias(k) if k in derived else k for k in keys], measures, condition, having, top)
 
     query(sql, name)(make)
 
@@ -94,22 +102,21 @@ def view_tag_quality(m: Model) -> DataFrame:
 _COVERAGE_SQL = ", ".join(f"count(*) FILTER (WHERE NOT {x}) AS with_{k}, round(count(*) FILTER (WHERE NOT {x}) * 100.0::DOUBLE / count(*)::DOUBLE, 2) AS {k}_pct" for k, x in _MISSING.items())
 
 
-def _coverage(rows: DataFrame, *keys: str) -> DataFrame:
-    measures = []
-    for k in c.TAGS:
-        n = F.count_if(~c.is_missing(F.col(k), k))
-        measures += [n.alias(f"with_{k}"), c.percent(n, F.count("*")).alias(f"{k}_pct")]
-    return rows.groupBy(*keys).agg(F.count("*").alias("n_records"), *measures, c.total(F.col("cost")).alias("total_cost"))
+def _coverage(m: Model, *keys: str) -> DataFrame:
+    """One flag a tag, set where usage is read; shares come from the counts after the aggregation."""
+    flags = [(~c.is_absent(c.tag(F.col("custom_tags"), k), k)).alias(f"has_{k}") for k in c.TAGS]
+    sums = p.priced(m, "inner", *flags).groupBy(*keys).agg(F.count("*").alias("n_records"), *[F.count_if(F.col(f"has_{k}")).alias(f"with_{k}") for k in c.TAGS], c.total(F.col("cost")).alias("total_cost"))
+    return sums.select(*keys, "n_records", *[x for k in c.TAGS for x in (F.col(f"with_{k}"), c.percent(F.col(f"with_{k}"), F.col("n_records")).alias(f"{k}_pct"))], "total_cost")
 
 
 @query(f"SELECT date_key, count(*) AS n_records, {_COVERAGE_SQL}, sum(cost)::DECIMAL(28,6) AS total_cost FROM m_priced GROUP BY 1")
 def view_tag_coverage(m: Model) -> DataFrame:
-    return _coverage(p.priced(m), "date_key")
+    return _coverage(m, "date_key")
 
 
 @query(f"SELECT workspace_id, count(*) AS n_records, {_COVERAGE_SQL}, sum(cost)::DECIMAL(28,6) AS total_cost FROM m_priced GROUP BY 1")
 def dash_tag_coverage_ws(m: Model) -> DataFrame:
-    return _coverage(p.priced(m), "workspace_id")
+    return _coverage(m, "workspace_id")
 
 
 _LAG = "newest - major_version"
@@ -121,7 +128,7 @@ SELECT f.date_key, f.workspace_id, f.runtime_version, f.major_version, f.minor_v
 FROM m_fact f JOIN newest n ON f.workspace_id = n.workspace_id GROUP BY f.date_key, f.workspace_id, f.runtime_version, f.major_version, f.minor_version, newest""")
 def view_runtime_versions(m: Model) -> DataFrame:
     """The newest major version a workspace comes from the grouped rows, so the fact is read once."""
-    rows = p.usage_fact(m).groupBy("date_key", "workspace_id", "runtime_version", "major_version", "minor_version").agg(F.count_distinct("entity_id").alias("n_entities"), F.count_distinct("cluster_id").alias("n_clusters"), c.total(F.col("cost")).alias("total_cost"))
+    rows = p.usage_fact(m, "runtime_version").groupBy("date_key", "workspace_id", "runtime_version", "major_version", "minor_version").agg(F.count_distinct("entity_id").alias("n_entities"), F.count_distinct("cluster_id").alias("n_clusters"), c.total(F.col("cost")).alias("total_cost"))
     newest = rows.groupBy("workspace_id").agg(F.max("major_version").alias("newest"))
     lag = F.col("newest") - F.col("major_version")
     level = c.first_of([(lag > 4, F.lit("CRITICAL")), (lag > 3, F.lit("HIGH")), (lag > 2, F.lit("MEDIUM")), (lag > 1, F.lit("CONSIDER"))], F.lit("LOW"))
@@ -134,7 +141,7 @@ def view_node_types(m: Model) -> DataFrame:
     width = F.col("max_workers") - F.col("min_workers")
     scaling = F.when(width == 0, "FIXED").when(width > 5, "WIDE").otherwise("AUTOSCALE")
     suggestion = F.when(F.col("node_family").like("GPU%"), "check GPU use").when(width > 5, "narrow the range").otherwise("keep")
-    rows = p.usage_fact(m).where("worker_node_type IS NOT NULL")
+    rows = p.usage_fact(m, "worker_node_type").where("worker_node_type IS NOT NULL")
     return rows.groupBy("date_key", "worker_node_type", "node_family", scaling.alias("scaling"), suggestion.alias("suggestion")).agg(F.count_distinct("cluster_id").alias("n_clusters"), c.total(F.col("cost")).alias("total_cost"))
 
 
@@ -207,7 +214,7 @@ def policy_compliance(m: Model) -> DataFrame:
     return days.withColumn("compliance", F.when(F.col("policy_type") == "OTHER", "UNKNOWN").when(value > F.col("threshold"), "VIOLATION").otherwise("COMPLIANT"))
 
 
-@query(f"SELECT sum(cost)::DECIMAL(28,6) AS total_cost, sum(cost)::DOUBLE / count(*) AS avg_cost, count(DISTINCT workspace_id) AS n_workspaces, count(DISTINCT entity_id) AS n_entities, count(DISTINCT sku_name) AS n_skus FROM m_priced WHERE {RECENT}")
+@query(f"SELECT sum(cost)::DECIMAL(28,6) AS total_cost, sum(cost)::DOUBLE / count(*) AS avg_cost, count(DISTINCT workspace_id) AS n_workspaces, count(DISTINCT entity_id) AS n_entities, count(DISTINCT sku_name) AS n_skus FROM m_priced WHERE {RECENT_SQL}")
 def dash_kpis(m: Model) -> DataFrame:
     return p.priced(m).where(RECENT).agg(c.total(F.col("cost")).alias("total_cost"), c.mean(F.col("cost")).alias("avg_cost"), *[F.count_distinct(x).alias(a) for x, a in (("workspace_id", "n_workspaces"), ("entity_id", "n_entities"), ("sku_name", "n_skus"))])
 
@@ -219,7 +226,7 @@ def dash_param_kpis(m: Model) -> DataFrame:
     return m.spark.sql("SELECT CAST(sum(cost) AS DECIMAL(28,6)) AS total_cost, count(*) AS n_records FROM priced_usage_for_kpis WHERE date_key BETWEEN :first AND :last AND (:workspace = '<ALL>' OR workspace_id = :workspace)", args={"first": 19970101, "last": 19981231, "workspace": "7"})
 
 
-@query(f"WITH k AS (SELECT sum(cost)::DOUBLE AS cost, sum(usage_quantity)::DOUBLE AS quantity, count(*)::DOUBLE AS records FROM m_priced WHERE {RECENT}) SELECT 'total_cost' AS metric, cost AS value, 'USD' AS unit FROM k UNION ALL SELECT 'total_quantity', quantity, 'units' FROM k UNION ALL SELECT 'records', records, 'rows' FROM k")
+@query(f"WITH k AS (SELECT sum(cost)::DOUBLE AS cost, sum(usage_quantity)::DOUBLE AS quantity, count(*)::DOUBLE AS records FROM m_priced WHERE {RECENT_SQL}) SELECT 'total_cost' AS metric, cost AS value, 'USD' AS unit FROM k UNION ALL SELECT 'total_quantity', quantity, 'units' FROM k UNION ALL SELECT 'records', records, 'rows' FROM k")
 def dash_metric_cards(m: Model) -> DataFrame:
     k = p.priced(m).where(RECENT).agg(F.sum("cost").cast("double").alias("cost"), F.sum("usage_quantity").cast("double").alias("quantity"), F.count("*").cast("double").alias("records"))
     return k.select(F.expr("stack(3, 'total_cost', cost, 'USD', 'total_quantity', quantity, 'units', 'records', records, 'rows') AS (metric, value, unit)"))
@@ -236,7 +243,7 @@ SELECT category, count(*) AS runtime_versions, sum(clusters)::BIGINT AS total_cl
 def dash_runtime_health(m: Model) -> DataFrame:
     v = F.col("major_version")
     category = F.when(v.isin(16, 17), "Current").when(v == 15, "Recent").when(v == 14, "Older").otherwise("Legacy")
-    by_version = p.usage_fact(m).where("cluster_current").groupBy("runtime_version", category.alias("category")).agg(F.count_distinct("cluster_id").alias("clusters"), c.total(F.col("cost")).alias("cost"))
+    by_version = p.usage_fact(m, "cluster_current").where("cluster_current").groupBy("runtime_version", category.alias("category")).agg(F.count_distinct("cluster_id").alias("clusters"), c.total(F.col("cost")).alias("cost"))
     return by_version.groupBy("category").agg(F.count("*").alias("runtime_versions"), F.sum("clusters").alias("total_clusters"), c.total(F.col("cost")).alias("total_cost"))
 
 
@@ -292,8 +299,10 @@ def run_duration_stats(m: Model) -> DataFrame:
 
 @query(f"SELECT task_key, strftime(start_time, '%Y%m')::INTEGER AS month_key, quantile_cont({_TASK}, 0.5) AS p50, quantile_cont({_TASK}, 0.9) AS p90, quantile_cont({_TASK}, 0.99) AS p99 FROM m_tasks GROUP BY 1, 2")
 def task_latency_percentiles(m: Model) -> DataFrame:
+    """Exact: equal durations are counted before they move, so a group holds its different durations, seconds of a day or so."""
     t = m.tasks().withColumn("s", c.seconds_between(F.col("start_time"), F.col("end_time")))
-    return t.groupBy("task_key", F.date_format("start_time", "yyyyMM").cast("int").alias("month_key")).agg(*[F.percentile("s", q).alias(a) for a, q in (("p50", 0.5), ("p90", 0.9), ("p99", 0.99))])
+    counted = t.groupBy("task_key", F.date_format("start_time", "yyyyMM").cast("int").alias("month_key"), "s").agg(F.count("*").alias("n"))
+    return counted.groupBy("task_key", "month_key").agg(*[F.percentile("s", q, F.col("n")).alias(a) for a, q in (("p50", 0.5), ("p90", 0.9), ("p99", 0.99))])
 
 
 @query("SELECT entity_type, run_as, count(*) AS n_versions, count(DISTINCT entity_id) AS n_entities, count(*) FILTER (WHERE valid_to IS NULL) AS n_current, count(*) FILTER (WHERE valid_to IS NOT NULL) AS n_closed FROM m_entity_scd GROUP BY 1, 2")
@@ -344,3 +353,40 @@ def run_status_cost_impact(m: Model) -> DataFrame:
 @query("SELECT usage_date, count(*) AS n_records FROM m_usage GROUP BY 1 ORDER BY 1 DESC LIMIT 30")
 def daily_counts_recent(m: Model) -> DataFrame:
     return m.usage().groupBy("usage_date").agg(F.count("*").alias("n_records")).orderBy(F.desc("usage_date")).limit(30)
+
+
+@query("SELECT date_key, product, sum(cost)::DECIMAL(28,6) AS total_cost, count(*) AS n_records FROM m_priced WHERE usage_date > DATE '1998-08-01' - INTERVAL 30 DAY AND usage_date <= DATE '1998-08-01' GROUP BY 1, 2")
+def dash_last_days(m: Model) -> DataFrame:
+    """The last 30 days as of a given day."""
+    return p.priced(m).where(c.last_days("date_key", "1998-08-01", 30)).groupBy("date_key", "product").agg(c.total(F.col("cost")).alias("total_cost"), F.count("*").alias("n_records"))
+
+
+@query(f"""SELECT trigger_type, count(*) AS n_runs, sum(n_tasks)::BIGINT AS n_tasks, round(sum(n_tasks) * 3600.0::DOUBLE / nullif(sum(seconds), 0)::DOUBLE, 4) AS tasks_per_hour,
+ round(count(*) FILTER (WHERE result_state = 'SUCCESS') * 100.0::DOUBLE / count(*)::DOUBLE, 2) AS success_pct, round(count(*) FILTER (WHERE result_state = 'FAILED') * 100.0::DOUBLE / count(*)::DOUBLE, 2) AS error_pct
+ FROM (SELECT r.*, coalesce(t.n, 0) AS n_tasks FROM m_silver_runs r LEFT JOIN (SELECT run_id, count(*) AS n FROM m_tasks GROUP BY 1) t USING (run_id)) GROUP BY 1""")
+def run_metrics(m: Model) -> DataFrame:
+    """Throughput, success and error rates by trigger; tasks are counted by run before they meet the runs."""
+    tasks = m.tasks().groupBy("run_id").agg(F.count("*").alias("n"))
+    rows = p.silver_runs(m).join(tasks, "run_id", "left").groupBy("trigger_type").agg(
+        F.count("*").alias("n_runs"), F.sum(F.coalesce("n", F.lit(0))).alias("n_tasks"), F.sum("seconds").alias("s"), F.count_if(F.col("result_state") == "SUCCESS").alias("ok"), F.count_if(F.col("result_state") == "FAILED").alias("bad")
+    )
+    rate = F.round(F.try_divide(F.col("n_tasks") * F.lit(3600.0), F.col("s").cast("double")), 4)
+    return rows.select("trigger_type", "n_runs", "n_tasks", rate.alias("tasks_per_hour"), c.percent(F.col("ok"), F.col("n_runs")).alias("success_pct"), c.percent(F.col("bad"), F.col("n_runs")).alias("error_pct"))
+
+
+@query("SELECT sku_name, usage_unit, price_start_time, price, lag(price) OVER w AS previous, CASE WHEN lag(price) OVER w <> 0 THEN round((price - lag(price) OVER w)::DOUBLE * 100.0 / (lag(price) OVER w)::DOUBLE, 2) END AS change_pct FROM m_prices WHERE sku_name LIKE 'Brand#2%' WINDOW w AS (PARTITION BY sku_name, usage_unit ORDER BY price_start_time)")
+def price_history(m: Model) -> DataFrame:
+    """All prices of the SKUs that a pattern names, each with the one before."""
+    rows = m.prices().where(F.col("sku_name").like("Brand#2%")).select("sku_name", "usage_unit", "price_start_time", "price")
+    return p.with_lag(rows, "price", "price_start_time", ["sku_name", "usage_unit"])
+
+
+@query("SELECT region, status, count(*) AS n_workspaces FROM m_workspaces GROUP BY 1, 2")
+def workspace_status_counts(m: Model) -> DataFrame:
+    return m.workspaces().groupBy("region", "status").agg(F.count("*").alias("n_workspaces"))
+
+
+@query("SELECT is_serverless, is_photon, count(DISTINCT pipeline_id) AS n_pipelines, count(*) AS n_records FROM m_usage WHERE pipeline_id IS NOT NULL GROUP BY 1, 2")
+def pipeline_settings_counts(m: Model) -> DataFrame:
+    u = m.usage().where(F.col("usage_metadata.pipeline_id").isNotNull())
+    return u.groupBy(F.col("product_features.is_serverless").alias("is_serverless"), F.col("product_features.is_photon").alias("is_photon")).agg(F.count_distinct("usage_metadata.pipeline_id").alias("n_pipelines"), F.count("*").alias("n_records"))

@@ -18,8 +18,31 @@ LATENESS = "2 days"
 
 
 def folder(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="streams-")
-    return f"{root}/stream-{uuid.uuid4().hex}"
+    """A new folder for one stream; name it again to go on with that stream."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{root or tempfile.mkdtemp(prefix='streams-')}/stream-{uuid.uuid4().hex}"
+
+
+def written(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+    """The number of the last batch whose table stands whole under path, of those before a batch if one is given.
+
+    It is read from the store, so a new driver finds what an earlier one has written.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(where):
+        return None
+    names = [x.getPath().getName() for x in store.listStatus(where)]
+    whole = [int(n) for n in names if n.isdigit() and store.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return max((n for n in whole if before is None or n < before), default=None)
+
+
+def last_table(stream: DataFrame, path: str) -> DataFrame:
+    """The last batch's table; without any batch an empty one."""
+    spark, last = stream.sparkSession, written(stream.sparkSession, path)
+    return spark.createDataFrame([], stream.schema) if last is None else spark.read.parquet(f"{path}/{last}")
 
 
 def events(spark: SparkSession, sf_dir: str, name: str = "events") -> DataFrame:
@@ -39,31 +62,30 @@ def append_now(stream: DataFrame, at: str | None = None) -> DataFrame:
 
 def complete_now(stream: DataFrame, at: str | None = None) -> DataFrame:
     """Runs an aggregation in complete mode; each batch's result is a folder of its own, the last one counts."""
-    at, last = at or folder(stream.sparkSession), []
+    at = at or folder(stream.sparkSession)
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{at}/out/{number}")
-        last.append(number)
 
     query = stream.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.read.parquet(f"{at}/out/{max(last)}")
+    return last_table(stream, f"{at}/out")
 
 
 def upsert_now(stream: DataFrame, keys: list[str], order: list[str], at: str | None = None) -> DataFrame:
     """The newest row a key: every micro-batch is merged into the table of the one before. A replayed batch writes the
-    same folder again from the same predecessor, so replays change nothing."""
+    same folder again from the same predecessor, so replays change nothing. The tables lie beside the stream's state, so a run
+    with the same ``at`` goes on where the last one ended."""
     spark, at = stream.sparkSession, at or folder(stream.sparkSession)
-    done = {"last": None}
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = batch if done["last"] is None else batch.unionByName(spark.read.parquet(f"{at}/table/{done['last']}"))
+        last = written(spark, f"{at}/table", number)
+        rows = batch if last is None else batch.unionByName(spark.read.parquet(f"{at}/table/{last}"))
         latest(rows, keys, *[F.desc(c) for c in order]).write.mode("overwrite").parquet(f"{at}/table/{number}")
-        done["last"] = number
 
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.parquet(f"{at}/table/{done['last']}")
+    return last_table(stream, f"{at}/table")
 
 
 def deduplicated(stream: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:

@@ -141,3 +141,54 @@ def test_overlap_join_picks_the_latest_version(spark):
     versions = spark.createDataFrame([("e", "A", D(2024, 1, 1), D(2024, 1, 5)), ("e", "B", D(2024, 1, 5), None)], "id string, name string, valid_from timestamp_ntz, valid_to timestamp_ntz")
     facts = spark.createDataFrame([(1, "e", D(2024, 1, 4), D(2024, 1, 6)), (2, "e", D(2024, 1, 4), D(2024, 1, 5)), (3, "q", D(2024, 1, 4), D(2024, 1, 5))], "n int, id string, a timestamp_ntz, b timestamp_ntz")
     assert rows(t.overlap_join(facts, versions, {"id": "id"}, facts["a"], facts["b"], ["name"], "n").select("n", "name")) == [(1, "B"), (2, "A"), (3, None)]
+
+
+def test_rollups_join_only_the_dimensions_they_name(spark):
+    from meterlake import registry
+
+    def plan(name):
+        return registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+    allocation, departments, clusters = plan("view_cost_allocation"), plan("view_department_cost"), plan("view_cluster_cost")
+    assert "supplier" not in allocation + departments and "s_suppkey" not in allocation + departments
+    # Definition versions come from one window, cluster versions from two more.
+    assert allocation.count("\n") < clusters.count("\n") and "runtime" not in allocation and allocation.count("Window [lead") == 1
+    assert "Window [lead" not in departments and clusters.count("Window [lead") == 1
+    assert "strategy=broadcast" in departments  # the price list, once counted
+
+
+def test_streams_go_on_where_they_ended_and_take_nothing(spark, tmp_path):
+    from meterlake.streaming import streams as st
+
+    source, at = str(tmp_path / "in"), str(tmp_path / "at")
+    schema = "k string, n int"
+    write = lambda values: spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = lambda: spark.readStream.schema(schema).parquet(source)
+    write([("a", 1), ("b", 5)])
+    assert rows(st.upsert_now(stream(), ["k"], ["n"], at)) == [("a", 1), ("b", 5)]
+    write([("a", 3), ("c", 2)])
+    want = [("a", 3), ("b", 5), ("c", 2)]
+    assert rows(st.upsert_now(stream(), ["k"], ["n"], at)) == want  # another driver would find the same folder
+    assert rows(st.upsert_now(stream(), ["k"], ["n"], at)) == want  # nothing new
+    counts = lambda: st.complete_now(stream().groupBy("k").agg(F.sum("n").alias("n")), str(tmp_path / "sums"))
+    assert rows(counts()) == rows(counts()) == [("a", 4), ("b", 5), ("c", 2)]
+    (tmp_path / "none").mkdir()
+    empty = spark.readStream.schema(schema).parquet(str(tmp_path / "none"))
+    assert rows(st.upsert_now(empty, ["k"], ["n"])) == [] and rows(st.complete_now(empty.groupBy("k").count())) == []
+
+
+def test_drift_is_counted_in_rows(spark):
+    df = spark.createDataFrame([("5", 1, (1,)), ("x", None, None)], "a string, b int, s struct<z: int>")
+    target = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("c", T.DateType()), T.StructField("s", T.StructType([T.StructField("z", T.IntegerType())]))])
+    assert rows(sch.drift_report(df, target)) == [("a", "type_changed", "string", "int", 1), ("b", "extra", "int", None, 1), ("c", "missing", None, "date", 2)]
+    assert rows(sch.drift_report(df, df.schema)) == []
+
+
+def test_absent_tags_equal_their_defaults(spark):
+    df = spark.createDataFrame([(x,) for x in (None, "", "  ", "dev", " Development ", "prod", "unallocated", "Unknown", "None", "x")], "v string")
+    for name in c.TAGS:
+        assert df.where(c.is_absent(F.col("v"), name) != c.is_missing(c.defaulted(F.col("v"), name), name)).count() == 0
+
+
+def test_last_days_end_with_the_day_asked_for():
+    assert c.last_days("d", "2000-03-01", 2) == "d BETWEEN 20000229 AND 20000301"
