@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 
 from .common import fresh
 
-#: Results kept by each Python worker: chunks up to this length, and so many of them before it starts anew.
-CHUNK_CHARS, CHUNKS_KEPT = 48, 200_000
+#: Results kept by each Python worker: chunks up to this length, so many of them; the half that was not asked for of late goes.
+CHUNK_CHARS, CHUNKS_KEPT = 48, 500_000
 #: Rows of an Arrow batch worked on, and sent on, at once.
 ROWS = 256
 #: Separators of str.split() that Unicode does not count as white space.
@@ -65,6 +65,7 @@ class Codec:
         self.pieces = regex.compile(split.replace(r"\s", r"\p{White_Space}"))
         self.white = regex.compile(r"\p{White_Space}+")
         self.chunks: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def merged(self, word: str) -> list[int]:
         """The final ids of one piece."""
@@ -110,16 +111,20 @@ class Codec:
 
     def chunk(self, chunk: str) -> tuple[int, str, str]:
         """(tokens, ids joined by a space, strings joined by a space); a lower-case piece is a chunk of its own."""
+        if found := self.chunks.get(chunk) or self.older.get(chunk):
+            return self.keep(chunk, found)
         pieces = [chunk] if chunk.isascii() and chunk.isalpha() and chunk.islower() else self.pieces_of(chunk)
         if pieces == [chunk]:
             found = self.piece(chunk)
         else:
             parts = [self.chunks.get(p) or self.chunk(p) for p in pieces]
             found = sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
-        if len(chunk) <= CHUNK_CHARS:
-            if len(self.chunks) >= CHUNKS_KEPT:
-                self.chunks.clear()
-            self.chunks[chunk] = found
+        return self.keep(chunk, found) if len(chunk) <= CHUNK_CHARS else found
+
+    def keep(self, chunk: str, found: tuple[int, str, str]) -> tuple[int, str, str]:
+        if len(self.chunks) >= CHUNKS_KEPT // 2:
+            self.chunks, self.older = {}, self.chunks
+        self.chunks[chunk] = found
         return found
 
     def parts(self, text: str) -> Iterator[tuple[int, str, str]]:
