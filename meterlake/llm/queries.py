@@ -75,9 +75,50 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, clauses).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_audio": op2_audio, "op3_suffix_dedup": op3_suffix_dedup, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op6_lm_scoring": op6_lm_scoring, "op7_html": op7_html, "op8_pii": op8_pii, "op9_bpe": op9_bpe, "op10_quality_rules": op10_quality_rules}
-#: Mixing is the one operator here that SQL expresses; tests hold the others against brute force.
+# What SQL can say of three of the queries, with their operators' functions, for a check by SQL.
+
+
+def urls_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and longest rule of every url, as in op5_url_filter."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    host, path = url_filter.host_and_path(pages["url"])
+    return url_filter.with_rule(pages.withColumns({"host": host, "path": path}), RULES, "host", "path").select("page_id", "host", "path", "rule")
+
+
+def personal_data_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans by kind in every text, as in op8_pii."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = docs.select("doc_id", pii.base_spans(F.coalesce("text", F.lit(""))).alias("spans"))
+    count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("bigint")
+    return spans.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS])
+
+
+def text_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and the base rule of every text, as in op10_quality_rules."""
+    docs = quality_rules.statistics(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", *quality_rules.BASE, quality_rules.base_failed().alias("base_failed"))
+
+
+QUERIES = {"op1_mixing": op1_mixing, "op2_audio": op2_audio, "op3_suffix_dedup": op3_suffix_dedup, "op4_simhash": op4_simhash, "op5_url_filter": op5_url_filter, "op6_lm_scoring": op6_lm_scoring, "op7_html": op7_html, "op8_pii": op8_pii, "op9_bpe": op9_bpe, "op10_quality_rules": op10_quality_rules, "urls_by_rule": urls_by_rule, "personal_data_counts": personal_data_counts, "text_statistics": text_statistics}
+_FITS = "WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN '{h}{p}'"
+_SPACE, _NOT_SPACE = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+_DIGITS = "regexp_replace(x, '[^0-9]', '', 'g')"
+#: Mixing is the one operator here that SQL expresses whole; tests hold the others against brute force.
 ORACLES: dict[str, str] = {
+    "urls_by_rule": f"""WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+h AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u)
+SELECT page_id, host, path, CASE {" ".join(_FITS.format(h=h, p=p) for h, p in (("example.com", "/en/7"), ("example.net", "/de/8"), ("com", "/en/"), ("net", "/de/"), ("org", "/es/")))} END AS rule FROM h""",
+    "personal_data_counts": rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, len(regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'))::BIGINT AS n_email,
+ len(list_filter(regexp_extract_all(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), lambda x: list_max(list_transform(string_split(x, '.'), lambda p: coalesce(try_cast(p AS HUGEINT), 999))) <= 255))::BIGINT AS n_ip,
+ len(list_filter(regexp_extract_all(t, '[0-9]([ -]?[0-9])+'), lambda x: length({_DIGITS}) BETWEEN 16 AND 19 AND list_sum(list_transform(range(length({_DIGITS})), lambda i: CASE WHEN i % 2 = 0 THEN substr(reverse({_DIGITS}), i + 1, 1)::INTEGER
+  ELSE (2 * substr(reverse({_DIGITS}), i + 1, 1)::INTEGER) // 10 + (2 * substr(reverse({_DIGITS}), i + 1, 1)::INTEGER) % 10 END)) % 10 = 0))::BIGINT AS n_card,
+ len(list_filter(regexp_extract_all(t, '\+[0-9][ ().0-9-]+[0-9]'), lambda x: length({_DIGITS}) BETWEEN 8 AND 15))::BIGINT AS n_phone FROM d""",
+    "text_statistics": rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '{_SPACE}+'), lambda x: x <> '') AS words, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_NOT_SPACE}')) AS lines FROM d),
+win AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS s FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5)), rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest(range(5)) AS k) GROUP BY 1),
+b AS (SELECT w.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(t, '{_SPACE}', '', 'g'))::BIGINT AS word_chars, (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN cov ON w.doc_id = cov.doc_id)
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b""",
     "op1_mixing": """WITH s AS (SELECT source, count(*)::DOUBLE AS n FROM documents GROUP BY 1), t AS (SELECT sum(pow(n, 0.5)) AS w, sum(n) AS n FROM s),
 r AS (SELECT source, pow(s.n, 0.5) / t.w * t.n / s.n AS rate FROM s, t),
 c AS (SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf FROM (SELECT source, rate, unnest(range(ceil(rate + 12 * sqrt(rate) + 30)::BIGINT + 1)) AS k FROM r)),

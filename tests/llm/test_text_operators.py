@@ -765,3 +765,18 @@ def test_registered_queries_hold_their_contracts(spark, name):
             n = brute_statistics(text)
             failed = n[0] < 10 or 100 * n[4] > 20 * n[0]
             assert tuple(r)[1:7] == (*n, failed) and not (failed and r["kept"])
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    data = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{data}/{t}.parquet'")
+    found = con.execute(queries.ORACLES[name])
+    columns = [d[0] for d in found.description]
+    want = Counter(found.fetchall())
+    out = queries.QUERIES[name](spark, data)
+    assert sorted(out.columns) == sorted(columns) and counted(out, *columns) == want
