@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Frames built inside lose their shuffle files as soon as an action on them ends; a lost one is made anew.
+
+    For steps that end in checkpoints or results: otherwise all their shuffles stay on disk until the driver's JVM collects.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables that the session names, or a new one if its master is local."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

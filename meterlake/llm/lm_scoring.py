@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fresh
+from .common import checkpointed, fresh, tidy
 
 RADIUS, HIDDEN = 2, 16
 CLASSES = 64
@@ -404,7 +404,9 @@ def score(docs: DataFrame, model: Network, words: list[str], text: str = "text",
 
 def fit_and_score(docs: DataFrame, text: str = "text", keep_text: bool = True, rounds: int = ROUNDS) -> DataFrame:
     """docs scored by the network of their own corpus; every text is read twice, for counts and for ids."""
-    counted = checkpointed(counts(docs, text))
-    words, ns, whole = vocabulary(counted)
-    seen, names = encoded(docs, words, text, keep_text)
-    return score_encoded(seen, names, fit_encoded(seen, names, ns, whole, rounds), words, counted)
+    with tidy(docs.sparkSession):
+        counted = checkpointed(counts(docs, text))
+        words, ns, whole = vocabulary(counted)
+        seen, names = encoded(docs, words, text, keep_text)
+        model = fit_encoded(seen, names, ns, whole, rounds)
+    return score_encoded(seen, names, model, words, counted)
