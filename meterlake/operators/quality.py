@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,20 @@ def results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return out.select("rule", "severity", "checked", "failed", (F.col("checked") - F.col("failed")).alias("passed"), (F.col("failed") == 0).alias("ok"))
 
 
+def checked_write(df: DataFrame, rules: Sequence[Rule], path: str) -> DataFrame:
+    """Writes df with its reasons into path/is_good=true and path/is_good=false and returns results() of the rules.
+
+    The counts are observed while the rows are written: one job, one scan, whatever the number of rules. A task that is run again counts its
+    rows once.
+    """
+    seen = Observation()
+    counts = [F.count_if(r.failed).alias(f"f{k}") for k, r in enumerate(rules)]
+    quarantine(df.observe(seen, F.count(F.lit(1)).alias("checked"), *counts), rules).write.mode("overwrite").partitionBy("is_good").parquet(path)
+    got = seen.get
+    rows = [(r.name, r.severity, got["checked"], got[f"f{k}"], got["checked"] - got[f"f{k}"], got[f"f{k}"] == 0) for k, r in enumerate(rules)]
+    return df.sparkSession.createDataFrame(rows, "rule string, severity string, checked bigint, failed bigint, passed bigint, ok boolean")
+
+
 def score(rule_results: DataFrame) -> DataFrame:
     return rule_results.agg(
         F.count("*").alias("rules"), F.count_if("ok").alias("rules_passed"), F.round(F.count_if("ok") * 100.0 / F.count("*"), 2).cast("double").alias("success_rate"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import columns as c
 from meterlake.operators import temporal as t
+from meterlake.operators.sizes import small
 from meterlake.sources.model import Model, metadata, with_runtime
 
 FOREVER = "9999-12-31 00:00:00"
@@ -76,15 +77,6 @@ def priced(m: Model, how: str = "inner", *more: Column) -> DataFrame:
     return t.price_join(silver_usage(m, *more), small(m.prices()), how)
 
 
-#: A price list of so many rows, some 100 bytes each, is broadcast; the planner would judge it by the table it is made from.
-BROADCAST_ROWS = 200_000
-
-
-def small(df: DataFrame) -> DataFrame:
-    """df with the hint to broadcast it, once counted to be small enough."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def with_sku(facts: DataFrame, m: Model) -> DataFrame:
     """The version of the SKU dimension at the start of usage."""
     versions = dim_sku(m).select("sku_name", "usage_unit", "valid_from", "valid_to", F.col("valid_from").alias("sku_from"))

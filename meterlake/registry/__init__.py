@@ -1,6 +1,6 @@
 """Registered queries with their SQL oracles."""
 
-from . import core, views  # noqa: F401
+from . import core, stored, views  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

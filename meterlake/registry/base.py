@@ -12,6 +12,8 @@ from .model_sql import full
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The oracles as written, without the model's definitions.
+TEXTS: dict[str, str] = {}
 
 
 def query(sql: str | None, name: str | None = None):
@@ -26,7 +28,7 @@ def query(sql: str | None, name: str | None = None):
             raise ValueError(f"{key} is registered twice")
         QUERIES[key] = run
         if sql is not None:
-            ORACLES[key] = full(sql)
+            ORACLES[key], TEXTS[key] = full(sql), sql
         return make
 
     return register

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.functions import columns as c
+from meterlake.operators import asof
 from meterlake.operators import incremental as inc
 from meterlake.operators import merge as up
 from meterlake.operators import quality as dq
@@ -314,9 +315,9 @@ def join_interval_overlap(m: Model) -> DataFrame:
 
 @query("SELECT r.run_id, max(e.valid_from) AS version_from FROM m_runs r JOIN m_entity_scd e ON r.job_id = e.entity_id AND e.valid_from <= r.end_time GROUP BY 1")
 def join_dedupe_one_match(m: Model) -> DataFrame:
-    """All versions up to the end of a run match; the latest is kept by a map-combined aggregate."""
-    r, e = m.runs(), p.dim_entity(m)
-    return r.join(e, (r["job_id"] == e["entity_id"]) & (e["valid_from"] <= r["end_time"])).groupBy("run_id").agg(F.max("valid_from").alias("version_from"))
+    """The last version up to the end of a run, by one sort of runs and versions together: nothing fans out."""
+    r, e = m.runs(), p.dim_entity(m).select("entity_id", "valid_from", F.col("valid_from").alias("version_from"))
+    return asof.asof_merge(r, e, {"job_id": "entity_id"}, r["end_time"], ["version_from"]).where("version_from IS NOT NULL").select("run_id", "version_from")
 
 
 @query("SELECT record_id, entity_type, entity_id FROM m_fact WHERE entity_name IS NULL AND entity_id <> 'UNKNOWN'")
@@ -689,24 +690,6 @@ def partitioned_output(m: Model) -> DataFrame:
     return m.spark.read.parquet(at).where("month = 199806").select("workspace_id", F.col("date_key").alias("day"), "total_cost")
 
 
-@query("SELECT product, count(*) AS n_records, sum(cost)::DECIMAL(28,6) AS total_cost FROM m_priced WHERE usage_quantity > 0 GROUP BY 1")
-def declared_tables(m: Model) -> DataFrame:
-    """A pipeline of declared views, each a query over the ones before it; Spark plans the whole chain at once."""
-    return declare(m.spark, {
-        "declared_bronze": p.priced(m).select("record_id", "product", "usage_quantity", "cost"),
-        "declared_silver": "SELECT * FROM declared_bronze WHERE usage_quantity > 0",
-        "declared_gold": f"SELECT product, count(*) AS n_records, CAST(sum(cost) AS {c.TOTAL}) AS total_cost FROM declared_silver GROUP BY product",
-    })
-
-
-def declare(spark: SparkSession, views: dict[str, DataFrame | str]) -> DataFrame:
-    """Views by name, in order, each a DataFrame or a query over earlier names; the last one."""
-    for name, of in views.items():
-        last = spark.sql(of) if isinstance(of, str) else of
-        last.createOrReplaceTempView(name)
-    return last
-
-
 # Streams
 
 

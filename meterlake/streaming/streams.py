@@ -12,6 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.operators import folders
+from meterlake.operators.keyed_table import KeyedTable, newest
 from meterlake.operators.temporal import latest
 
 LATENESS = "2 days"
@@ -30,13 +32,7 @@ def written(spark: SparkSession, path: str, before: int | None = None) -> int |
 
     It is read from the store, so a new driver finds what an earlier one has written.
     """
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(where):
-        return None
-    names = [x.getPath().getName() for x in store.listStatus(where)]
-    whole = [int(n) for n in names if n.isdigit() and store.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
-    return max((n for n in whole if before is None or n < before), default=None)
+    return folders.last_whole(spark, path, before=before)
 
 
 def last_table(stream: DataFrame, path: str) -> DataFrame:
@@ -88,6 +84,38 @@ def upsert_now(stream: DataFrame, keys: list[str], order: list[str], at: str | N
     return last_table(stream, f"{at}/table")
 
 
+def upsert_into(stream: DataFrame, table: KeyedTable, at: str) -> DataFrame:
+    """The newest row a key, kept in a bucketed table: a micro-batch rewrites only the buckets that it has rows for.
+
+    Each micro-batch is a commit of the table's feed, of the batch's own number, so a replayed one changes nothing. The table lies where it was
+    made; ``at`` holds the stream's progress.
+    """
+
+    def take(batch: DataFrame, number: int) -> None:
+        table.upsert(newest(batch, table.keys, table.order), number)
+
+    query = stream.writeStream.foreachBatch(take).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return table.read()
+
+
+#: Prices hold for so long at most; older usage and prices leave the state.
+LONGEST_PRICE = "366 days"
+
+
+def priced_by_stream(usage: DataFrame, prices: DataFrame, keys: tuple[str, ...] = ("sku_name", "usage_unit"), lateness: str = LATENESS, longest: str = LONGEST_PRICE, how: str = "inner") -> DataFrame:
+    """A stream of usage joined with a stream of prices valid at its start; a price that comes late finds the usage that waits for it.
+
+    usage: keys, usage_start_time; prices: keys, price_start_time, price_end_time, price. Both have a watermark, and the join bounds how far usage
+    may lie after a price's start, so either side's rows leave the state once the other's watermark has passed them.
+    """
+    u, p = usage.withWatermark("usage_start_time", lateness).alias("u"), prices.withWatermark("price_start_time", lateness).alias("p")
+    on = F.expr(f"u.usage_start_time >= p.price_start_time AND u.usage_start_time <= p.price_start_time + INTERVAL {longest} AND u.usage_start_time < p.price_end_time")
+    for k in keys:
+        on = on & (F.col(f"u.{k}") == F.col(f"p.{k}"))
+    return u.join(p, on, {"inner": "inner", "left": "leftOuter"}[how]).select("u.*", "p.price")
+
+
 def deduplicated(stream: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
     return stream.withWatermark(ts, LATENESS).dropDuplicatesWithinWatermark(keys)
 
