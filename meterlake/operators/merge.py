@@ -71,6 +71,10 @@ def rewrite_partitions(target: DataFrame, increment: DataFrame, by: str) -> Data
     return target.join(increment.select(by).distinct(), by, "left_anti").unionByName(increment)
 
 
-def write_partitions(df: DataFrame, path: str, *by: str, sort: Sequence[str] = ()) -> None:
-    """Dynamic partition overwrite: only partitions present in df are replaced."""
-    df.repartition(*by).sortWithinPartitions(*by, *sort).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+def write_partitions(df: DataFrame, path: str, *by: str, sort: Sequence[str] = (), tasks: int | None = None) -> None:
+    """Dynamic partition overwrite: only partitions present in df are replaced, by one file each.
+
+    tasks: how many write side by side; by default as many as the rows' size asks for, few for many small partitions.
+    """
+    dealt = df.repartition(tasks, *by) if tasks else df.repartition(*by)
+    dealt.sortWithinPartitions(*by, *sort).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)

@@ -37,18 +37,21 @@ class Graph(GraphElementRegistry):
     def __init__(self, spark: SparkSession, storage: str) -> None:
         self.spark, self.database, self.events = spark, f"declared_{uuid.uuid4().hex}", Events()
         self.storage = storage if "://" in storage else f"file://{storage}"
-        self.jvm = spark._jvm
+        self.jvm, self.views = spark._jvm, set()
         self.engine = self.jvm.org.apache.spark.sql.pipelines.graph
         self.none, self.some, self.empty = self.jvm.scala.Option.empty(), self.jvm.scala.Option.apply, self.jvm.org.apache.spark.api.python.PythonUtils.toScalaMap({})
         spark.sql(f"CREATE DATABASE {self.database}")
         self.context = self.engine.GraphRegistrationContext("spark_catalog", self.database, self.empty)
 
     def _name(self, name: str):
-        return self.jvm.org.apache.spark.sql.catalyst.TableIdentifier(name, self.none, self.none)
+        """A table's name in the run's database; views have none."""
+        place = (self.none, self.none) if name in self.views else (self.some(self.database), self.some("spark_catalog"))
+        return self.jvm.org.apache.spark.sql.catalyst.TableIdentifier(name, *place)
 
     def register_output(self, output: Output) -> None:
         origin, comment = self.engine.QueryOrigin.empty(), self.some(output.comment)
         if isinstance(output, TemporaryView):
+            self.views.add(output.name)
             self.context.registerView(self.engine.TemporaryView(self._name(output.name), self.empty, self.none, comment, origin))
         elif isinstance(output, MaterializedView):
             properties = self.jvm.org.apache.spark.api.python.PythonUtils.toScalaMap(dict(output.table_properties))

@@ -679,15 +679,14 @@ def src_json_payload_files(m: Model) -> DataFrame:
     return x.select(F.when(good, F.col("cluster_id")).alias("cluster_id"), (~good).alias("is_malformed"), F.when(good, F.coalesce("autoscale.min_workers", F.lit(0))).alias("min_workers"), F.when(good, F.col("settings.name")).alias("name"))
 
 
-@query("SELECT workspace_id, usage_date // 1 AS day, total_cost FROM (SELECT workspace_id, date_key AS usage_date, sum(cost)::DECIMAL(28,6) AS total_cost FROM m_priced WHERE date_key // 100 IN (199805, 199806) GROUP BY 1, 2) WHERE usage_date // 100 = 199806")
+@query("SELECT workspace_id, date_key AS day, sum(cost)::DECIMAL(28,6) AS total_cost FROM m_priced GROUP BY 1, 2")
 def partitioned_output(m: Model) -> DataFrame:
-    """Daily costs written in a folder a month, one month written twice, and one month read back by its partition alone."""
+    """Daily costs written in a folder a month, one month written again, which replaces its own folder alone."""
     at = f"{st.folder(m.spark)}/costs"
-    month = F.expr("date_key div 100")
-    daily = p.priced(m).where(month.isin(199805, 199806)).groupBy("workspace_id", "date_key").agg(c.total(F.col("cost")).alias("total_cost")).withColumn("month", month.cast("int"))
+    daily = p.priced(m).groupBy("workspace_id", "date_key").agg(c.total(F.col("cost")).alias("total_cost")).withColumn("month", F.expr("date_key div 100").cast("int"))
     up.write_partitions(daily, at, "month", sort=["workspace_id"])
     up.write_partitions(daily.where("month = 199806"), at, "month", sort=["workspace_id"])
-    return m.spark.read.parquet(at).where("month = 199806").select("workspace_id", F.col("date_key").alias("day"), "total_cost")
+    return m.spark.read.parquet(at).select("workspace_id", F.col("date_key").alias("day"), "total_cost")
 
 
 # Streams

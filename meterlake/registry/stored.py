@@ -251,7 +251,7 @@ def files_schema_conflicts(m: Model) -> DataFrame:
 def fact_pruned_by_date(m: Model) -> DataFrame:
     """The fact in a folder a day; a filter on the stored date dimension prunes the folders at run time."""
     at = st.folder(m.spark)
-    up.write_partitions(p.priced(m).select("record_id", "workspace_id", "entity_id", "usage_quantity", "cost", "date_key"), f"{at}/fact", "date_key", sort=["workspace_id"])
+    up.write_partitions(p.priced(m).select("record_id", "workspace_id", "entity_id", "usage_quantity", "cost", "date_key"), f"{at}/fact", "date_key", sort=["workspace_id"], tasks=4 * m.spark.sparkContext.defaultParallelism)
     p.dim_date(m).coalesce(1).write.parquet(f"{at}/dates")
     dates = m.spark.read.parquet(f"{at}/dates").where("is_month_end AND year = 1998").select("date_key")
     return m.spark.read.parquet(f"{at}/fact").join(dates, "date_key").groupBy("date_key").agg(F.count("*").alias("n_records"), c.total(F.col("cost")).alias("total_cost"))
