@@ -80,9 +80,15 @@ def asof_join(facts: DataFrame, versions: DataFrame, keys: dict[str, str], at: C
     return facts.join(v, on, how).drop("_from", "_to", *[f"_k_{c}" for c in keys.values()])
 
 
-def price_join(usage: DataFrame, prices: DataFrame, how: str = "inner") -> DataFrame:
-    """usage with price, has_price and cost; how "left" keeps usage without a price at cost 0."""
-    out = asof_join(usage, prices, {"sku_name": "sku_name", "usage_unit": "usage_unit"}, usage["usage_start_time"], ["price"], how, F.col("price_start_time"), F.col("price_end_time"))
+PRICE_KEYS = ("sku_name", "usage_unit")
+
+
+def price_join(usage: DataFrame, prices: DataFrame, how: str = "inner", keys: Sequence[str] = PRICE_KEYS, keep: Sequence[str] = ()) -> DataFrame:
+    """usage with price, has_price and cost; how "left" keeps usage without a price at cost 0.
+
+    keys: columns that both have, more than the usual two where accounts have prices of their own; keep: further columns of the price.
+    """
+    out = asof_join(usage, prices, {k: k for k in keys}, usage["usage_start_time"], ["price", *keep], how, F.col("price_start_time"), F.col("price_end_time"))
     cost = F.coalesce((F.col("usage_quantity") * F.col("price")).cast(TOTAL), F.lit(0).cast(TOTAL))
     return out.withColumns({"has_price": F.col("price").isNotNull(), "cost": cost})
 

@@ -73,14 +73,16 @@ def dim_date(m: Model) -> DataFrame:
     )
 
 
-def priced(m: Model, how: str = "inner", *more: Column) -> DataFrame:
-    return t.price_join(silver_usage(m, *more), small(m.prices()), how)
+def priced(m: Model, how: str = "inner", *more: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Usage with the price of its start; keep: further columns of the price list, as sku_from."""
+    return t.price_join(silver_usage(m, *more), price_list(m), how, keep=keep)
 
 
-def with_sku(facts: DataFrame, m: Model) -> DataFrame:
-    """The version of the SKU dimension at the start of usage."""
-    versions = dim_sku(m).select("sku_name", "usage_unit", "valid_from", "valid_to", F.col("valid_from").alias("sku_from"))
-    return t.asof_join(facts, small(versions), {"sku_name": "sku_name", "usage_unit": "usage_unit"}, facts["usage_start_time"], ["sku_from"])
+def price_list(m: Model) -> DataFrame:
+    """The price list, counted once a model, as it is broadcast where it is small."""
+    if m.price_list is None:
+        m.price_list = small(m.prices().withColumn("sku_from", F.col("price_start_time")))
+    return m.price_list
 
 
 def with_entity_of_day(facts: DataFrame, m: Model, day: str = "date_key") -> DataFrame:
@@ -113,9 +115,8 @@ def usage_fact(m: Model, *need: str) -> DataFrame:
     can't leave such a join out by itself, as it can't know that one version matches at most: intervals of a key never overlap.
     """
     asked = lambda columns: not need or not set(need).isdisjoint(columns)
-    facts = priced(m)
-    if asked(["sku_from"]):
-        facts = with_sku(facts, m)
+    # The SKU's version is the price's: both are valid at the start of usage.
+    facts = priced(m, keep=("sku_from",) if asked(["sku_from"]) else ())
     if asked(ENTITY_COLUMNS):
         facts = with_entity(facts, m)
     if asked(CLUSTER_COLUMNS):

@@ -222,8 +222,8 @@ def dash_kpis(m: Model) -> DataFrame:
 @query("SELECT sum(cost)::DECIMAL(28,6) AS total_cost, count(*) AS n_records FROM m_priced WHERE date_key BETWEEN 19970101 AND 19981231 AND ('7' = '<ALL>' OR workspace_id = '7')")
 def dash_param_kpis(m: Model) -> DataFrame:
     """Named parameters, with <ALL> as the sentinel for every workspace."""
-    p.priced(m).createOrReplaceTempView("priced_usage_for_kpis")
-    return m.spark.sql("SELECT CAST(sum(cost) AS DECIMAL(28,6)) AS total_cost, count(*) AS n_records FROM priced_usage_for_kpis WHERE date_key BETWEEN :first AND :last AND (:workspace = '<ALL>' OR workspace_id = :workspace)", args={"first": 19970101, "last": 19981231, "workspace": "7"})
+    sql = "SELECT CAST(sum(cost) AS DECIMAL(28,6)) AS total_cost, count(*) AS n_records FROM {usage} WHERE date_key BETWEEN :first AND :last AND (:workspace = '<ALL>' OR workspace_id = :workspace)"
+    return m.spark.sql(sql, args={"first": 19970101, "last": 19981231, "workspace": "7"}, usage=p.priced(m))
 
 
 @query(f"WITH k AS (SELECT sum(cost)::DOUBLE AS cost, sum(usage_quantity)::DOUBLE AS quantity, count(*)::DOUBLE AS records FROM m_priced WHERE {RECENT_SQL}) SELECT 'total_cost' AS metric, cost AS value, 'USD' AS unit FROM k UNION ALL SELECT 'total_quantity', quantity, 'units' FROM k UNION ALL SELECT 'records', records, 'rows' FROM k")

@@ -17,6 +17,8 @@ class Model:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        #: The price list once it is known whether it can be broadcast.
+        self.price_list: DataFrame | None = None
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

@@ -40,6 +40,20 @@ def test_price_join_is_half_open_and_keeps_unpriced_usage_on_demand(spark):
     assert rows(t.price_join(usage, prices, "left").select("n", "has_price", F.col("cost").cast("int"))) == [(1, False, 0), (2, True, 10), (3, True, 15), (4, False, 0)]
 
 
+def test_accounts_have_prices_of_their_own(spark):
+    usage = spark.createDataFrame([(1, "x", "s", "u", D(2024, 1, 1), Decimal(10)), (2, "y", "s", "u", D(2024, 1, 1), Decimal(10)), (3, "z", "s", "u", D(2024, 1, 1), Decimal(10))], "n int, account_id string, sku_name string, usage_unit string, usage_start_time timestamp_ntz, usage_quantity decimal(18,6)")
+    prices = spark.createDataFrame([("x", "s", "u", D(2024, 1, 1), None, Decimal(1)), ("y", "s", "u", D(2024, 1, 1), None, Decimal(2))], "account_id string, sku_name string, usage_unit string, price_start_time timestamp_ntz, price_end_time timestamp_ntz, price decimal(18,6)")
+    out = t.price_join(usage, prices, "left", (*t.PRICE_KEYS, "account_id"), ["price_start_time"])
+    assert rows(out.select("n", F.col("cost").cast("int"), "price_start_time")) == [(1, 10, D(2024, 1, 1)), (2, 20, D(2024, 1, 1)), (3, 0, None)]
+
+
+def test_the_priced_fact_joins_the_price_list_once(spark):
+    from meterlake import registry
+
+    plan = registry.QUERIES["fact_usage_priced"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("max(p_retailprice") == 1
+
+
 def log(spark, changes):
     return spark.createDataFrame([(k, v, D(2024, 1, 1) + dt.timedelta(days=d)) for k, v, d in changes], "k string, v string, change_time timestamp_ntz")
 
