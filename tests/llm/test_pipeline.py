@@ -7,7 +7,7 @@ import math
 
 import pytest
 
-from test_text_operators import brute_components, brute_fingerprint, brute_spans, brute_statistics
+from test_text_operators import brute_similar, brute_spans, brute_statistics
 
 import corpus_pipeline
 from meterlake.llm.queries import tokenizer_path
@@ -30,9 +30,8 @@ def test_stages_keep_columns_and_their_decisions_hold(spark):
     passed = {r["doc_id"] for r in kept}
     base = {r["doc_id"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect() if (s := brute_statistics(r["text"]))[0] >= 10 and 100 * s[4] <= 20 * s[0]}
     assert len(good & base - passed) <= 0.02 * len(good)
-    prints = [(r["doc_id"], brute_fingerprint(r["text"])) for r in kept]
     single = rows["near-duplicates"]
-    assert sorted(r["doc_id"] for r in single) == sorted(set(brute_components(prints).values()))
+    assert sorted(r["doc_id"] for r in single) == sorted(set(brute_similar([(r["doc_id"], r["text"]) for r in kept]).values()))
     text = {r["doc_id"]: r["text"] for r in single}
     clean = rows["personal data"]
     assert len(clean) == len(single) and all(not brute_spans(r["text"]) for r in clean)

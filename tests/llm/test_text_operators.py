@@ -294,6 +294,68 @@ def test_one_of_each_group_stays_whole(docs):
     assert kept.columns == docs.columns and len(got) == len(set(want.values())) and all(i == c for i, c in got)
 
 
+def brute_similar(rows, similarity=0.8):
+    """rows: (id, text) -> smallest id of each text's group, linked at this similarity of 5-word shingles."""
+    def shingles(text):
+        words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "").encode().split()
+        return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    texts = sorted({t or "" for _, t in rows})
+    sets, root = {t: shingles(t) for t in texts}, {t: t for t in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(texts):
+        for b in texts[:i]:
+            x, y = sets[a], sets[b]
+            if min(len(x), len(y)) >= similarity * max(len(x), len(y)) and len(x & y) >= similarity * len(x | y):
+                root[find(b)] = find(a)
+    best = {}
+    for i, t in rows:
+        if i is not None:
+            best[find(t or "")] = min(i, best.get(find(t or ""), i))
+    return {t: best.get(find(t)) for t in texts}
+
+
+def edited(words, rng, n):
+    words = list(words)
+    for k in rng.sample(range(len(words)), n):
+        words[k] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("longest", [3, 48])
+def test_similar_texts_are_grouped_at_five_words_and_four_fifths(spark, monkeypatch, longest):
+    """Families of edited copies, some in long postings, beside texts that share only a passage; edge cases of all texts."""
+    monkeypatch.setattr(simhash, "MAX_POSTING", longest)
+    own, rows = random.Random(6), []
+    words = [f"w{k}" for k in range(900)]
+    for family in range(12):
+        base = [own.choice(words) for _ in range(own.choice([60, 150, 400]))]
+        for copy in range(own.choice([2, 3, 9])):
+            rows.append((len(rows), edited(base, own, own.randrange(0, max(2, len(base) // 30)))))
+        rows.append((len(rows), " ".join(base[:40]) + " " + " ".join(own.choice(words) for _ in range(120))))
+    rows += [(len(rows) + k, t) for k, t in enumerate([None, "", " \n", "a", "A", "one two", "one  TWO", "one two three four", rows[3][1], rows[3][1].upper()])]
+    rows += [(None, rows[5][1]), (None, "nobody else")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    want = brute_similar(rows)
+    got = simhash.similar(df)
+    assert counted(got, "_id", "component_id") == Counter((i, want[t or ""]) for i, t in rows)
+    kept = collected(simhash.keep_one(df, groups_of=simhash.similar), "doc_id", "text")
+    assert sorted(str(i) for i, _ in kept) == sorted(str(c) for c in {want[t or ""] for _, t in rows})
+    assert simhash.similar(df.limit(0)).count() == 0
+
+
+def test_similar_documents_of_a_given_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    want = brute_similar(rows)
+    got = dict(collected(simhash.similar(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")), "_id", "component_id"))
+    assert got == {i: want[t or ""] for i, t in rows}
+
+
 # Urls
 
 
