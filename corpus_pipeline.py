@@ -36,8 +36,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of linked fingerprints: the smallest doc_id."""
-    return simhash.keep_one(docs)
+    """Keeps one document of each group of texts with a similarity of 0.8 or more of their five-word shingles: the smallest doc_id."""
+    return simhash.keep_one(docs, groups_of=simhash.similar)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
