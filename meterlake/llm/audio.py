@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import fresh
+from .common import any_names, fresh
 
 PAD_BYTE, PAD_TO = 255, 576
 RATE, UP, DOWN = 16_000, 3, 4
@@ -188,6 +188,7 @@ def _mapped(df: DataFrame, source: str, outputs: list[tuple[str, str, pa.DataTyp
     return df.select(*kept, df[source].alias(fresh(df, "_source_value")[0])).mapInArrow(run, schema)
 
 
+@any_names
 def store(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
     """docs with n_bytes (of the text, unpadded) and media, the WAV file."""
 
@@ -197,6 +198,7 @@ def store(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFr
     return _mapped(docs, text, [("n_bytes", "bigint", pa.int64()), ("media", "binary", pa.binary())], make, pa.string(), not keep_text)
 
 
+@any_names
 def analyse(media: DataFrame, column: str = "media", keep_media: bool = True) -> DataFrame:
     """Rows with payload_bytes, payload_sha256, tail_crc32 (of the samples read back), media_bytes, media_sha256 and
     features: an Arrow stream of fixed-shape tensors with their time spans (see tensors_from)."""

@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import fresh
+from .common import any_names, fresh
 
 #: Results kept by each Python worker: chunks up to this length, so many of them; the half that was not asked for of late goes.
 CHUNK_CHARS, CHUNKS_KEPT = 48, 500_000
@@ -184,16 +184,19 @@ def _mapped(docs: DataFrame, text: str, path: str, outputs: list[tuple[str, str]
     return docs.select(*kept, docs[text].cast("string").alias(fresh(docs, "_text_to_encode")[0])).mapInArrow(run, schema)
 
 
+@any_names
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """docs with token_ids."""
     return _mapped(docs, text, path, [("token_ids", "array<int>")], lambda codec, t: (codec.encode(t),))
 
 
+@any_names
 def summaries(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """docs without its text but with n_tokens, ids_sha256 and decoded_sha256 of the encoded and decoded text."""
     return _mapped(docs, text, path, [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")], lambda codec, t: codec.summary(t), keep_text=False)
 
 
+@any_names
 def tokenised(docs: DataFrame, path: str, text: str = "text", decoded: str = "text") -> DataFrame:
     """docs with token_ids and n_tokens, and with the text that the tokens decode to, what a model sees of it, as ``decoded``."""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,25 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def any_names(operator):
+    """An operator on a DataFrame that takes columns of any name: those with dots or backticks have plain names while it runs."""
+
+    @wraps(operator)
+    def run(*args, **named):
+        at = next(k for k, x in enumerate(args) if isinstance(x, DataFrame))
+        df = args[at]
+        odd = [c for c in df.columns if "." in c or "`" in c]
+        if not odd:
+            return operator(*args, **named)
+        plain = dict(zip(odd, fresh(df, *[f"_named_{k}" for k in range(len(odd))])))
+        call = lambda x: plain.get(x, x) if isinstance(x, str) else x
+        args = [df.toDF(*[plain.get(c, c) for c in df.columns]) if k == at else call(x) for k, x in enumerate(args)]
+        out, back = operator(*args, **{k: call(x) for k, x in named.items()}), {p: c for c, p in plain.items()}
+        return out.toDF(*[back.get(c, c) for c in out.columns])
+
+    return run
+
+
 def text_of(df: DataFrame, name: str) -> Column:
     """A text column with nulls read as empty."""
     return F.coalesce(df[name], F.lit(""))

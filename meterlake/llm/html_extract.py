@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fresh, lower_ascii
+from .common import any_names, checkpointed, fresh, lower_ascii
 
 #: Text that so many different pages of a host, and such a share of them, repeat word for word at one place of its wrapper
 #: belongs to the template.
@@ -538,6 +538,7 @@ def template_texts(rows: DataFrame) -> DataFrame:
     return often.groupBy("host").agg(F.sort_array(F.collect_list("key")).alias("templates"))
 
 
+@any_names
 def main_text(pages: DataFrame, url: str = "url", page: str = "html", text: str = "text", keep_page: bool = False, found: DataFrame | None = None) -> DataFrame:
     """pages with text (by default in place of the page); found: wrappers() of these or other pages of the hosts."""
     found = wrappers(pages, url, page) if found is None else found

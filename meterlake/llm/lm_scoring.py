@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fresh, tidy
+from .common import any_names, checkpointed, fresh, tidy
 
 RADIUS, HIDDEN = 2, 16
 CLASSES = 64
@@ -396,12 +396,14 @@ def score_encoded(seen: DataFrame, names: dict[str, str], model: Network, words:
     return joined.select(*kept, "n_tokens", value.alias("log_prob"), F.when(F.col("n_tokens") > 0, value / F.col("n_tokens")).alias("mean_log_prob"))
 
 
+@any_names
 def score(docs: DataFrame, model: Network, words: list[str], text: str = "text", keep_text: bool = True, counted: DataFrame | None = None) -> DataFrame:
     """docs with n_tokens, log_prob (summed over the tokens) and mean_log_prob. counted: counts() of the corpus, by default of docs."""
     counted = checkpointed(counts(docs, text)) if counted is None else counted
     return score_encoded(*encoded(docs, words, text, keep_text), model, words, counted)
 
 
+@any_names
 def fit_and_score(docs: DataFrame, text: str = "text", keep_text: bool = True, rounds: int = ROUNDS) -> DataFrame:
     """docs scored by the network of their own corpus; every text is read twice, for counts and for ids."""
     with tidy(docs.sparkSession):

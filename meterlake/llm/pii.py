@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, checkpointed, chunked, fresh, let, lower_ascii, piece, scanned, text_of
+from .common import any_names, SPACE, checkpointed, chunked, fresh, let, lower_ascii, piece, scanned, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns. Possessive repeats and the guard at the start only spare the matcher hopeless starts and
@@ -190,6 +190,7 @@ def discovered(instances: DataFrame, rounds: int = 3, min_score: float = 0.8, mi
     return hits.groupBy("_key").agg(F.sort_array(F.collect_list("span")).cast(SPAN).alias("found"))
 
 
+@any_names
 def annotate(docs: DataFrame, text: str = "text", base: str = "base_spans", found_as: str = "found_spans", **bootstrap) -> DataFrame:
     """docs with base and found spans (arrays of kind, start, end) in two columns; columns of their names are replaced."""
     docs = docs.drop(base, found_as)
@@ -203,6 +204,7 @@ def annotate(docs: DataFrame, text: str = "text", base: str = "base_spans", foun
     return joined.drop(own, other).withColumn(found_as, F.coalesce(found_as, F.array().cast(SPAN)))
 
 
+@any_names
 def redact(docs: DataFrame, text: str = "text", **bootstrap) -> DataFrame:
     """docs with each base or found span of text replaced by ``[KIND]``; texts without spans, null too, stay as they are.
 

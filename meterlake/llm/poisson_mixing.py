@@ -18,12 +18,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, unit_uniform
+from .common import any_names, checkpointed, fresh, let, unit_uniform
 
 #: Sources up to this many go out as a broadcast table of about 50 bytes and one list a source; more are joined by shuffle.
 BROADCAST_SOURCES = 2_000
 #: Upper ends of the distribution: mean + 12 deviations + 30 leaves out less than 2**-53, one step of the uniform numbers.
 DEVIATIONS, EXTRA = 12, 30
+#: Numbers in a block of running sums.
+BLOCK = 64
 
 
 def rates(docs: DataFrame, source: str, weights: Mapping[str | None, float] | None = None, alpha: float = 0.5, default_weight: float = 1.0, budget: float | None = None) -> DataFrame:
@@ -44,17 +46,31 @@ def rates(docs: DataFrame, source: str, weights: Mapping[str | None, float] | No
     return sizes.join(F.broadcast(whole), F.lit(True)).select("_source", "_rows", "_weight", F.coalesce(F.col("_weight") / F.col("_all_weight") * wanted / F.col("_rows"), F.lit(0.0)).alias("_rate"))
 
 
-def cumulative(rate: Column) -> Column:
-    """P(count <= k) for k = 0, 1, ... as a list, summed in logarithms so that no large mean underflows."""
-    top = F.ceil(rate + DEVIATIONS * F.sqrt(rate) + EXTRA).cast("int")
-    start = F.struct((-rate).alias("log_p"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("list"))
+def running(values: Column, levels: int = 3) -> Column:
+    """The sums of a list of numbers up to each of them.
+
+    Spark's aggregate() grows a list by copying it, so it runs over short blocks, then over their sums in the same way: the cost stays in
+    proportion to the list's length. values is a column or a lambda's variable, not an expression.
+    """
+    start = F.struct(F.lit(0.0).alias("now"), F.array().cast("array<double>").alias("list"))
+    grow = lambda a, x: F.struct((a["now"] + x).alias("now"), F.concat(a["list"], F.array(a["now"] + x)).alias("list"))
+    if levels == 1:
+        return F.aggregate(values, start, grow, lambda a: a["list"])
+    blocks = F.transform(F.sequence(F.lit(1), F.size(values), F.lit(BLOCK)), lambda k: F.aggregate(F.slice(values, k, F.lit(BLOCK)), start, grow))
 
-    def step(acc: Column, k: Column) -> Column:
-        log_p = acc["log_p"] + F.log(rate) - F.log(k.cast("double"))
-        total = acc["sum"] + F.exp(log_p)
-        return F.struct(log_p.alias("log_p"), total.alias("sum"), F.concat(acc["list"], F.array(total)).alias("list"))
+    def joined(of: Column) -> Column:
+        upto = let(F.transform(of, lambda b: b["now"]), lambda sums: running(sums, levels - 1))
+        return F.flatten(F.zip_with(of, upto, lambda b, s: F.transform(b["list"], lambda y: s - b["now"] + y)))
 
-    return F.when(rate <= 0, F.array(F.lit(1.0))).otherwise(F.aggregate(F.sequence(F.lit(1), top), start, step, lambda acc: acc["list"]))
+    return let(blocks, joined)
+
+
+def cumulative(rate: Column) -> Column:
+    """P(count <= k) for k = 0, 1, ... as a list, from logarithms, so that no large mean underflows."""
+    top = F.ceil(rate + DEVIATIONS * F.sqrt(rate) + EXTRA).cast("int")
+    logs = F.transform(F.sequence(F.lit(0), top), lambda k: F.log(F.greatest(k, F.lit(1)).cast("double")))
+    terms = lambda sums: F.transform(sums, lambda s, k: F.exp(k * F.log(rate) - rate - s))
+    return F.when(rate <= 0, F.array(F.lit(1.0))).otherwise(let(let(let(logs, lambda x: running(x)), terms), lambda x: running(x)))
 
 
 def count_at(uniform: Column, cdf: Column) -> Column:
@@ -62,6 +78,7 @@ def count_at(uniform: Column, cdf: Column) -> Column:
     return F.size(F.filter(cdf, lambda p: p <= uniform))
 
 
+@any_names
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", seed: int = 42, shuffle: bool = True, **target) -> DataFrame:
     """Each row of docs as often as its draw says, with ``copy`` from 1, in a globally shuffled order.
 
@@ -70,9 +87,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", seed: i
     """
     docs = docs.drop("copy")
     name, cdf, count = fresh(docs, "_mixed_source", "_cdf", "_times")
-    by_source = rates(docs, source, **target).select(F.col("_source").alias(name), cumulative(F.col("_rate")).alias(cdf))
-    n_sources = docs.select(source).distinct().limit(BROADCAST_SOURCES + 1).count()
-    small = F.broadcast(by_source) if n_sources <= BROADCAST_SOURCES else by_source
+    # Cut here, the documents are read twice: for the counts, and for the draws.
+    known = checkpointed(rates(docs, source, **target))
+    by_source = known.select(F.col("_source").alias(name), cumulative(F.col("_rate")).alias(cdf))
+    small = F.broadcast(by_source) if known.count() <= BROADCAST_SOURCES else by_source
     drawn = docs.join(small, docs[source].eqNullSafe(F.col(name)))
     times = drawn.withColumn(count, count_at(unit_uniform(docs[doc_id], seed=seed), F.col(cdf))).where(F.col(count) > 0)
     copies = times.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(count)))).select(*[docs[c] for c in docs.columns], F.col("copy"))

@@ -19,7 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, SPACE_CHARS, UPPER, checkpointed, fresh, let, text_of
+from .common import any_names, LOWER, SPACE, SPACE_CHARS, UPPER, checkpointed, fresh, let, text_of
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -205,6 +205,7 @@ def learn_from(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     return learn(statistics(checkpointed(known), "text"), "_quality", "doc_id")
 
 
+@any_names
 def judge(docs: DataFrame, clauses: list[Clause], text: str = "text") -> DataFrame:
     """docs with the statistics, base_failed, clause (number of the clause that fired, 0: none) and kept."""
     out = statistics(docs.drop("base_failed", "clause", "kept"), text)

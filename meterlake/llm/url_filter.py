@@ -21,7 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fresh, let, lower_ascii
+from .common import any_names, checkpointed, fresh, let, lower_ascii
 
 
 class Rule(NamedTuple):
@@ -135,6 +135,7 @@ def fit(labelled: DataFrame, url: str, label: str, host: str, path: str, max_lab
     return UrlModel(trees.fit(checkpointed(vectors)), suffixes, prior)
 
 
+@any_names
 def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url", threshold: float = 0.5, model: UrlModel | None = None, **fitting) -> DataFrame:
     """pages with host, path, rule, verdict (allow or block) and block_probability.
 

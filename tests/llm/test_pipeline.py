@@ -63,10 +63,10 @@ def test_stages_keep_columns_and_their_decisions_hold(spark):
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stages_take_nulls_repeats_extra_columns_and_nothing(spark, name):
     stage = dict(corpus_pipeline.STAGES)[name]
-    clashes = ["n_words", "kept", "copy", "_times", "_key", "found_spans", "_row_id", "row", "_words"]
+    clashes = ["n_words", "kept", "copy", "_times", "_key", "found_spans", "_row_id", "row", "_words", "a.b", "back`tick"]
     words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
     rows = [(k, t, "en", s, 1, *[f"{c} {k}" for c in clashes]) for k, (t, s) in enumerate([(None, "a"), ("", None), (words, "b"), (words + " nu", "a"), ("mail a@b.org " + words, None), (words * 3_000, "b")], 1_000_000)]
-    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in clashes)
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c.replace('`', '``')}` string" for c in clashes)
     df = spark.createDataFrame(rows + rows[2:3], schema)
     out = stage(spark, df, DATA)
     assert out.columns[: len(df.columns)] == df.columns

@@ -76,6 +76,15 @@ def test_mixing_reaches_the_target_rates_and_survives_large_ones(spark):
     assert poisson_mixing.mix(many.limit(0)).count() == 0
 
 
+def test_mixing_takes_time_in_proportion_to_the_rate(spark):
+    """One row at a mean of a million copies; the distribution's list has as many entries."""
+    import time
+
+    begin = time.perf_counter()
+    n = poisson_mixing.mix(spark.createDataFrame([(1, "a")], "doc_id bigint, source string"), budget=1_000_000, shuffle=False).count()
+    assert abs(n - 1_000_000) < 6_000 and time.perf_counter() - begin < 20
+
+
 # Audio
 
 
@@ -746,7 +755,7 @@ def test_decision_list_covers_the_bad_and_spares_the_good(spark):
 # All operators: clashing columns, nulls, empty tables
 
 
-CLASHES = ["_cdf", "_times", "_source", "_mixed_source", "found", "_tokens", "_key", "_found_key", "_wrapper", "_templates", "_host", "_depth", "_suffix", "_features", "_probability", "rule_verdict", "_words", "_lines", "_upper", "_row", "_ids", "_rare", "_sum", "_own", "_text", "_row_id", "_nth", "row", "_source_value", "_text_to_encode", "base_spans", "word", "h"]
+CLASHES = ["_cdf", "_times", "_source", "_mixed_source", "found", "_tokens", "_key", "_found_key", "_wrapper", "_templates", "_host", "_depth", "_suffix", "_features", "_probability", "rule_verdict", "_words", "_lines", "_upper", "_row", "_ids", "_rare", "_sum", "_own", "_text", "_row_id", "_nth", "row", "_source_value", "_text_to_encode", "base_spans", "word", "h", "a.b", "back`tick", "_named_0"]
 OPERATORS = {
     "mixing": lambda df: poisson_mixing.mix(df),
     "audio": lambda df: audio.analyse(audio.store(df)),
@@ -765,7 +774,7 @@ def test_extra_columns_of_any_name_keep_their_values(spark, name):
     texts = [None, "", SENTENCE, SENTENCE, "mail a@b.org now", "one two three four five six seven eight nine ten eleven"]
     urls = ["http://x.com/en/1", "http://example.net/de/3", None, "http://x.org/a", "http://y.net/de/1", "http://y.net/de/1"]
     rows = [(k, t, "s" + str(k % 2), u, f"<p>{t}</p>" if t else t, *[f"{c} {k}" for c in CLASHES]) for k, (t, u) in enumerate(zip(texts, urls))]
-    schema = "doc_id bigint, text string, source string, url string, html string, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    schema = "doc_id bigint, text string, source string, url string, html string, " + ", ".join(f"`{c.replace('`', '``')}` string" for c in CLASHES)
     df = spark.createDataFrame(rows + rows[4:5], schema)
     out = OPERATORS[name](df)
     kept = [c for c in CLASHES if c in out.columns]
