@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import bpe, pii, poisson_mixing, quality_rules, simhash
-from meterlake.llm.common import shared_folder, table
+from meterlake.llm.common import any_names, shared_folder, table
 from meterlake.llm.queries import tokenizer_path
 
 
@@ -28,6 +28,7 @@ def whole(docs: DataFrame) -> Column:
     return F.struct(*[docs[c] for c in docs.columns]).alias("row")
 
 
+@any_names
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the base rule or a clause of the learned decision list rejects."""
     clauses = quality_rules.learn_from(docs, table(spark, sf_dir, "labels"))
@@ -35,22 +36,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.judge(rows, clauses).where("kept").select("row.*")
 
 
+@any_names
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of texts with a similarity of 0.8 or more of their five-word shingles: the smallest doc_id."""
     return simhash.keep_one(docs, groups_of=simhash.similar)
 
 
+@any_names
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by its kind; n_chars follows the new text."""
     masked = pii.redact(docs)
     return masked.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
+@any_names
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents to the target weights of their sources and shuffles them globally."""
     return poisson_mixing.mix(docs.select(whole(docs), "doc_id", "source")).select("row.*")
 
 
+@any_names
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds token_ids, n_tokens and decoded, the text that the tokens decode to."""
     return bpe.tokenised(docs, tokenizer_path(), decoded="decoded")
