@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +30,45 @@ def checkpointed(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if (made := _SCRATCH.get()) is not None:
+        made.append(out)
+    return out
+
+
+_SCRATCH: ContextVar[list[DataFrame] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Checkpoints made inside are deleted at the end, but for those that the yielded function is given.
+
+    What is kept, or computed inside, must not read the others any more: it is a checkpoint itself, or values on the driver.
+    """
+    made, kept = [], []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    before = _SCRATCH.set(made)
+    try:
+        yield keep
+    finally:
+        _SCRATCH.reset(before)
+        for df in made:
+            if all(df is not k for k in kept):
+                forget(df)
+        if (outer := _SCRATCH.get()) is not None:
+            outer.extend(kept)
+
+
+def forget(df: DataFrame) -> None:
+    """Deletes the files of a checkpoint that nothing reads any more."""
+    spark, files = df.sparkSession, df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if files.isDefined():
+        where = spark._jvm.org.apache.hadoop.fs.Path(files.get())
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 @contextmanager

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import any_names, checkpointed, fresh, tidy
+from .common import any_names, checkpointed, forget, fresh, scratch, tidy
 
 RADIUS, HIDDEN = 2, 16
 CLASSES = 64
@@ -330,7 +330,8 @@ def train(dealt: DataFrame, model: Network, round_no: int) -> Network:
     copies = checkpointed(dealt.select("line", "times", "shard").mapInArrow(run, schema))
     while (n := copies.count() // PARTS) > 1:
         salt = F.pmod(F.col("shard"), F.lit(-(-n // FAN_IN)))
-        copies = checkpointed(copies.groupBy("part", salt.alias("salt")).applyInArrow(average, schema))
+        last, copies = copies, checkpointed(copies.groupBy("part", salt.alias("salt")).applyInArrow(average, schema))
+        forget(last)
     parts = {r["part"]: np.frombuffer(bytes(r["weights"]), np.float32) for r in copies.collect()}
     return Network.from_flat(np.concatenate([parts[k] for k in range(PARTS)])) if parts else model
 
@@ -339,9 +340,12 @@ def fit_encoded(seen: DataFrame, names: dict[str, str], ns: list[int], whole: in
     """The network trained on encoded documents; ns and whole as of vocabulary()."""
     model = Network.new(prior_of(ns, whole))
     if rounds:
-        dealt = shards(seen, names, whole)
-        for k in range(rounds):
-            model = train(dealt, model, k)
+        # Lines and copies are read here only; the weights are on the driver when their files go.
+        with scratch():
+            dealt = shards(seen, names, whole)
+            for k in range(rounds):
+                with scratch():
+                    model = train(dealt, model, k)
     return model
 
 
