@@ -47,7 +47,7 @@ def asof_join_bucketed(facts: DataFrame, versions: DataFrame, keys: dict[str, st
     first, after = start if start is not None else F.col("valid_from"), end if end is not None else F.col("valid_to")
     v = versions.select(*[F.col(c).alias(n) for n, c in zip(names, keys.values())], first.alias("_from"), after.alias("_to"), *keep)
     v = v.withColumns({"_lo": ticks(v, F.col("_from")), "_hi": ticks(v, F.col("_to"))}).where("_hi IS NULL OR _hi > _lo")
-    span = F.max(F.coalesce("_hi", "_lo")) - F.min("_lo")
+    span = F.max("_lo") - F.min("_lo")  # of the starts: ends may be far in the future
     n = F.ceil(F.count("*") / per_bucket)
     long = v.groupBy(*names).agg(F.count("*").alias("_n"), F.min("_lo").alias("_origin"), (F.floor(span / n) + 1).alias("_width"), (n - 1).alias("_last"))
     long = small(long.where(F.col("_n") > per_bucket).drop("_n"))

@@ -85,42 +85,60 @@ def price_list(m: Model) -> DataFrame:
     return m.price_list
 
 
-def with_entity_of_day(facts: DataFrame, m: Model, day: str = "date_key") -> DataFrame:
+def with_entity_of_day(facts: DataFrame, m: Model, day: str = "date_key", join=t.asof_join) -> DataFrame:
     """Daily facts with the name and the version key of the entity as of the day."""
     versions = dim_entity(m).select("entity_type", "entity_id", "valid_from", "valid_to", F.col("name").alias("entity_name"), F.col("valid_from").alias("entity_from"))
-    return t.asof_join(facts, versions, {"entity_type": "entity_type", "entity_id": "entity_id"}, facts[day], ["entity_name", "entity_from"], "left", c.date_key(F.col("valid_from")), c.date_key(F.col("valid_to")))
+    return join(facts, versions, {"entity_type": "entity_type", "entity_id": "entity_id"}, facts[day], ["entity_name", "entity_from"], "left", c.date_key(F.col("valid_from")), c.date_key(F.col("valid_to")))
 
 
-def with_entity(facts: DataFrame, m: Model) -> DataFrame:
+def with_entity(facts: DataFrame, m: Model, join=t.asof_join) -> DataFrame:
     versions = dim_entity(m).select("*", F.col("name").alias("entity_name"), F.col("valid_from").alias("entity_from"))
-    return t.asof_join(facts, versions, {"entity_type": "entity_type", "entity_id": "entity_id"}, facts["usage_start_time"], ["entity_name", "entity_from", "run_as"])
+    return join(facts, versions, {"entity_type": "entity_type", "entity_id": "entity_id"}, facts["usage_start_time"], ["entity_name", "entity_from", "run_as"])
 
 
-def with_cluster(facts: DataFrame, m: Model) -> DataFrame:
+def with_cluster(facts: DataFrame, m: Model, join=t.asof_join) -> DataFrame:
     """Bounds are truncated to the hour, an open end is capped, so a version that lives within an hour never matches."""
     versions = dim_cluster(m).withColumnRenamed("is_current", "cluster_current")
     start = F.date_trunc("hour", F.col("valid_from")).cast("timestamp_ntz")
     end = F.coalesce(F.date_trunc("hour", F.col("valid_to")).cast("timestamp_ntz"), F.lit(FOREVER).cast("timestamp_ntz"))
-    return t.asof_join(facts, versions, {"cluster_id": "cluster_id"}, facts["usage_start_time"], list(CLUSTER_COLUMNS), "left", start, end)
+    return join(facts, versions, {"cluster_id": "cluster_id"}, facts["usage_start_time"], list(CLUSTER_COLUMNS), "left", start, end)
+
+
+def assert_one_match(versions: dict[str, tuple[DataFrame, list[str]]]) -> None:
+    """Raises if versions of a key overlap in any of these histories (name: versions, keys): a fact would meet two of them.
+
+    Once a build, before usage_fact(): its joins rely on it. One window a history; one number of each comes to the driver.
+    """
+    for name, (of, keys) in versions.items():
+        bad = t.problems(of, keys).agg(F.sum("overlaps")).first()[0]
+        if bad:
+            raise ValueError(f"{name}: {bad} versions overlap the next one of their key")
+
+
+def histories(m: Model) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The versioned tables that usage_fact() joins."""
+    prices = m.prices().withColumns({"valid_from": F.col("price_start_time"), "valid_to": F.col("price_end_time"), "is_current": F.col("price_end_time").isNull()})
+    return {"entities": (dim_entity(m), ["entity_type", "entity_id"]), "clusters": (dim_cluster(m), ["cluster_id"]), "prices": (prices, ["sku_name", "usage_unit"])}
 
 
 ENTITY_COLUMNS = ("entity_name", "entity_from", "run_as")
 WORKSPACE_COLUMNS = ("workspace_name", "region", "status")
 
 
-def usage_fact(m: Model, *need: str) -> DataFrame:
+def usage_fact(m: Model, *need: str, join=t.asof_join) -> DataFrame:
     """The priced usage fact: one row a record, with the dimension attributes valid at its start.
 
     need: the attributes that are asked for, by default all; a dimension of which none is asked for is not joined. The optimizer
-    can't leave such a join out by itself, as it can't know that one version matches at most: intervals of a key never overlap.
+    can't leave such a join out by itself, as it can't know that one version matches at most: intervals of a key never overlap, which
+    assert_one_match(histories(m)) checks for a build. join: asof.asof_join_bucketed where definitions change often.
     """
     asked = lambda columns: not need or not set(need).isdisjoint(columns)
     # The SKU's version is the price's: both are valid at the start of usage.
     facts = priced(m, keep=("sku_from",) if asked(["sku_from"]) else ())
     if asked(ENTITY_COLUMNS):
-        facts = with_entity(facts, m)
+        facts = with_entity(facts, m, join)
     if asked(CLUSTER_COLUMNS):
-        facts = with_cluster(facts, m)
+        facts = with_cluster(facts, m, join)
     if asked(WORKSPACE_COLUMNS):
         facts = facts.join(m.workspaces().select("workspace_id", *WORKSPACE_COLUMNS), "workspace_id", "left")
     return facts

@@ -5,6 +5,7 @@ Queries over stored tables and streams run when they are called: they write tabl
 
 from __future__ import annotations
 
+from functools import partial
 from pathlib import Path
 
 from pyspark import pipelines as dp
@@ -83,6 +84,14 @@ def join_overlap_merged(m: Model) -> DataFrame:
     return asof.asof_merge(r, p.dim_entity(m), {"job_id": "entity_id"}, r["end_time"], ["name"], until=r["start_time"], inclusive=False).select("run_id", "name")
 
 
+@query(same_as("fact_usage_priced"))
+def fact_usage_long_histories(m: Model) -> DataFrame:
+    """The priced usage fact where definitions change often: entities and clusters are joined by time buckets."""
+    join = partial(asof.asof_join_bucketed, per_bucket=FEW)
+    columns = ["record_id", "date_key", "workspace_id", "workspace_name", "entity_type", "entity_id", "entity_name", "cluster_id", "cluster_name", "sku_name", "usage_unit", "sku_from", "usage_quantity", "price", "cost"]
+    return p.usage_fact(m, join=join).select(*columns)
+
+
 # Tables kept by upserts
 
 ORDER_ROWS = T.StructType([T.StructField("id", T.LongType()), T.StructField("status", T.StringType()), T.StructField("priority", T.StringType())])

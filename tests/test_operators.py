@@ -54,6 +54,16 @@ def test_the_priced_fact_joins_the_price_list_once(spark):
     assert plan.count("max(p_retailprice") == 1
 
 
+def test_a_build_is_refused_where_versions_overlap(spark):
+    from meterlake.plans import facts as p
+    from meterlake.sources.model import Model
+
+    p.assert_one_match(p.histories(Model(spark, "/root/testdata/sf0.001")))
+    versions = spark.createDataFrame([("a", D(2024, 1, 1), D(2024, 1, 9), False), ("a", D(2024, 1, 5), None, True)], "id string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean")
+    with pytest.raises(ValueError, match="jobs: 1 versions overlap"):
+        p.assert_one_match({"jobs": (versions, ["id"])})
+
+
 def log(spark, changes):
     return spark.createDataFrame([(k, v, D(2024, 1, 1) + dt.timedelta(days=d)) for k, v, d in changes], "k string, v string, change_time timestamp_ntz")
 
