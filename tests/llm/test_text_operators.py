@@ -336,10 +336,10 @@ def edited(words, rng, n):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("longest", [3, 48])
-def test_similar_texts_are_grouped_at_five_words_and_four_fifths(spark, monkeypatch, longest):
-    """Families of edited copies, some in long postings, beside texts that share only a passage; edge cases of all texts."""
-    monkeypatch.setattr(simhash, "MAX_POSTING", longest)
+@pytest.mark.parametrize("orders", [1, 3])
+def test_similar_texts_are_grouped_at_five_words_and_four_fifths(spark, monkeypatch, orders):
+    """Families of edited copies beside texts that share only a passage; edge cases of all texts."""
+    monkeypatch.setattr(simhash, "ORDERS", orders)
     own, rows = random.Random(6), []
     words = [f"w{k}" for k in range(900)]
     for family in range(12):
@@ -358,6 +358,16 @@ def test_similar_texts_are_grouped_at_five_words_and_four_fifths(spark, monkeypa
     assert simhash.similar(df.limit(0)).count() == 0
 
 
+def test_a_large_group_of_near_copies_costs_a_few_pairs_a_text(spark, monkeypatch):
+    own, compared = random.Random(9), []
+    base = [f"w{own.randrange(900)}" for _ in range(200)]
+    rows = [(k, edited(base, own, own.randrange(3))) for k in range(250)]
+    verify = simhash.verified
+    monkeypatch.setattr(simhash, "verified", lambda pairs, *rest: (compared.append(pairs.count()), verify(pairs, *rest))[1])
+    groups = simhash.similar(spark.createDataFrame(rows, "doc_id bigint, text string")).select("component_id").distinct().collect()
+    assert groups == [(0,)] and sum(compared) <= 2 * simhash.ORDERS * len(rows)
+
+
 def test_similar_documents_of_a_given_table(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
     want = brute_similar(rows)
