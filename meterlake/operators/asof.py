@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .sizes import small
-from .temporal import within
+from .temporal import dealt, undealt, within
 
 #: Versions that a bucket of a long history holds on average.
 PER_BUCKET = 256
@@ -35,13 +35,13 @@ def ticks(df: DataFrame, at: Column) -> Column:
     raise TypeError(f"no points in time: {kind.simpleString()}")
 
 
-def asof_join_bucketed(facts: DataFrame, versions: DataFrame, keys: dict[str, str], at: Column, keep: Sequence[str], how: str = "left", start: Column | None = None, end: Column | None = None, per_bucket: int = PER_BUCKET) -> DataFrame:
+def asof_join_bucketed(facts: DataFrame, versions: DataFrame, keys: dict[str, str], at: Column, keep: Sequence[str], how: str = "left", start: Column | None = None, end: Column | None = None, per_bucket: int = PER_BUCKET, absent: Column | None = None) -> DataFrame:
     """``temporal.asof_join`` with a time bucket in the equi-key.
 
     The history of a key with more than per_bucket versions is cut into even stretches of time, one for every per_bucket versions; a version is
     repeated in each stretch that it touches, which adds at most one row a stretch: the versions grow by a 1/per_bucket-th. Other keys have
     one bucket, so short histories are neither repeated nor cut. Which keys are long is known from one count a key, at most a
-    1/per_bucket-th of the versions; the list is counted before it is broadcast, and joined by shuffle where it is too large.
+    1/per_bucket-th of the versions; the list is counted before it is broadcast, and joined by shuffle where it is too large. absent: as there.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     first, after = start if start is not None else F.col("valid_from"), end if end is not None else F.col("valid_to")
@@ -56,8 +56,9 @@ def asof_join_bucketed(facts: DataFrame, versions: DataFrame, keys: dict[str, st
     stretches = F.sequence(F.coalesce(bucket(F.col("_lo")), F.lit(0)), F.coalesce(bucket(F.col("_hi") - 1), F.col("_last"), F.lit(0)))
     cut = cut.select(*names, "_from", "_to", *keep, F.explode(stretches).alias("_bucket"))
     mine = long.select(*[F.col(n).alias(f"{n}f") for n in names], "_origin", "_width", "_last")
-    of = facts.join(mine, reduce(lambda a, b: a & b, [facts[f].eqNullSafe(mine[f"{n}f"]) for f, n in zip(keys, names)]), "left")
-    of = of.select(*[facts[c] for c in facts.columns], at.alias("_at"), F.when(F.col("_origin").isNull(), 0).otherwise(bucket(ticks(facts, at))).alias("_at_bucket"))
+    share = dealt(at, [facts[f] for f in keys], absent)
+    of = facts.join(mine, reduce(lambda a, b: a & b, [facts[f] == mine[f"{n}f"] for f, n in zip(keys, names)], share == undealt([mine[f"{n}f"] for n in names])), "left")
+    of = of.select(*[facts[c] for c in facts.columns], at.alias("_at"), F.when(F.col("_origin").isNull(), share).otherwise(bucket(ticks(facts, at))).alias("_at_bucket"))
     on = (of["_at_bucket"] == cut["_bucket"]) & within(of["_at"], cut["_from"], cut["_to"])
     for f, name in zip(keys, names):
         on = on & (of[f] == cut[name])
