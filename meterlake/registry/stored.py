@@ -51,7 +51,7 @@ def _entities(m: Model) -> DataFrame:
 def join_asof_bucketed(m: Model) -> DataFrame:
     """Usage with the entity version of its start, by key and time bucket: a long history is cut, so no key holds all of it."""
     u = p.silver_usage(m)
-    return asof.asof_join_bucketed(u, _entities(m), _ENTITY_KEYS, u["usage_start_time"], ["entity_name", "entity_from"], per_bucket=FEW).select("record_id", "entity_name", "entity_from")
+    return asof.asof_join_bucketed(u, _entities(m), _ENTITY_KEYS, u["usage_start_time"], ["entity_name", "entity_from"], per_bucket=FEW, absent=p.no_entity(u)).select("record_id", "entity_name", "entity_from")
 
 
 @query(same_as("join_asof_scd2"))
@@ -65,7 +65,7 @@ def join_asof_merged(m: Model) -> DataFrame:
 @query(same_as("join_asof_datekey"))
 def join_asof_datekey_bucketed(m: Model) -> DataFrame:
     cost = p.entity_cost(m)
-    out = asof.asof_join_bucketed(cost, p.dim_entity(m), _ENTITY_KEYS, cost["date_key"], ["name"], "left", c.date_key(F.col("valid_from")), c.date_key(F.col("valid_to")), FEW)
+    out = asof.asof_join_bucketed(cost, p.dim_entity(m), _ENTITY_KEYS, cost["date_key"], ["name"], "left", c.date_key(F.col("valid_from")), c.date_key(F.col("valid_to")), FEW, absent=p.no_entity(cost))
     return out.select("date_key", "workspace_id", "entity_type", "entity_id", "name")
 
 
