@@ -127,12 +127,22 @@ SELECT f.date_key, f.workspace_id, f.runtime_version, f.major_version, f.minor_v
  CASE WHEN {_LAG} > 4 THEN 'CRITICAL' WHEN {_LAG} > 3 THEN 'HIGH' WHEN {_LAG} > 2 THEN 'MEDIUM' WHEN {_LAG} > 1 THEN 'CONSIDER' ELSE 'LOW' END AS upgrade_priority
 FROM m_fact f JOIN newest n ON f.workspace_id = n.workspace_id GROUP BY f.date_key, f.workspace_id, f.runtime_version, f.major_version, f.minor_version, newest""")
 def view_runtime_versions(m: Model) -> DataFrame:
-    """The newest major version a workspace comes from the grouped rows, so the fact is read once."""
-    rows = p.usage_fact(m, "runtime_version").groupBy("date_key", "workspace_id", "runtime_version", "major_version", "minor_version").agg(F.count_distinct("entity_id").alias("n_entities"), F.count_distinct("cluster_id").alias("n_clusters"), c.total(F.col("cost")).alias("total_cost"))
-    newest = rows.groupBy("workspace_id").agg(F.max("major_version").alias("newest"))
+    """The newest major version a workspace is a window over the grouped rows, as a join with them would build the fact twice.
+
+    The fact is dealt by group once and counted there: a record is two rows, one an id that is counted, instead of the three that two distinct
+    counts make of it and shuffle.
+    """
+    keys = ["date_key", "workspace_id", "runtime_version", "major_version", "minor_version"]
+    facts = p.usage_fact(m, "runtime_version").select(*keys, "entity_id", "cluster_id", "cost").repartition(*keys)
+    one = lambda kind, x, cost: F.struct(F.lit(kind).alias("is_entity"), F.col(x).alias("id"), cost.cast(c.TOTAL).alias("cost"))
+    counted = F.array(one(True, "entity_id", F.col("cost")), one(False, "cluster_id", F.lit(None)))
+    ids = facts.select(*keys, F.inline(counted)).groupBy(*keys, "is_entity", "id").agg(F.sum("cost").alias("cost"))
+    n = lambda kind: F.count_if(F.col("id").isNotNull() & kind)
+    rows = ids.groupBy(*keys).agg(n(F.col("is_entity")).alias("n_entities"), n(~F.col("is_entity")).alias("n_clusters"), c.total(F.col("cost")).alias("total_cost"))
+    rows = rows.where("workspace_id IS NOT NULL").withColumn("newest", F.max("major_version").over(Window.partitionBy("workspace_id")))
     lag = F.col("newest") - F.col("major_version")
     level = c.first_of([(lag > 4, F.lit("CRITICAL")), (lag > 3, F.lit("HIGH")), (lag > 2, F.lit("MEDIUM")), (lag > 1, F.lit("CONSIDER"))], F.lit("LOW"))
-    return rows.join(newest, "workspace_id").withColumn("upgrade_priority", level).drop("newest")
+    return rows.withColumn("upgrade_priority", level).drop("newest")
 
 
 @query("""SELECT date_key, worker_node_type, node_family, CASE WHEN min_workers = max_workers THEN 'FIXED' WHEN max_workers - min_workers > 5 THEN 'WIDE' ELSE 'AUTOSCALE' END AS scaling,

@@ -69,3 +69,8 @@ def test_attribution_of_usage_without_an_entity_is_dealt(plain):
     out = registry.QUERIES["tag_inherit"](plain, DATA).cache()
     assert largest(out) < 0.25 * out.count()
     out.unpersist()
+
+
+def test_runtime_versions_read_the_fact_once(spark):
+    plan = registry.QUERIES["view_runtime_versions"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1 and "Expand" not in plan
