@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sizes import small
+from .sizes import BROADCAST_ROWS
 from .temporal import dealt, undealt, within
 
 #: Versions that a bucket of a long history holds on average.
@@ -35,22 +35,39 @@ def ticks(df: DataFrame, at: Column) -> Column:
     raise TypeError(f"no points in time: {kind.simpleString()}")
 
 
+def bucket_size(counts: DataFrame, per_bucket: int) -> tuple[int, bool]:
+    """How many versions (_n of counts, one row a key) a bucket holds, and whether the list of longer keys can be broadcast.
+
+    Without a broadcast every fact would be shuffled once more, to learn its bucket. So the size is doubled while the list is too large, but never
+    beyond PER_BUCKET, which is still few versions for a fact to meet.
+    """
+    sizes = [per_bucket]
+    while sizes[-1] < PER_BUCKET:
+        sizes.append(min(2 * sizes[-1], PER_BUCKET))
+    longer = counts.agg(*[F.count_if(F.col("_n") > size) for size in sizes]).first()
+    fit = [size for size, keys in zip(sizes, longer) if keys <= BROADCAST_ROWS]
+    return (fit[0], True) if fit else (per_bucket, False)
+
+
 def asof_join_bucketed(facts: DataFrame, versions: DataFrame, keys: dict[str, str], at: Column, keep: Sequence[str], how: str = "left", start: Column | None = None, end: Column | None = None, per_bucket: int = PER_BUCKET, absent: Column | None = None) -> DataFrame:
     """``temporal.asof_join`` with a time bucket in the equi-key.
 
     The history of a key with more than per_bucket versions is cut into even stretches of time, one for every per_bucket versions; a version is
     repeated in each stretch that it touches, which adds at most one row a stretch: the versions grow by a 1/per_bucket-th. Other keys have
     one bucket, so short histories are neither repeated nor cut. Which keys are long is known from one count a key, at most a
-    1/per_bucket-th of the versions; the list is counted before it is broadcast, and joined by shuffle where it is too large. absent: as there.
+    1/per_bucket-th of the versions. The list is counted before it is broadcast; where it is too large a bucket holds more (bucket_size), and only
+    if that doesn't help it is joined by shuffle. absent: as there.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     first, after = start if start is not None else F.col("valid_from"), end if end is not None else F.col("valid_to")
     v = versions.select(*[F.col(c).alias(n) for n, c in zip(names, keys.values())], first.alias("_from"), after.alias("_to"), *keep)
     v = v.withColumns({"_lo": ticks(v, F.col("_from")), "_hi": ticks(v, F.col("_to"))}).where("_hi IS NULL OR _hi > _lo")
     span = F.max("_lo") - F.min("_lo")  # of the starts: ends may be far in the future
-    n = F.ceil(F.count("*") / per_bucket)
-    long = v.groupBy(*names).agg(F.count("*").alias("_n"), F.min("_lo").alias("_origin"), (F.floor(span / n) + 1).alias("_width"), (n - 1).alias("_last"))
-    long = small(long.where(F.col("_n") > per_bucket).drop("_n"))
+    counts = v.groupBy(*names).agg(F.count("*").alias("_n"), F.min("_lo").alias("_origin"), span.alias("_span"))
+    most, listed = bucket_size(counts, per_bucket)
+    n = F.ceil(F.col("_n") / most)
+    long = counts.where(F.col("_n") > most).select(*names, "_origin", (F.floor(F.col("_span") / n) + 1).alias("_width"), (n - 1).alias("_last"))
+    long = F.broadcast(long) if listed else long
     bucket = lambda t: F.least(F.floor((t - F.col("_origin")) / F.col("_width")), F.col("_last"))
     cut = v.join(long, names, "left")
     stretches = F.sequence(F.coalesce(bucket(F.col("_lo")), F.lit(0)), F.coalesce(bucket(F.col("_hi") - 1), F.col("_last"), F.lit(0)))

@@ -74,3 +74,14 @@ def test_attribution_of_usage_without_an_entity_is_dealt(plain):
 def test_runtime_versions_read_the_fact_once(spark):
     plan = registry.QUERIES["view_runtime_versions"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [l_orderkey") == 1 and "Expand" not in plan
+
+
+@pytest.mark.parametrize("most, size", [(1, (16, True)), (0, (2, False))])
+def test_a_long_list_of_long_histories_gets_larger_buckets(plain, monkeypatch, most, size):
+    monkeypatch.setattr(asof, "BROADCAST_ROWS", most)
+    long = plain.createDataFrame([("a", 5), ("b", 9), ("c", 300)], "k string, _n int")
+    assert asof.bucket_size(long, 2) == size
+    log = long.select("k", F.explode(F.sequence(F.lit(1), "_n")).alias("v")).withColumn("change_time", F.timestamp_add("HOUR", F.col("v") * 9, F.lit("2000-01-01").cast("timestamp_ntz")))
+    u, versions = usage(plain, "element_at(array('a', 'b', 'c', 'd'), cast(id % 4 as int) + 1)"), t.intervalize(log, ["k"])
+    got, want = (join(u, versions, {"k": "k"}, u["at"], ["v"]) for join in (lambda *a: asof.asof_join_bucketed(*a, per_bucket=2), t.asof_join))
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count() == 4000
