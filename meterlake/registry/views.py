@@ -94,9 +94,10 @@ _MISSING = {k: f"({k} = '{v}')" for k, v in c.TAG_DEFAULTS.items()}
 
 @query("SELECT record_id, date_key, workspace_id, entity_type, entity_id, " + ", ".join(f"CASE WHEN {x} THEN 'Missing' ELSE 'Present' END AS {k}_status" for k, x in _MISSING.items()) + ", " + " + ".join(f"{x}::INTEGER" for x in _MISSING.values()) + " AS missing_tags, cost FROM m_priced")
 def view_tag_quality(m: Model) -> DataFrame:
-    gone = {k: c.is_missing(F.col(k), k) for k in c.TAGS}
-    count = sum((x.cast("int") for x in gone.values()), F.lit(0))
-    return p.priced(m).select("record_id", "date_key", "workspace_id", "entity_type", "entity_id", *[F.when(x, "Missing").otherwise("Present").alias(f"{k}_status") for k, x in gone.items()], count.alias("missing_tags"), "cost")
+    gone = F.col("gone")
+    status = [F.when(gone[i], "Missing").otherwise("Present").alias(f"{k}_status") for i, k in enumerate(c.TAGS)]
+    rows = p.priced(m, "inner", c.absent_tags(F.col("custom_tags")).alias("gone"))
+    return rows.select("record_id", "date_key", "workspace_id", "entity_type", "entity_id", *status, F.size(F.filter(gone, lambda x: x)).alias("missing_tags"), "cost")
 
 
 _COVERAGE_SQL = ", ".join(f"count(*) FILTER (WHERE NOT {x}) AS with_{k}, round(count(*) FILTER (WHERE NOT {x}) * 100.0::DOUBLE / count(*)::DOUBLE, 2) AS {k}_pct" for k, x in _MISSING.items())

@@ -214,5 +214,12 @@ def test_absent_tags_equal_their_defaults(spark):
         assert df.where(c.is_absent(F.col("v"), name) != c.is_missing(c.defaulted(F.col("v"), name), name)).count() == 0
 
 
+def test_absent_tags_as_an_array_equal_each_tag(spark):
+    values = (None, "", "  ", "dev", " Development ", "prod", "unallocated", "Unknown", "unknown", "None", "x")
+    df = spark.createDataFrame([({k: v for k in c.TAGS},) for v in values] + [({},), (None,)], "tags map<string, string>")
+    each = F.array(*[c.is_absent(c.tag(F.col("tags"), k), k) for k in c.TAGS])
+    assert df.where(c.absent_tags(F.col("tags")) == each).count() == df.count()
+
+
 def test_last_days_end_with_the_day_asked_for():
     assert c.last_days("d", "2000-03-01", 2) == "d BETWEEN 20000229 AND 20000301"

@@ -85,3 +85,10 @@ def test_a_long_list_of_long_histories_gets_larger_buckets(plain, monkeypatch, m
     u, versions = usage(plain, "element_at(array('a', 'b', 'c', 'd'), cast(id % 4 as int) + 1)"), t.intervalize(log, ["k"])
     got, want = (join(u, versions, {"k": "k"}, u["at"], ["v"]) for join in (lambda *a: asof.asof_join_bucketed(*a, per_bucket=2), t.asof_join))
     assert got.exceptAll(want).isEmpty() and got.count() == want.count() == 4000
+
+
+def test_the_tags_view_generates_methods_that_are_compiled(plain):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    parts = registry.QUERIES["view_tag_quality"](plain, DATA)._jdf.queryExecution().debug().codegenToSeq()
+    assert parts.size() > 1
+    assert max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())) < 8000
