@@ -82,7 +82,7 @@ def asof_join_bucketed(facts: DataFrame, versions: DataFrame, keys: dict[str, st
     return of.join(cut, on, how).drop("_at", "_at_bucket", "_bucket", "_from", "_to", *names)
 
 
-def asof_merge(facts: DataFrame, versions: DataFrame, keys: dict[str, str], at: Column, keep: Sequence[str], start: Column | None = None, end: Column | None = None, until: Column | None = None, inclusive: bool = True, stretch: int = STRETCH) -> DataFrame:
+def asof_merge(facts: DataFrame, versions: DataFrame, keys: dict[str, str], at: Column, keep: Sequence[str], start: Column | None = None, end: Column | None = None, until: Column | None = None, inclusive: bool = True, stretch: int = STRETCH, absent: Column | None = None) -> DataFrame:
     """facts with columns ``keep`` of the last version of their keys that starts at or before a time (inclusive=False: before it).
 
     until: the version must also end after this time, else the columns are null; of versions that do not overlap, the last one is the only one
@@ -91,30 +91,33 @@ def asof_merge(facts: DataFrame, versions: DataFrame, keys: dict[str, str], at:
     Facts and versions are united and sorted once by key and time; the last version so far is carried to each fact, so the work is in
     proportion to facts plus versions, whatever the history's length. A key may hold any share of the rows: it is merged in stretches of
     time, each opened by the last version before it. Those come from one version a key and stretch, pre-aggregated. Facts with
-    a null key or time pass by. Of versions that start together the one that sorts last by its columns counts.
+    a null key or time pass by; absent ones (as in ``temporal.asof_join``) are dealt by their time. Of versions that start together the one
+    that sorts last by its columns counts. The facts' columns stay apart, so that those which are not asked for are never built.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     first = start if start is not None else F.col("valid_from")
     after = end if end is not None else F.col("valid_to") if until is not None else first
     v = versions.select(*[F.col(c).alias(n) for n, c in zip(names, keys.values())], ticks(versions, first).alias("_t"), F.struct(F.struct(*keep).alias("row"), after.alias("end")).alias("_v"))
     v = v.where(F.col("_t").isNotNull()).withColumn("_b", F.floor(F.col("_t") / stretch))
-    whole = F.struct(*[facts[c] for c in facts.columns]).alias("_f")
-    f = facts.select(*[facts[c].alias(n) for n, c in zip(names, keys)], ticks(facts, at).alias("_t"), whole, (until if until is not None else F.lit(None)).alias("_until"))
+    columns = {c: f"_f{i}" for i, c in enumerate(facts.columns)}
+    share = dealt(at, [facts[f] for f in keys], absent)
+    f = facts.select(*[facts[c].alias(n) for n, c in zip(names, keys)], ticks(facts, at).alias("_t"), *[facts[c].alias(n) for c, n in columns.items()], (until if until is not None else F.lit(None)).alias("_until"), share.alias("_share"))
     f = f.withColumn("_b", F.floor(F.col("_t") / stretch))
     known = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in [*names, "_t"]])
     inside, aside = f.where(known), f.where(~known)
     # The last version before each stretch that has facts.
     latest = v.groupBy(*names, "_b").agg(F.max(F.struct("_t", "_v"))["_v"].alias("_v"))
-    asked = inside.select(*names, "_b").distinct().withColumn("_v", F.lit(None).cast(v.schema["_v"].dataType))
+    asked = inside.where("_share = 0").select(*names, "_b").distinct().withColumn("_v", F.lit(None).cast(v.schema["_v"].dataType))
     before = Window.partitionBy(*names).orderBy("_b", "_is_version").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opening = asked.withColumn("_is_version", F.lit(0)).unionByName(latest.withColumn("_is_version", F.lit(1))).withColumn("_v", F.last("_v", ignorenulls=True).over(before))
     opening = opening.where("_is_version = 0 AND _v IS NOT NULL").select(*names, "_b", (F.col("_b") * stretch).alias("_t"), "_v", F.lit(-1).alias("_order"))
-    rows = [opening, v.withColumn("_order", F.lit(0)), inside.withColumn("_order", F.lit(1 if inclusive else -1))]
+    of_versions = {"_share": F.lit(0).cast("bigint"), "_is_fact": F.lit(False)}
+    rows = [opening.withColumns(of_versions), v.withColumns({"_order": F.lit(0), **of_versions}), inside.withColumns({"_order": F.lit(1 if inclusive else -1), "_is_fact": F.lit(True)})]
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
     # A fact at the very start of its stretch comes after the opening version, whatever its order.
-    order = [F.col("_t"), F.col("_order"), F.col("_f").isNotNull(), F.col("_v")]
-    carried = F.last("_v", ignorenulls=True).over(Window.partitionBy(*names, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    merged = both.withColumn("_v", carried).where("_f IS NOT NULL")
-    out = merged.select("_f", "_until", "_v").unionByName(aside.select("_f", "_until"), allowMissingColumns=True)
+    order = [F.col("_t"), F.col("_order"), F.col("_is_fact"), F.col("_v")]
+    carried = F.last("_v", ignorenulls=True).over(Window.partitionBy(*names, "_b", "_share").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    merged = both.withColumn("_v", carried).where("_is_fact")
+    out = merged.select(*columns.values(), "_until", "_v").unionByName(aside.select(*columns.values(), "_until"), allowMissingColumns=True)
     fits = F.col("_v").isNotNull() if until is None else F.col("_v").isNotNull() & (F.col("_v.end").isNull() | (F.col("_v.end") > F.col("_until")))
-    return out.select("_f.*", *[F.when(fits, F.col(f"_v.row.{c}")).alias(c) for c in keep])
+    return out.select(*[F.col(n).alias(c) for c, n in columns.items()], *[F.when(fits, F.col(f"_v.row.{c}")).alias(c) for c in keep])

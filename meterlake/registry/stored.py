@@ -58,7 +58,7 @@ def join_asof_bucketed(m: Model) -> DataFrame:
 def join_asof_merged(m: Model) -> DataFrame:
     """The same by one sort of usage and versions together."""
     u = p.silver_usage(m)
-    out = asof.asof_merge(u, _entities(m), _ENTITY_KEYS, u["usage_start_time"], ["entity_name", "entity_from"], until=u["usage_start_time"])
+    out = asof.asof_merge(u, _entities(m), _ENTITY_KEYS, u["usage_start_time"], ["entity_name", "entity_from"], until=u["usage_start_time"], absent=p.no_entity(u))
     return out.select("record_id", "entity_name", "entity_from")
 
 

@@ -92,3 +92,16 @@ def test_the_tags_view_generates_methods_that_are_compiled(plain):
     parts = registry.QUERIES["view_tag_quality"](plain, DATA)._jdf.queryExecution().debug().codegenToSeq()
     assert parts.size() > 1
     assert max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())) < 8000
+
+
+def test_a_merge_builds_only_the_columns_asked_for(spark):
+    plan = registry.QUERIES["join_asof_merged"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation [l_orderkey" in plan and "dept_" not in plan and "SUB_WORKFLOW" not in plan
+
+
+def test_a_merge_deals_rows_without_a_version(plain):
+    u = usage(plain, KEYS["none"])
+    out = asof.asof_merge(u, history(plain), {"k": "k"}, u["at"], ["v"], stretch=asof.STRETCH * 100, absent=u["k"] == "UNKNOWN").cache()
+    assert largest(out) < 1800 and out.columns == ["id", "k", "at", "v"] and out.count() == 4000
+    assert out.where("v IS NOT NULL").count() == out.where("k = 'a'").count() == 1000
+    out.unpersist()
