@@ -37,19 +37,24 @@ class Versions(StatefulProcessor):
         self.keys, self.payload, self.at, self.kept = keys, payload, at, kept
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.changes = handle.getMapState("changes", T.StructType([self.at]), self.payload)
-        self.floor = handle.getValueState("floor", T.StructType([self.at]))
+        # One list a key, read and written whole: each call is a round trip to the JVM. _cut: older changes have left the state.
+        self.changes = handle.getListState("changes", T.StructType([self.at, *self.payload.fields, T.StructField("_cut", T.BooleanType())]))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        names, made = self.payload.fieldNames(), Row(*self.keys.fieldNames(), *self.payload.fieldNames(), "valid_from", "valid_to", "too_late")
-        before = {k[0]: tuple(v) for k, v in self.changes.iterator()}
-        floor = self.floor.get()[0] if self.floor.exists() else None
+        made = Row(*self.keys.fieldNames(), *self.payload.fieldNames(), "valid_from", "valid_to", "too_late")
+        stored = sorted((tuple(r) for r in self.changes.get()), key=lambda r: r[0])
+        before = {r[0]: r[1:-1] for r in stored}
+        cut = any(r[-1] for r in stored)
+        floor = stored[0][0] if cut else None
         fresh: dict = {}
+        place = None
         for r in rows:
-            fresh.setdefault(r[self.at.name], []).append(tuple(r[c] for c in names))
+            if place is None:
+                at, place = r.__fields__.index(self.at.name), [r.__fields__.index(c) for c in self.payload.fieldNames()]
+            fresh.setdefault(r[at], []).append(tuple(r[i] for i in place))
         late = {t: rows for t, rows in fresh.items() if floor is not None and t < floor}
         # Of changes at one time the batch's counts, of the batch's the one that sorts last, nulls first.
-        last = lambda rows: max(rows, key=lambda p: [(x is not None, "" if x is None else str(x)) for x in p])
+        last = lambda rows: rows[0] if len(rows) == 1 else max(rows, key=lambda p: [(x is not None, "" if x is None else str(x)) for x in p])
         after = before | {t: last(rows) for t, rows in fresh.items() if t not in late}
         old, new = intervals(before), intervals(after)
         for t, version in new.items():
@@ -57,18 +62,13 @@ class Versions(StatefulProcessor):
                 yield made(*key, *version[0], t, version[1], False)
         for t, rows in late.items():
             yield made(*key, *last(rows), t, None, True)
-        gone = []
+        kept = sorted(after)
         if self.kept is not None and after:
-            bound = max(after) - self.kept
-            gone = sorted(t for t in after if t <= bound)[:-1]  # the last one before the bound may still be cut
-        for t in gone:
-            if t in before:
-                self.changes.removeKey((t,))
-        for t in fresh:
-            if t not in late and t not in gone:
-                self.changes.updateValue((t,), after[t])
-        if gone:
-            self.floor.update((min(t for t in after if t not in gone),))
+            bound = kept[-1] - self.kept
+            gone = max(sum(t <= bound for t in kept) - 1, 0)  # the last one before the bound may still be cut
+            kept, cut = kept[gone:], cut or gone > 0
+        if after != before:
+            self.changes.put([(t, *after[t], cut) for t in kept])
 
     def close(self) -> None:
         pass

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake import registry
 from meterlake.operators import asof
 from meterlake.operators import temporal as t
 from meterlake.plans import facts as p
 from meterlake.sources.model import Model
+from meterlake.streaming import versions as vs
 
 DATA = "/root/testdata/sf0.001"
 
@@ -105,3 +110,27 @@ def test_a_merge_deals_rows_without_a_version(plain):
     assert largest(out) < 1800 and out.columns == ["id", "k", "at", "v"] and out.count() == 4000
     assert out.where("v IS NOT NULL").count() == out.where("k = 'a'").count() == 1000
     out.unpersist()
+
+
+def test_a_key_of_the_versions_stream_reads_and_writes_its_state_once():
+    """Each call is a round trip between Python and the JVM, so their number must not grow with the changes."""
+    calls, kept = [], []
+
+    class State:
+        def __getattr__(self, name):
+            calls.append(name)
+            return lambda *new: kept.__setitem__(slice(None), new[0]) if new else iter(kept)
+
+    class Handle:
+        def __getattr__(self, name):
+            return lambda *a: State()
+
+    at, day = T.StructField("at", T.TimestampNTZType()), lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    of = vs.Versions(T.StructType().add("k", T.StringType()), T.StructType().add("v", T.IntegerType()), at, dt.timedelta(days=20))
+    of.init(Handle())
+    take = lambda *days: sorted(tuple(r) for r in of.handleInputRows(("a",), iter([Row(k="a", at=day(n), v=n) for n in days]), None))
+    assert take(*range(0, 100, 10)) == [("a", n, day(n), day(n + 10) if n < 90 else None, False) for n in range(0, 100, 10)]
+    assert calls == ["get", "put"] and [(r[0], r[1]) for r in kept] == [(day(n), n) for n in (70, 80, 90)]
+    # Too late, and one that cuts a kept version.
+    assert take(5, 75) == [("a", 5, day(5), None, True), ("a", 70, day(70), day(75), False), ("a", 75, day(75), day(80), False)]
+    assert calls == ["get", "put"] * 2 and len(kept) == 4
