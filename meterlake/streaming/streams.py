@@ -107,13 +107,17 @@ def priced_by_stream(usage: DataFrame, prices: DataFrame, keys: tuple[str, ...]
     """A stream of usage joined with a stream of prices valid at its start; a price that comes late finds the usage that waits for it.
 
     usage: keys, usage_start_time; prices: keys, price_start_time, price_end_time, price. Both have a watermark, and the join bounds how far usage
-    may lie after a price's start, so either side's rows leave the state once the other's watermark has passed them.
+    may lie after a price's start, so either side's rows leave the state once the other's watermark has passed them. The month is one more key:
+    a price is repeated for each month that it can hold in, and meets the usage of its months only, which tasks share even where keys are few.
     """
-    u, p = usage.withWatermark("usage_start_time", lateness).alias("u"), prices.withWatermark("price_start_time", lateness).alias("p")
+    month = lambda at: F.year(at) * 12 + F.month(at)
+    starts, ends = month(F.col("price_start_time")), month(F.least("price_end_time", F.expr(f"price_start_time + INTERVAL {longest}")))
+    u = usage.withWatermark("usage_start_time", lateness).withColumn("_month", month(F.col("usage_start_time"))).alias("u")
+    p = prices.withWatermark("price_start_time", lateness).withColumn("_month", F.explode(F.sequence(starts, F.greatest(starts, ends)))).alias("p")
     on = F.expr(f"u.usage_start_time >= p.price_start_time AND u.usage_start_time <= p.price_start_time + INTERVAL {longest} AND u.usage_start_time < p.price_end_time")
-    for k in keys:
+    for k in (*keys, "_month"):
         on = on & (F.col(f"u.{k}") == F.col(f"p.{k}"))
-    return u.join(p, on, {"inner": "inner", "left": "leftOuter"}[how]).select("u.*", "p.price")
+    return u.join(p, on, {"inner": "inner", "left": "leftOuter"}[how]).select(*[F.col(f"u.{c}") for c in usage.columns], "p.price")
 
 
 def deduplicated(stream: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:

@@ -14,6 +14,7 @@ from meterlake.operators import asof
 from meterlake.operators import temporal as t
 from meterlake.plans import facts as p
 from meterlake.sources.model import Model
+from meterlake.streaming import streams as st
 from meterlake.streaming import versions as vs
 
 DATA = "/root/testdata/sf0.001"
@@ -134,3 +135,20 @@ def test_a_key_of_the_versions_stream_reads_and_writes_its_state_once():
     # Too late, and one that cuts a kept version.
     assert take(5, 75) == [("a", 5, day(5), None, True), ("a", 70, day(70), day(75), False), ("a", 75, day(75), day(80), False)]
     assert calls == ["get", "put"] * 2 and len(kept) == 4
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_stream_of_one_sku_is_joined_by_many_tasks(spark, tmp_path, how):
+    at = "cast('2024-01-01' as timestamp) + make_dt_interval(cast(id as int))"
+    usage = spark.range(400).selectExpr("id", "'s' AS sku_name", "'O' AS unit", f"{at} AS usage_start_time")
+    day = lambda n: f"cast('2024-01-01' as timestamp) + INTERVAL {n} DAY"
+    prices = spark.sql(f"SELECT 's' AS sku_name, 'O' AS unit, {day(0)} AS price_start_time, {day(100)} AS price_end_time, 1 AS price UNION ALL SELECT 's', 'O', {day(100)}, {day(390)}, 2 UNION ALL SELECT 's', 'O', {day(395)}, {day(394)}, 3")
+    usage.write.parquet(str(tmp_path / "u"))
+    prices.write.parquet(str(tmp_path / "p"))
+    read = lambda name, df: spark.readStream.schema(df.schema).parquet(str(tmp_path / name))
+    joined = st.priced_by_stream(read("u", usage), read("p", prices), ("sku_name", "unit"), "2 days", "200 days", how)
+    assert joined.columns == [*usage.columns, "price"]
+    out = st.append_now(joined.withColumn("task", F.spark_partition_id()), str(tmp_path / "at")).where("price IS NOT NULL")
+    got = {r["id"]: r["price"] for r in out.collect()}
+    assert out.count() == len(got) and got == {n: 1 if n < 100 else 2 for n in range(301)}
+    assert out.select("task").distinct().count() > 1
